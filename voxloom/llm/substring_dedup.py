@@ -16,7 +16,9 @@ The windows are counted in two exact steps, since most of them occur once:
 Documents with the same whole text (two 64-bit hashes) are settled before that: all but the first of
 them lose every word, if they have a window at all. All groupings of more than a document's own rows
 are minima, which Spark combines before the shuffle; all joins are on (id, text hash) or on a hash,
-with sides that adaptive execution may split.
+with sides that adaptive execution may split. The two steps' results, lists of a document's own
+minimisers and window starts, are written to the shared folder, after which their shuffles' files go:
+the disk holds one step's shuffles at a time.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
+from .shared import stage
 
 #: Words of the runs whose least hash is a window's minimiser.
 ANCHOR = 5
@@ -147,7 +150,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce(id_.cast("long"), F.lit(_LAST)).alias("ord"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("h1"), text.alias("text"), *([F.struct(*rest).alias("rest")] if rest else [])
     )
     key = ["ord", "h1"]
-    slim = base.select(*key, "text")  # the same columns each time, so that its shuffle is reused
+    slim = base.select(*key, "text")
     sizes = docs.select(F.coalesce(id_.cast("long"), F.lit(_LAST)).alias("ord"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("h1"), F.coalesce(F.xxhash64(F.lit("b"), text), F.lit(0)).alias("h2"))
     first = sizes.groupBy("h1", "h2").agg(F.min("ord").alias("ord"))
 
@@ -156,9 +159,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = lead.mapInArrow(_minimisers(window), "m long, ord long, h1 long")
     shared = pairs.groupBy("m").agg(F.min("ord").alias("a"), F.max("ord").alias("z")).where("a < z").select("m")
     lists = pairs.join(shared, "m").groupBy(*key).agg(F.collect_set("m").alias("ms"))
+    lists = stage(lists, "shared-minimisers")
     found = slim.join(lists, key).mapInArrow(_candidates(window), "w1 long, w2 long, ord long, h1 long, pos int")
     least = found.groupBy("w1", "w2").agg(F.min("ord").alias("least"), F.max("ord").alias("most")).where("least < most").select("w1", "w2", "least")
     starts = found.join(least, ["w1", "w2"]).where("ord > least").groupBy(*key).agg(F.collect_set("pos").alias("starts"))
+    starts = stage(starts, "repeated-windows")
     later = sizes.distinct().join(first.withColumnRenamed("ord", "lead"), ["h1", "h2"]).where("ord > lead").select(*key, F.lit(True).alias("copy")).distinct()
     out = base.join(starts, key, "left").join(later, key, "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
     out = out.withColumn("r", _cut_udf(window, with_text)("text", "copy", "starts"))
