@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .labelled import held_out
+from .quality_rules import quality_rules
 from .substring_dedup import substring_dedup
+from .toxicity import fit_toxicity, toxicity_score
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +21,21 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, window=13, with_text=False).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality_rules(docs)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out("doc_id").alias("held_out"), toxicity_score(model, docs["text"]).alias("score"))
+    return scored.withColumn("predicted", (scored["score"] >= 0.7).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op6_toxicity": op6_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
 }
 
