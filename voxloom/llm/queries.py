@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import mixing, url_filter
 from .labelled import held_out
 from .quality_rules import quality_rules
 from .substring_dedup import substring_dedup
@@ -21,6 +22,15 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, window=13, with_text=False).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality_rules(docs)
@@ -34,9 +44,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
+    "op3_mixing": op3_mixing,
     "op2_quality_rules": op2_quality_rules,
     "op6_toxicity": op6_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_url_filters": url_filter.ORACLE,
+    "op3_mixing": mixing.ORACLE,
+}

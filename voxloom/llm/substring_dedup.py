@@ -18,7 +18,7 @@ them lose every word, if they have a window at all. All groupings of more than a
 are minima, which Spark combines before the shuffle; all joins are on (id, text hash) or on a hash,
 with sides that adaptive execution may split. The two steps' results, lists of a document's own
 minimisers and window starts, are written to the shared folder, after which their shuffles' files go:
-the disk holds one step's shuffles at a time.
+the disk holds one step's shuffles at a time, and a very common window's join can be split.
 """
 
 from __future__ import annotations
@@ -158,10 +158,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lead = slim.join(first.select(*key), key, "left_semi")
     pairs = lead.mapInArrow(_minimisers(window), "m long, ord long, h1 long")
     shared = pairs.groupBy("m").agg(F.min("ord").alias("a"), F.max("ord").alias("z")).where("a < z").select("m")
+    shared = stage(shared, "shared-minimisers")  # as a table, either side of the join can be split
     lists = pairs.join(shared, "m").groupBy(*key).agg(F.collect_set("m").alias("ms"))
-    lists = stage(lists, "shared-minimisers")
+    lists = stage(lists, "minimisers-by-text")
     found = slim.join(lists, key).mapInArrow(_candidates(window), "w1 long, w2 long, ord long, h1 long, pos int")
     least = found.groupBy("w1", "w2").agg(F.min("ord").alias("least"), F.max("ord").alias("most")).where("least < most").select("w1", "w2", "least")
+    least = stage(least, "first-windows")
     starts = found.join(least, ["w1", "w2"]).where("ord > least").groupBy(*key).agg(F.collect_set("pos").alias("starts"))
     starts = stage(starts, "repeated-windows")
     later = sizes.distinct().join(first.withColumnRenamed("ord", "lead"), ["h1", "h2"]).where("ord > lead").select(*key, F.lit(True).alias("copy")).distinct()
