@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import mixing, url_filter
+from .embedding_dedup import embedding_dedup
 from .labelled import held_out
 from .quality_rules import quality_rules
 from .substring_dedup import substring_dedup
@@ -36,6 +37,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs)
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = fit_toxicity(docs, _table(spark, sf_dir, "labels"))
@@ -47,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op3_mixing": op3_mixing,
     "op2_quality_rules": op2_quality_rules,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_toxicity": op6_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
 }
