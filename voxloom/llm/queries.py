@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, url_filter
+from . import mixing, url_filter, warc
 from .embedding_dedup import embedding_dedup
 from .labelled import held_out
+from .quality_classifier import fit_quality, quality_score
 from .quality_rules import quality_rules
 from .substring_dedup import substring_dedup
 from .toxicity import fit_toxicity, toxicity_score
@@ -48,16 +49,30 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (scored["score"] >= 0.7).cast("int"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out("doc_id").alias("held_out"), quality_score(model, docs["text"]).alias("score"))
+    return scored.withColumn("predicted", (scored["score"] >= 0.5).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op3_mixing": op3_mixing,
     "op2_quality_rules": op2_quality_rules,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_toxicity": op6_toxicity,
+    "op9_warc": op9_warc,
+    "op10_quality_classifier": op10_quality_classifier,
     "op4_substring_dedup": op4_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op1_url_filters": url_filter.ORACLE,
     "op3_mixing": mixing.ORACLE,
+    "op9_warc": warc.ORACLE,
 }
