@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, url_filter, warc
+from . import mixing, sentencepiece, url_filter, warc
 from .embedding_dedup import embedding_dedup
 from .labelled import held_out
+from .minhash_forest import minhash_dedup
 from .quality_classifier import fit_quality, quality_score
 from .quality_rules import quality_rules
 from .substring_dedup import substring_dedup
@@ -49,6 +50,17 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (scored["score"] >= 0.7).cast("int"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = sentencepiece.tokens_digest(sentencepiece.load_model(), docs["text"])
+    return docs.select("doc_id", digest.alias("d")).select("doc_id", "d.*")
+
+
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash_dedup(docs, size=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -66,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op8_minhash_dedup": op8_minhash_dedup,
     "op9_warc": op9_warc,
     "op10_quality_classifier": op10_quality_classifier,
     "op4_substring_dedup": op4_substring_dedup,
