@@ -1,19 +1,100 @@
-"""Corpus pipeline: toxicity, MinHash near-dedup, substring dedup, mixing, SentencePiece."""
+"""A corpus pipeline over ``documents``: five stages, each written as a table and read by the next.
+
+Each stage works on every row that its predecessor kept. All but the last return the columns of
+documents; extra columns, whatever their names, pass through untouched.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from voxloom.llm import sentencepiece
+from voxloom.llm.minhash_forest import minhash_dedup
+from voxloom.llm.mixing import mix_sources
+from voxloom.llm.shared import stage
 from voxloom.llm.substring_dedup import substring_dedup
+from voxloom.llm.toxicity import score_toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier rejects go (at the threshold of their language)."""
+    scored = score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.where(~F.col("rejected")).select("row.*")
+
+
+_NO_ID = -(2**63)
+
+
+def _keys(id_: Column, text: Column) -> list[Column]:
+    return [F.coalesce(id_.cast("long"), F.lit(_NO_ID)).alias("id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("key")]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(*_keys(docs["doc_id"], docs["text"]), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest id: five-word shingles, similarity 0.8.
+
+    Of rows that repeat both id (or its absence) and text one stays.
+    """
+    kept = minhash_dedup(docs).where("kept")
+    kept = kept.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.col("text_key").alias("key")).distinct()
+    return _keyed(docs).dropDuplicates(["id", "key"]).join(kept, ["id", "key"], "left_semi").select("row.*")
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has go from the text; ``n_chars`` counts what is left."""
+    cut = substring_dedup(docs)
+    new = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast(docs.schema["n_chars"].dataType)}
+    changed = F.col("n_removed") > 0
+    return cut.select(*[(F.when(changed, new[c]).otherwise(F.col(f"row.`{c}`")) if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; the one at a source's budget is cut after its last word taken.
+
+    Rows of which the mix takes no word are not in it. Rows that repeat id, text and source share evenly
+    what the mix takes of them.
+    """
+    taken = mix_sources(docs).groupBy("doc_id", "text_key", "source").agg(F.max("size").alias("size"), F.expr("sum(taken) div count(*)").alias("taken")).where("taken > 0")
+    taken = stage(taken.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.col("text_key").alias("key"), F.col("source").alias("t_source"), "size", "taken"), "taken")
+    rows = _keyed(docs)
+    out = rows.join(taken, (rows["id"] == taken["id"]) & (rows["key"] == taken["key"]) & rows["row"]["source"].eqNullSafe(taken["t_source"])).select("row", "size", "taken")
+    rounds, rest = F.expr("taken div size"), F.expr("taken % size")
+    whole = out.where(rounds > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), rounds.cast("int")))).select("row.*")
+    words = F.filter(F.split(F.translate(F.col("row.text"), "\t\n\x0b\x0c\r", " " * 5), " ", -1), lambda w: w != "")
+    text = F.array_join(F.slice(words, F.lit(1), rest.cast("int")), " ")
+    part = out.where(rest > 0).withColumn("cut", text)
+    new = {"text": F.col("cut"), "n_chars": F.length("cut").cast(docs.schema["n_chars"].dataType)}
+    part = part.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return whole.unionByName(part)
+
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row's whole text: doc_id, source, ids and n_tokens."""
+    encoded = sentencepiece.encode_documents(docs)
+    return encoded.select("row.doc_id", "row.source", "ids", "n_tokens")
 
-def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
 
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("minhash_near_dedup", drop_near_copies),
+    ("substring_dedup", cut_repeated_passages),
+    ("mixing", mix),
+    ("sentencepiece", encode),
+]
 
-STAGES = []
+#: Classifier, signatures and tokenizer have no SQL form; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Apply all stages to the table documents; each stage's result is a table in the shared folder."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, apply in STAGES[:-1]:
+        docs = stage(apply(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -267,7 +267,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty table gives an empty result.
     """
     text = docs[f"`{text_col}`"]
-    source = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    source = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("h"), text.alias("text"))
     rows = stage(source.mapInArrow(_describe(size), "id long, h long, n long, f1 long, f2 long, sig binary"), "signatures")
     linkable = rows.where("n > 0 and id is not null")
     reps = stage(linkable.groupBy("f1", "f2", "n", "sig").agg(F.min("id").alias("id")), "classes")

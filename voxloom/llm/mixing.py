@@ -58,7 +58,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sources are one source, null ids share one place in the order. Repeated rows are separate rows; where
     ids, sizes and texts are equal too they are interchangeable. An empty table gives an empty result.
     """
-    sized = docs.select(docs[f"`{id_col}`"].alias("id"), F.xxhash64(docs[f"`{text_col}`"]).alias("text_key"), docs[f"`{source_col}`"].alias("source"), count_words(docs[f"`{text_col}`"]).alias("size"))
+    sized = docs.select(docs[f"`{id_col}`"].alias("id"), F.coalesce(F.xxhash64(docs[f"`{text_col}`"]), F.lit(0)).alias("text_key"), docs[f"`{source_col}`"].alias("source"), count_words(docs[f"`{text_col}`"]).alias("size"))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("null"))).cast("binary"))
     sized = stage(sized.withColumn("key", digest), "sizes")
     rows, per_source = sized.count(), sized.groupBy("source").agg(F.sum("size").alias("source_size"))
