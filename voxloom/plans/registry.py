@@ -1,19 +1,492 @@
-"""Named queries over the driver's tables, each with the SQL that gives the same rows where there is one."""
+"""Named queries over the driver's tables, each with the SQL that gives the same rows where there is one.
+
+The tables hold no Hebrew, brackets or typographic marks, so queries on text first add a tail that
+has them, chosen by the row's id; the SQL adds the same.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import columns, rewrite
+from ..functions import lexicon as lx
+from ..operators import audio, audit, filters, partitioning, sequences, slicing, stats
+from ..sources import entries
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_ORACLES: dict[str, str] = {}
+
+_TAILS = (
+    " a\u2014b \u201cq\u201d\u200f \u05d1\u05be\u05d2 \u2019s \u00ab5\u00bb",
+    " \U0001F642x\u2764\ufe0f [x] (y (z)) [\u05d0]",
+    "\t\u00a0 [a] \u2003z (q) \u3000\u2028 end",
+    " 10-20 a-b-c 1-2-a \\ 050-1234567",
+    " \"(word)\" ... !? [deep [er]] {x}",
+)
+
+
+def _query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[name] = f
+        if oracle is not None:
+            _ORACLES[name] = oracle
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _tailed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    tail = reduce(lambda acc, i: F.when(F.col("doc_id") % len(_TAILS) == i, F.lit(_TAILS[i])).otherwise(acc), range(len(_TAILS)), F.lit(""))
+    return docs.select("doc_id", F.concat("text", tail).alias("t"))
+
+
+_TAILED = f"(SELECT doc_id, text || CASE doc_id % {len(_TAILS)} " + " ".join(f"WHEN {i} THEN {_q(t)}" for i, t in enumerate(_TAILS)) + " ELSE '' END AS t FROM documents)"
+
+# the clean-up steps in SQL
+_FROM = lx.BLANKS + lx.HYPHENS + lx.QUOTES + lx.APOSTROPHES + lx.DELETED + "\\"
+_TO = " " * len(lx.BLANKS) + "-" * len(lx.HYPHENS) + '"' * len(lx.QUOTES) + "'" * len(lx.APOSTROPHES)
+_RE_SPACE = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in lx.WHITE_SPACE) + "]"
+_RE_SOLID = "[^" + _RE_SPACE[1:]
+_RE_EMOJI = "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in lx.EMOJI) + "]+"
+
+
+def _sql_translate(x: str) -> str:
+    return f"translate({x}, {_q(_FROM)}, {_q(_TO)})"
+
+
+def _sql_sub(x: str, pattern: str, to: str = "") -> str:
+    return f"regexp_replace({x}, {_q(pattern)}, {_q(to)}, 'g')"
 
-from pyspark.sql import DataFrame, SparkSession
+
+def _sql_dashes(x: str) -> str:
+    held = _sql_sub(x, f"({_RE_SOLID})-({_RE_SOLID})", "\\1\ue000\\2")
+    return f"replace({_sql_sub(held, '([0-9])' + chr(0xE000) + '([0-9])', chr(92) + '1-' + chr(92) + '2')}, {_q(chr(0xE000))}, ' ')"
+
+
+def _sql_blanks(x: str) -> str:
+    return f"trim({_sql_sub(x, _RE_SPACE + '+', ' ')})"
+
+
+def _text_query(name: str, f: Callable[[Column], Column], sql: str) -> None:
+    _query(name, f"SELECT doc_id, {sql} AS out FROM {_TAILED}")(lambda spark, sf_dir: _tailed(spark, sf_dir).select("doc_id", f(F.col("t")).alias("out")))
+
+
+_text_query("char_cleanup", columns.char_cleanup, _sql_translate("t"))
+_text_query("emoji_strip", columns.strip_emoji, _sql_sub("t", _RE_EMOJI))
+_text_query("bracket_strip", columns.strip_brackets, _sql_sub("t", r"\[.*?\]"))
+_text_query("dash_split_text", columns.split_dashes, _sql_dashes("t"))
+_text_query("collapse_ws", columns.collapse_blanks, _sql_blanks("t"))
+_SPEECH_SQL = _sql_blanks(_sql_dashes(_sql_sub(_sql_sub(_sql_sub(_sql_translate("t"), _RE_EMOJI), r"\(.*?\)"), r"\[.*?\]")))
+_text_query("speech_cleanup", columns.speech_cleanup, _SPEECH_SQL)
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The flagship query: texts before and after the clean-up, and whether it changed them."""
+    return changed_flag(spark, sf_dir)
+
+
+@_query("paren_strip", f"SELECT page_id, {_sql_sub('html', chr(92) + '(.*?' + chr(92) + ')')} AS out FROM pages")
+def paren_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "pages").select("page_id", columns.strip_parentheses("html").alias("out"))
+
+
+@_query("changed_flag", f"SELECT doc_id, {_SPEECH_SQL} AS clean, CASE WHEN {_SPEECH_SQL} = t THEN 'no' ELSE 'YES' END AS changed FROM {_TAILED}")
+def changed_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = _tailed(spark, sf_dir).withColumn("clean", columns.speech_cleanup("t"))
+    return clean.select("doc_id", "clean", filters.changed_flag("t", "clean").alias("changed"))
+
+
+_WORDS = f"(SELECT unnest(string_split(t, ' ')) AS word FROM {_TAILED})"
+
+
+def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tailed(spark, sf_dir).select(F.explode(F.split("t", " ", -1)).alias("word"))
+
+
+@_query("token_wrap_strip", f"""SELECT out, count(*) AS n FROM (SELECT {_sql_sub('word', '^["(' + chr(92) + '[{]+|[")' + chr(92) + ']}]+$')} AS out FROM {_WORDS}) GROUP BY out""")
+def token_wrap_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _words(spark, sf_dir).groupBy(columns.unwrap("word").alias("out")).agg(F.count("*").alias("n"))
+
+
+def _mark_sql(core: bool) -> str:
+    cases = [f"WHEN length(w) > {len(m)} AND ends_with(w, {_q(m)}) THEN " + (f"substr(w, 1, length(w) - {len(m)})" if core else _q(lx.CLOSING_MARKS[m])) for m in sorted(lx.CLOSING_MARKS, key=len, reverse=True)]
+    return f"CASE {' '.join(cases)} ELSE {'w' if core else _q('')} END"
+
+
+@_query("suffix_punct", f"SELECT {_mark_sql(True)} AS core, {_mark_sql(False)} AS mark, count(*) AS n FROM (SELECT {_sql_sub('word', f'^{_RE_SPACE}+|{_RE_SPACE}+$')} AS w FROM {_WORDS}) GROUP BY ALL")
+def suffix_punct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = _words(spark, sf_dir).select(columns.closing_mark("word").alias("m"))
+    return split.groupBy(F.col("m.core").alias("core"), F.col("m.mark").alias("mark")).agg(F.count("*").alias("n"))
+
+
+# numbers in SQL: the same spelling rules on lists
+
+
+def _sql_list(words: tuple[str, ...]) -> str:
+    return "[" + ", ".join(map(_q, words)) + "]"
+
+
+def _sql_small(n: str, gender: str) -> str:
+    unit = f"{_sql_list(lx.UNITS_M if gender in ('m', 'mn') else lx.UNITS_F)}[least({n}, 19) + 1]"
+    if gender in ("m0", "f0"):
+        unit = f"CASE WHEN {n} BETWEEN 1 AND 10 THEN {_sql_list(lx.ORDINALS_M if gender == 'm0' else lx.ORDINALS_F)}[least({n}, 10) + 1] ELSE {unit} END"
+    last = f"{_sql_list(lx.UNITS_M if gender in ('m', 'm0', 'mn') else lx.UNITS_F)}[{n} % 10 + 1]"
+    two = {"mn": lx.TWO_OF_M, "fn": lx.TWO_OF_F}.get(gender)
+    if two:
+        unit = f"CASE WHEN {n} = 2 THEN {_q(two)} ELSE {unit} END"
+        last = f"CASE WHEN {n} % 10 = 2 THEN {_q(two)} ELSE {last} END"
+    tens = f"{_sql_list(lx.TENS)}[{n} // 10 + 1]"
+    return f"CASE WHEN {n} < 20 THEN {unit} WHEN {n} % 10 = 0 THEN {tens} ELSE {tens} || ' {lx.AND}' || {last} END"
+
+
+def _sql_integer(source: str, gender: str, out: str = "spoken") -> str:
+    """SELECT n and its words FROM ``source``, which has a BIGINT n from 0 to 999,999."""
+    thousands = (
+        f"CASE WHEN th = 0 THEN '' WHEN th <= 10 THEN {_sql_list(lx.THOUSANDS)}[least(th, 10) + 1] ELSE "
+        f"(CASE WHEN th // 100 > 0 THEN {_sql_list(lx.HUNDREDS)}[th // 100 + 1] || CASE WHEN th % 100 > 0 THEN ' ' ELSE '' END ELSE '' END) || "
+        f"(CASE WHEN th % 100 = 0 THEN '' ELSE (CASE WHEN th >= 100 AND (th // 100 = 1 OR th % 100 < 20 OR th % 10 = 0) THEN '{lx.AND}' ELSE '' END) || ({_sql_small('(th % 100)', 'm')}) END) || ' {lx.THOUSANDS[1]}' END"
+    )
+    hundreds = f"CASE WHEN h > 0 THEN {_sql_list(lx.HUNDREDS)}[h + 1] ELSE '' END"
+    joined = "(th > 0 OR h > 0) AND (h = 1 OR r < 20 OR r % 10 = 0)"
+    last = f"CASE WHEN r = 0 AND n > 0 THEN '' ELSE (CASE WHEN {joined} THEN '{lx.AND}' ELSE '' END) || ({_sql_small('r', gender)}) END"
+    two = {"mn": lx.TWO_OF_M, "fn": lx.TWO_OF_F}.get(gender)
+    whole = f"array_to_string(list_filter([{thousands}, {hundreds}, {last}], lambda x: x <> ''), ' ')"
+    if two:
+        whole = f"CASE WHEN r = 2 THEN {_q(two)} ELSE {whole} END"
+    return f"SELECT n, {whole} AS {out} FROM (SELECT n, n // 1000 AS th, n % 1000 // 100 AS h, n % 100 AS r FROM ({source}))"
+
+
+_KEYS = "SELECT DISTINCT l_orderkey * 7 % 1000000 AS n FROM lineitem"
+
+
+def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 7 % 1_000_000).alias("n")).distinct()
+
+
+def _spoken_query(gender: str) -> None:
+    _query(f"spoken_int_{gender}", _sql_integer(_KEYS, gender))(lambda spark, sf_dir: _keys(spark, sf_dir).select("n", columns.spoken_integer("n", gender).alias("spoken")))
+
+
+for _gender in ("f", "m", "mn", "fn", "f0", "m0"):
+    _spoken_query(_gender)
+
+
+@_query("spoken_form_token", _sql_integer(_KEYS, "f"))
+def spoken_form_token(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keys(spark, sf_dir).select("n", columns.spoken_form(F.col("n").cast("string"), "f").alias("spoken"))
+
+
+_SQL_CLOCK = (
+    f"SELECT h, m, CASE WHEN m = 0 THEN w || half WHEN m = 15 THEN w || ' {lx.AND_QUARTER}' || half WHEN m = 30 THEN w || ' {lx.AND_HALF}' || half "
+    f"WHEN m % 10 = 0 THEN w || ' {lx.AND}' || ({_sql_small('m', 'm')}) ELSE w || ' ' || ({_sql_small('m', 'f')}) END AS spoken, n FROM "
+    f"(SELECT h, m, n, {_sql_list(lx.UNITS_F)}[CASE WHEN h % 12 = 0 THEN 12 ELSE h % 12 END + 1] AS w, CASE WHEN h > 12 THEN ' {lx.AFTERNOON}' ELSE ' {lx.MORNING}' END AS half FROM "
+    "(SELECT hour(ts)::INT AS h, minute(ts)::INT AS m, count(*) AS n FROM events GROUP BY ALL))"
+)
+
+
+@_query("spoken_time", _SQL_CLOCK)
+def spoken_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    times = _t(spark, sf_dir, "events").groupBy(F.hour("ts").alias("h"), F.minute("ts").alias("m")).agg(F.count("*").alias("n"))
+    return times.select("h", "m", columns.spoken_clock("h", "m").alias("spoken"), "n")
+
+
+@_query("spoken_time_token", _SQL_CLOCK)
+def spoken_time_token(spark: SparkSession, sf_dir: str) -> DataFrame:
+    times = _t(spark, sf_dir, "events").groupBy(F.hour("ts").alias("h"), F.minute("ts").alias("m")).agg(F.count("*").alias("n"))
+    return times.select("h", "m", columns.spoken_form(F.format_string("%02d:%02d", "h", "m"), "f").alias("spoken"), "n")
+
+
+@_query("unit_suffix", f"SELECT n || 'kg' AS token, ({_sql_small('n', 'mn')}) || ' {lx.UNIT_WORDS['kg']}' AS spoken, c FROM (SELECT l_quantity::BIGINT AS n, count(*) AS c FROM lineitem GROUP BY 1)")
+def unit_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = _t(spark, sf_dir, "lineitem").groupBy(F.concat(F.col("l_quantity").cast("long").cast("string"), F.lit("kg")).alias("token")).agg(F.count("*").alias("c"))
+    return tokens.select("token", columns.spoken_quantity("token").alias("spoken"), "c")
+
+
+_DATE_SQL = (
+    f"SELECT CAST(day AS VARCHAR) AS day, spoken_day || ' ' || {_sql_list(lx.MONTHS)}[month(day)] || ' ' || y.spoken AS spoken, c FROM "
+    f"(SELECT day, CASE WHEN d = 1 THEN {_q(lx.FIRST_OF_MONTH)} ELSE {_sql_small('d', 'f')} END AS spoken_day, c FROM (SELECT o_orderdate::DATE AS day, day(o_orderdate)::BIGINT AS d, count(*) AS c FROM orders GROUP BY ALL)) "
+    f"JOIN ({_sql_integer('SELECT DISTINCT year(o_orderdate)::BIGINT AS n FROM orders', 'f')}) y ON y.n = year(day)"
+)
+
+
+@_query("date_spoken", _DATE_SQL)
+def date_spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _t(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("c"))
+    return days.select(F.col("day").cast("string").alias("day"), columns.spoken_date(F.day("day"), F.month("day"), F.year("day")).alias("spoken"), "c")
+
+
+_PHONE = "'05' || CAST(c_custkey % 10 AS VARCHAR) || '-' || lpad(CAST(c_custkey * 7919 % 10000000 AS VARCHAR), 7, '0')"
+
+
+@_query("phone_spoken", f"SELECT c_custkey, array_to_string(list_transform(list_filter(string_split(token, ''), lambda x: x <> '-'), lambda x: {_sql_list(lx.UNITS_F)}[x::INT + 1]), ' ') AS spoken FROM (SELECT c_custkey, {_PHONE} AS token FROM customer)")
+def phone_spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    token = F.concat(F.lit("05"), (F.col("c_custkey") % 10).cast("string"), F.lit("-"), F.lpad((F.col("c_custkey") * 7919 % 10_000_000).cast("string"), 7, "0"))
+    return _t(spark, sf_dir, "customer").select("c_custkey", columns.spoken_phone(token).alias("spoken"))
+
+
+@_query("normalize_tts_cautious")
+def normalize_tts_cautious(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tailed(spark, sf_dir).select("doc_id", columns.normalize_speech("t", rewrite.CAUTIOUS).alias("out"))
+
+
+@_query("normalize_tts_expanded")
+def normalize_tts_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tailed(spark, sf_dir).select("doc_id", columns.normalize_speech("t", rewrite.EXPANDED, {"the": "THE"}).alias("out"))
+
+
+@_query("normalize_stt")
+def normalize_stt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tailed(spark, sf_dir).select("doc_id", columns.normalize_transcript("t").alias("out"))
+
+
+_COLOURS = {"red": "\u05d0\u05d3\u05d5\u05dd", "blue": "\u05db\u05d7\u05d5\u05dc", "green": "\u05d9\u05e8\u05d5\u05e7", "Brand#11": "\u05de\u05d5\u05ea\u05d2", "small": "\u05e7\u05d8\u05df"}
+_COLOUR_ROWS = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in _COLOURS.items())
+
+
+@_query("replacement_lookup", f"SELECT word, coalesce(target, word) AS out, count(*) AS n FROM (SELECT unnest(string_split(p_name || ' ' || p_brand || ' ' || p_type, ' ')) AS word FROM part) LEFT JOIN (VALUES {_COLOUR_ROWS}) r(source, target) ON word = source GROUP BY ALL")
+def replacement_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = _t(spark, sf_dir, "part").select(F.explode(F.split(F.concat_ws(" ", "p_name", "p_brand", "p_type"), " ")).alias("word"))
+    table = F.create_map(*[F.lit(x) for pair in _COLOURS.items() for x in pair])
+    return words.groupBy("word", columns.replace_word("word", table).alias("out")).agg(F.count("*").alias("n"))
+
+
+_MANIFEST = """
+  SELECT d.doc_id AS dir, d.path, a.p AS audio_path, m.p AS metadata_path,
+    nullif(concat_ws('; ', CASE WHEN coalesce(a.n, 0) <> 1 THEN 'audio files: ' || coalesce(a.n, 0) END, CASE WHEN coalesce(m.n, 0) <> 1 THEN 'metadata files: ' || coalesce(m.n, 0) END), '') AS problem
+  FROM (SELECT doc_id, source || '/' || doc_id AS path FROM documents) d
+  LEFT JOIN (SELECT doc_id, count(*) AS n, min('a' || doc_id) AS p FROM labels GROUP BY 1) a ON a.doc_id = d.doc_id
+  LEFT JOIN (SELECT conv_id, count(*) AS n, min(role || turn) AS p FROM conversations GROUP BY 1) m ON m.conv_id = d.doc_id"""
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    transcripts = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("dir"), F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("path"))
+    sounds = _t(spark, sf_dir, "labels").select(F.col("doc_id").alias("dir"), F.concat(F.lit("a"), F.col("doc_id").cast("string")).alias("path"))
+    about = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("dir"), F.concat("role", F.col("turn").cast("string")).alias("path"))
+    return entries.co_locate(transcripts, sounds, about, strict=False)
+
+
+@_query("manifest_join", _MANIFEST)
+def manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _manifest(spark, sf_dir).select("dir", "path", "audio_path", "metadata_path", "problem")
+
+
+@_query("manifest_quarantine", f"SELECT problem, count(*) AS n FROM ({_MANIFEST}) WHERE problem IS NOT NULL GROUP BY 1")
+def manifest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _manifest(spark, sf_dir).where("problem is not null").groupBy("problem").agg(F.count("*").alias("n"))
+
+
+_EXCLUDED = [filters.parse_exclusion(x) for x in ("k:eq:69", "k:eq:7", "no.such:eq:x")]
+
+
+@_query("md_exclude", "SELECT event_id, props FROM events WHERE NOT coalesce(json_extract_string(props, '$.k') IN ('69', '7'), false)")
+def md_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.exclude_by_metadata(_t(spark, sf_dir, "events").select("event_id", "props"), "props", _EXCLUDED)
+
+
+@_query("sample_quality_gate", "SELECT d.doc_id, l.quality * 0.9 AS score FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) l USING (doc_id) WHERE l.quality IS NULL OR l.quality * 0.9 >= 0.6")
+def sample_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = _t(spark, sf_dir, "labels").groupBy("doc_id").agg((F.max("quality") * F.lit(0.9)).alias("score"))
+    return filters.quality_gate(_t(spark, sf_dir, "documents").select("doc_id").join(scores, "doc_id", "left"), "score", 0.6)
+
+
+@_query("copy_md_fields", "SELECT event_id, event_type AS kept, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.none') AS \"none\" FROM events")
+def copy_md_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metadata = filters.copy_fields(F.struct(F.col("event_type").alias("kept"), F.lit("old").alias("k")), "props", ["k", "none"])
+    return _t(spark, sf_dir, "events").select("event_id", metadata.alias("m")).select("event_id", "m.*")
+
+
+@_query("pooled_median_score", "SELECT user_id, median(value) AS score, count(*) AS n FROM events GROUP BY 1")
+def pooled_median_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "events").groupBy("user_id").agg(F.coalesce(F.median("value"), F.lit(0.0)).alias("score"), F.count("*").alias("n"))
+
+
+@_query("array_median_score", "SELECT vec_id, coalesce(median(x::DOUBLE), 0.0) AS score FROM (SELECT vec_id, unnest(embedding) AS x FROM embeddings) GROUP BY 1")
+def array_median_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "embeddings").select("vec_id", slicing.pooled_median(F.col("embedding").cast("array<double>")).alias("score"))
+
+
+# events as segments: a second of an hour's time line is an hour, lengths come from the id
+_SEGMENTS = "(SELECT user_id, event_id, epoch(ts) / 3600.0 AS s, epoch(ts) / 3600.0 + (event_id % 40) / 4.0 AS e, event_type AS t FROM events)"
+_ISLANDS = f"""
+  SELECT *, sum(CASE WHEN apart THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY s, event_id ROWS UNBOUNDED PRECEDING) AS run FROM (
+    SELECT *, coalesce(s - lag(e) OVER (PARTITION BY user_id ORDER BY s, event_id) >= 2.0, true) AS apart FROM {_SEGMENTS})"""
+
+
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', cast(ts as timestamp_ntz))") / 1e6 / F.lit(3600.0)
+    return _t(spark, sf_dir, "events").select("user_id", "event_id", hours.alias("s"), (hours + (F.col("event_id") % 40) / F.lit(4.0)).alias("e"), F.col("event_type").alias("t"))
+
+
+@_query("gap_merge", f"""SELECT user_id, run::BIGINT AS run, min_by(s, (s, event_id)) AS "start", max_by(e, (s, event_id)) AS "end", string_agg(t, '' ORDER BY s, event_id) AS text, count(*) AS n FROM ({_ISLANDS}) GROUP BY ALL""")
+def gap_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequences.merge_gaps(_segments(spark, sf_dir), ["user_id"], "s", "e", "t", 2.0, ["s", "event_id"])
+
+
+@_query("gap_merge_array", f"""SELECT user_id, count(*) AS runs, string_agg(text, '|' ORDER BY run) AS text FROM (SELECT user_id, run, string_agg(t, '' ORDER BY s, event_id) AS text FROM ({_ISLANDS}) GROUP BY ALL) GROUP BY 1""")
+def gap_merge_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("s", "event_id", "e", "t"))), lambda x: F.struct(x["s"].alias("start"), x["e"].alias("end"), x["t"].alias("text"), F.array().cast("array<double>").alias("word_scores")))
+    merged = _segments(spark, sf_dir).groupBy("user_id").agg(parts.alias("segments")).select("user_id", sequences.merge_segments("segments", 2.0).alias("m"))
+    return merged.select("user_id", F.size("m").cast("long").alias("runs"), F.array_join(F.transform("m", lambda x: x["text"]), "|").alias("text"))
+
+
+@_query(
+    "prev_text_chain",
+    """
+  SELECT conv_id, turn, text, lag(true) OVER w IS NOT NULL AS has_prev, coalesce(lag(text) OVER w, '') AS prev_text FROM (
+    SELECT *, sum(CASE WHEN turn % 5 = 3 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS chain FROM conversations)
+  WHERE turn % 5 <> 3 AND length(text) >= 20 WINDOW w AS (PARTITION BY conv_id, chain ORDER BY turn)""",
+)
+def prev_text_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = sequences.link_previous(_t(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text", F.col("turn") % 5 == 3, F.length("text") >= 20)
+    return linked.select("conv_id", "turn", "text", "has_prev", "prev_text")
+
+
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per user: events as segments of a time line in hours from the user's first event."""
+    parts = F.array_sort(F.collect_list(F.struct("s", "event_id", "e", "t")))
+    users = _segments(spark, sf_dir).groupBy("user_id").agg(parts.alias("p"), F.min("s").alias("first"), F.max("e").alias("last"))
+    word = lambda x: F.array((x["event_id"] % 10) / 10)
+    segments = F.transform("p", lambda x: F.struct((x["s"] - F.col("first")).alias("start"), (x["e"] - F.col("first")).alias("end"), x["t"].alias("text"), word(x).alias("word_scores")))
+    return users.select("user_id", segments.alias("segments"), (F.col("last") - F.col("first") + 1).alias("audio"), (F.col("user_id") % 7).alias("shard"))
+
+
+def _slice_rows(sliced: DataFrame) -> DataFrame:
+    rows = slicing.explode_slices(sliced, "user_id")
+    return rows.select("user_id", "slice_idx", F.round("seek", 6).alias("seek"), F.round("duration", 6).alias("duration"), F.size("segments").alias("n"), slicing.segment_text("segments").alias("text"))
+
+
+@_query("greedy_slices")
+def greedy_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _slice_rows(slicing.slice_entries(_entries(spark, sf_dir), "user_id", "segments", "audio", 30.0))
+
+
+@_query("greedy_slices_quality")
+def greedy_slices_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _slice_rows(slicing.slice_entries(_entries(spark, sf_dir), "user_id", "segments", "audio", 30.0, threshold=0.45))
+
+
+@_query("adaptive_slices")
+def adaptive_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _slice_rows(slicing.slice_entries(_entries(spark, sf_dir), "user_id", "segments", "audio", 30.0, shard="shard", rank="user_id", target=20.0, least=5.0, seed=1))
+
+
+@_query("shortest_k", "SELECT doc_id, n_chars FROM documents ORDER BY n_chars, lpad(CAST(doc_id AS VARCHAR), 12, '0') LIMIT 50")
+def shortest_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "n_chars", F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"))
+    return partitioning.shortest(docs, "n_chars", "path", 50).select("doc_id", "n_chars")
+
+
+_RANKED = "SELECT doc_id, row_number() OVER (ORDER BY n_chars, lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS rank FROM documents"
+
+
+@_query("shard_assign", f"SELECT doc_id, rank, (rank - 1) // 30 AS shard_id FROM ({_RANKED})")
+def shard_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "n_chars", F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"))
+    return partitioning.assign_shards(docs, "n_chars", "path", 30).select("doc_id", "rank", "shard_id")
+
+
+_SPLIT = "SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY md5('5:' || doc_id), doc_id) <= ceil(0.1 * count(*) OVER ()) THEN 'eval' ELSE 'train' END AS split FROM documents"
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partitioning.exact_split(_t(spark, sf_dir, "documents").select("doc_id"), "doc_id", 0.1, seed=5)
+
+
+@_query("exact_split", _SPLIT)
+def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir).select("doc_id", "split")
+
+
+@_query("split_counts", f"SELECT split, count(*) AS n FROM ({_SPLIT}) GROUP BY 1")
+def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partitioning.split_counts(_split(spark, sf_dir))
+
+
+@_query("concat_chunks", "SELECT doc_id, lang FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT doc_id, lang FROM documents WHERE doc_id % 3 = 1 UNION ALL SELECT doc_id, lang FROM documents WHERE doc_id % 3 = 2")
+def concat_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang")
+    return partitioning.concat_chunks([docs.where(F.col("doc_id") % 3 == i) for i in range(3)])
+
+
+@_query("duration_stats", "SELECT count(n_chars) AS n, max(n_chars)::DOUBLE AS max, min(n_chars)::DOUBLE AS min, avg(n_chars) AS mean, median(n_chars) AS median, round(coalesce(stddev_samp(n_chars), 0.0), 6) AS stdev FROM documents")
+def duration_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.duration_stats(_t(spark, sf_dir, "documents"), "n_chars").withColumn("stdev", F.round("stdev", 6))
+
+
+@_query(
+    "duration_hist20",
+    """
+  WITH ends AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, (max(l_extendedprice) - min(l_extendedprice)) / 20 AS w FROM lineitem),
+  placed AS (SELECT least(floor((l_extendedprice - lo) / w), 19)::INT AS bin FROM lineitem, ends)
+  SELECT b.bin::INT AS bin, round(lo + b.bin * w, 6) AS low, round(lo + (b.bin + 1) * w, 6) AS high, count(p.bin) AS n FROM range(20) b(bin) CROSS JOIN ends LEFT JOIN placed p ON p.bin = b.bin GROUP BY ALL""",
+)
+def duration_hist20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.histogram(_t(spark, sf_dir, "lineitem"), "l_extendedprice").withColumn("low", F.round("low", 6)).withColumn("high", F.round("high", 6))
+
+
+_INDEXED = "SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM documents"
+
+
+def _indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partitioning.with_row_index(_t(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+
+
+@_query("batch_page", f"SELECT row_idx, doc_id, lang FROM ({_INDEXED}) WHERE row_idx BETWEEN 40 AND 59")
+def batch_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.page(_indexed(spark, sf_dir), 40).select("row_idx", "doc_id", "lang")
+
+
+@_query("row_at", f"SELECT row_idx, doc_id, text FROM ({_INDEXED}) WHERE row_idx = 123")
+def row_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.row_at(_indexed(spark, sf_dir), 123).select("row_idx", "doc_id", "text")
+
+
+@_query("text_fallback", "SELECT conv_id, turn, coalesce(nullif(CASE WHEN turn % 2 = 0 THEN '' ELSE role END, ''), text) AS raw FROM conversations")
+def text_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "conversations").withColumn("raw_text", F.when(F.col("turn") % 2 == 0, F.lit("")).otherwise(F.col("role")))
+    return rows.select("conv_id", "turn", filters.first_text("raw_text", "text").alias("raw"))
+
+
+@_query("waveform_slice", "SELECT vec_id, unnest(range(b - a)) AS at, unnest(embedding[a + 1 : b])::DOUBLE AS sample FROM (SELECT vec_id, embedding, round_even((vec_id % 9) + 0.5, 0)::BIGINT AS a, round_even((vec_id % 9) + 0.5 + 20.0, 0)::BIGINT AS b FROM embeddings)")
+def waveform_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = (F.col("vec_id") % 9 + 0.5) / 1000
+    # a rate of 1000 samples a second, 20 ms
+    return _t(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(audio.cut_samples("embedding", start, F.lit(0.02), 1000)).alias("at", "sample")).select("vec_id", F.col("at").cast("long").alias("at"), F.col("sample").cast("double").alias("sample"))
+
+
+@_query("pcm16_scale", "SELECT vec_id, unnest(range(len(embedding))) AS at, unnest(list_transform(embedding, lambda x: greatest(-32768, least(32767, round_even(x::DOUBLE * 32767, 0)))::INT)) AS pcm FROM embeddings")
+def pcm16_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(F.transform("embedding", audio.pcm16)).alias("at", "pcm")).withColumn("at", F.col("at").cast("long"))
+
+
+@_query("column_prune", "SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL")
+def column_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count("*").alias("n"))
+
+
+@_query("segment_text_concat", "SELECT conv_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY 1")
+def segment_text_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: F.struct(x["text"].alias("text")))
+    return _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(parts.alias("segments")).select("conv_id", slicing.segment_text("segments").alias("text"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)
