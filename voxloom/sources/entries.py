@@ -23,7 +23,7 @@ def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
 
 def read_texts(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """``(path, dir, value)``: whole files as text."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("path"), "value").withColumn("dir", F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
 
 
@@ -87,4 +87,4 @@ def write_entries(entries: list[dict], folder: str) -> None:
             f.write(e["audio"])
         for name in ("transcript", "metadata"):
             with open(os.path.join(path, f"{name}.full.json" if name == "transcript" else "metadata.json"), "w", encoding="utf8") as f:
-                json.dump(e[name], f, ensure_ascii=False)
+                json.dump(e[name], f, ensure_ascii=False, indent=1)

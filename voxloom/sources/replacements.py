@@ -29,5 +29,5 @@ def load_replacements(spark: SparkSession, path: str | None, strict: bool = True
     """The table in a file that Spark can read; no path, no replacements. The file's order counts, so it is read whole."""
     if path is None:
         return {}
-    row = spark.read.option("wholetext", True).text(path).first()
+    row = spark.read.text(path, wholetext=True).first()
     return parse_replacements(row[0], strict) if row else {}
