@@ -27,7 +27,7 @@ from .graph import components
 from .shared import stage
 
 #: Vectors of a block at most, about.
-BLOCK = 1024
+BLOCK = 2048
 #: Distinct vectors on which centres are fitted, at most.
 SAMPLE = 20_000
 #: Numbers of cells to choose from.
@@ -197,3 +197,16 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     out = keyed.join(own, ["key", "key2"], "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+
+
+#: The same rows in DuckDB: all pairs of a label, then everything that links reach.
+ORACLE = r"""
+WITH RECURSIVE fine AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0 AND len(list_filter(embedding, lambda v: v <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+reach AS (SELECT vec_id AS id, vec_id AS r FROM embeddings UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.r = links.a),
+least AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, component_id = vec_id AS kept FROM embeddings JOIN least ON id = vec_id LEFT JOIN degree ON a = vec_id
+"""

@@ -6,13 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sentencepiece, url_filter, warc
-from .embedding_dedup import embedding_dedup
+from . import embedding_dedup as embeddings
+from . import minhash_forest, mixing, sentencepiece, url_filter, warc
+from . import substring_dedup as substrings
 from .labelled import held_out
-from .minhash_forest import minhash_dedup
 from .quality_classifier import fit_quality, quality_score
 from .quality_rules import quality_rules
-from .substring_dedup import substring_dedup
 from .toxicity import fit_toxicity, toxicity_score
 
 
@@ -22,7 +21,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return substring_dedup(docs, window=13, with_text=False).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
+    return substrings.substring_dedup(docs, window=13, with_text=False).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +39,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding_dedup(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return embeddings.embedding_dedup(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +57,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return minhash_dedup(docs, size=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+    return minhash_forest.minhash_dedup(docs, size=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,21 +71,15 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (scored["score"] >= 0.5).cast("int"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_url_filters": op1_url_filters,
-    "op3_mixing": op3_mixing,
-    "op2_quality_rules": op2_quality_rules,
-    "op5_embedding_dedup": op5_embedding_dedup,
-    "op6_toxicity": op6_toxicity,
-    "op7_sentencepiece": op7_sentencepiece,
-    "op8_minhash_dedup": op8_minhash_dedup,
-    "op9_warc": op9_warc,
-    "op10_quality_classifier": op10_quality_classifier,
-    "op4_substring_dedup": op4_substring_dedup,
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_url_filters, op2_quality_rules, op3_mixing, op4_substring_dedup, op5_embedding_dedup, op6_toxicity, op7_sentencepiece, op8_minhash_dedup, op9_warc, op10_quality_classifier,
+)}
 
 ORACLES: dict[str, str] = {
     "op1_url_filters": url_filter.ORACLE,
     "op3_mixing": mixing.ORACLE,
+    "op4_substring_dedup": substrings.ORACLE,
+    "op5_embedding_dedup": embeddings.ORACLE,
+    "op8_minhash_dedup": minhash_forest.ORACLE,
     "op9_warc": warc.ORACLE,
 }

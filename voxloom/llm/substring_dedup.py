@@ -171,3 +171,17 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = out.withColumn("r", _cut_udf(window, with_text)("text", "copy", "starts"))
     back = {id_col: F.when(F.col("ord") != _LAST, F.col("ord")).cast(docs.schema[id_col].dataType), text_col: F.col("text")}
     return out.select(F.struct(*[(back[c] if c in back else F.col("rest").getField(c)).alias(c) for c in names]).alias("row"), "r.*")
+
+
+#: The same rows in DuckDB for the query's columns, with the 13 words of each window as its key.
+ORACLE = r"""
+WITH docs AS (SELECT doc_id, list_filter(string_split(translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '), lambda x: x <> '') AS words FROM documents),
+windows AS (SELECT doc_id, p, array_to_string(words[p : p + 12], ' ') AS k FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS p FROM docs)),
+firsts AS (SELECT k, min(doc_id) AS first FROM windows GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, p + o AS i FROM windows JOIN firsts USING (k) CROSS JOIN range(13) t(o) WHERE doc_id > first),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY i) AS text
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM docs) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT docs.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n_kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""

@@ -67,11 +67,12 @@ class PatternRule:
 
 SITE_RULES = (SiteRule("block", "net/"), SiteRule("allow", "example.net/en/"), SiteRule("block", "example.com/de/"), SiteRule("allow", "org/fr/"))
 #: Host labels and path words of spam, gambling, piracy, adult and advertising sites.
-PATTERN_RULES = tuple(
-    PatternRule("block", f"{edge}{word}^")
-    for word in ("spam", "casino", "bets", "betting", "poker", "pills", "viagra", "porn", "xxx", "warez", "torrent", "adserver", "clickbait", "doorway")
-    for edge in ("^", "||")
-) + (PatternRule("block", "||spam-farm."), PatternRule("block", "||free-bets."), PatternRule("allow", "||spam-archive.*/research/"))
+WORDS = ("spam", "casino", "bets", "betting", "poker", "pills", "viagra", "porn", "xxx", "warez", "torrent", "adserver", "clickbait", "doorway")
+PATTERN_RULES = tuple(PatternRule("block", p) for w in WORDS for p in (f"||{w}.", f"^{w}^")) + (
+    PatternRule("block", "||spam-farm."),
+    PatternRule("block", "||free-bets."),
+    PatternRule("allow", "||spam-archive.*/research/"),
+)
 
 
 def split_url(url: str | None) -> tuple[str, str, str]:
@@ -157,7 +158,7 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
 
 #: The same rows in DuckDB for the site rules. Site rules aside, the patterns are spelled as expressions.
-_LABEL = "|".join(dict.fromkeys(r.pattern.strip("^|") for r in PATTERN_RULES[:-3]))
+_LABEL = "|".join(WORDS)
 ORACLE = rf"""
 WITH cut AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -174,7 +175,7 @@ judged AS (
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN host = '' THEN 'allow'
     WHEN regexp_matches(whole, '^([^/?#]*\.)?spam-archive\..*/research/') THEN 'allow'
-    WHEN regexp_matches(whole, '(^([^/?#]*\.)?|[^A-Za-z0-9_.%-])({_LABEL})([^A-Za-z0-9_.%-]|$)') THEN 'block'
-    WHEN regexp_matches(whole, '^([^/?#]*\.)?(spam-farm|free-bets)\.') THEN 'block' ELSE 'allow' END AS verdict
+    WHEN regexp_matches(whole, '[^A-Za-z0-9_.%-]({_LABEL})([^A-Za-z0-9_.%-]|$)') THEN 'block'
+    WHEN regexp_matches(whole, '^([^/?#]*\.)?({_LABEL}|spam-farm|free-bets)\.') THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
 """
