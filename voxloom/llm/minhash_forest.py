@@ -143,21 +143,24 @@ def _regions(reps: DataFrame) -> DataFrame:
 def _parts(members: DataFrame) -> DataFrame:
     """Members with the ``part`` of their region: deeper where it is crowded, by a hash at the end."""
     prefix = lambda d: F.xxhash64("region", F.expr(f"substring(place, 1, {4 * d})"))
-    done, live = [], members.withColumn("part", F.col("region")).withColumn("crowd", F.col("cnt"))
+    done = [members.where(F.col("cnt") <= PART).withColumn("part", F.col("region"))]
+    live = members.where(F.col("cnt") > PART)
     for depth in range(START + 1, DEPTH + 1):
-        done.append(live.where(F.col("crowd") <= PART))
-        live = live.where(F.col("crowd") > PART).drop("part", "crowd").withColumn("part", prefix(depth))
+        live = live.withColumn("part", prefix(depth))
         crowds = stage(live.groupBy("part").agg(F.count("*").alias("crowd")), "crowds")
-        if crowds.isEmpty():
+        live = stage(live.join(crowds, "part"), "crowded")
+        done.append(live.where(F.col("crowd") <= PART))
+        live = live.where(F.col("crowd") > PART)
+        if live.isEmpty():
             break
-        live = live.join(crowds, "part")
+        live = live if depth == DEPTH else live.drop("part", "crowd")
     else:
         salt = F.pmod(F.xxhash64(F.lit("part"), "id"), F.ceil(F.col("crowd") / PART))
         done.append(live.withColumn("part", F.xxhash64("part", salt)))
     out = done[0].select(*members.columns, "part")
     for d in done[1:]:
         out = out.unionByName(d.select(*members.columns, "part"))
-    return out
+    return stage(out, "parts")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -305,3 +308,18 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     out = rows.select("id", "h", "n", "f1", "f2").join(classes, (F.col("n") > 0) & F.col("id").isNotNull() & (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")), "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.col("h").alias("text_key"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+
+
+#: The same rows in DuckDB for shingles of four words: all pairs with a common shingle, then everything that links reach.
+ORACLE = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), 'abcdefghijklmnopqrstuvwxyz     '), ' '), lambda x: x <> '') AS words FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(words[p : p + 3], ' ') AS k FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 2))) AS p FROM docs WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+reach AS (SELECT doc_id AS id, doc_id AS r FROM docs UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.r = links.a),
+least AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)
+SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = docs.doc_id AS kept FROM docs JOIN least ON id = docs.doc_id LEFT JOIN sizes ON sizes.doc_id = docs.doc_id
+"""
