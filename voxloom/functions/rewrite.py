@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
+from functools import lru_cache
 
 from . import lexicon as lx
 from . import spoken
@@ -21,6 +22,7 @@ _PARENTHESES, _BRACKETS = re.compile(r"\(.*?\)"), re.compile(r"\[.*?\]")
 _DASH = re.compile(r"(\S)-(\S)")
 _SPACE = re.compile(r"\s+")
 _GLUE = re.compile(r"\s+([.,?!])")
+_DIGIT = re.compile(r"\d")  # numbers, times, dates, amounts and phone numbers all have one
 _MARKS = sorted(lx.CLOSING_MARKS, key=len, reverse=True)
 
 
@@ -83,6 +85,13 @@ def closing_mark(word: str) -> tuple[str, str]:
     return word, ""
 
 
+@lru_cache(1 << 16)
+def _core(raw: str) -> tuple[str, str]:
+    """A word as read, without what stands around it, and its mark."""
+    word, mark = closing_mark(unwrap(raw))
+    return unwrap(word.strip()), mark
+
+
 def _plural(word: str, masculine_plurals: frozenset[str]) -> str | None:
     """``m`` or ``f`` of a plural noun after a number, by ending and exceptions, with or without "the"."""
     forms = {word, word.removeprefix(lx.THE)}
@@ -142,18 +151,20 @@ def for_speech(text: str, options: SpeechOptions = CAUTIOUS, replacements: Mappi
     read = text.split(" ")
     written: list[str] = []
     for i, raw in enumerate(read):
-        word, mark = closing_mark(unwrap(raw))
-        word = unwrap(word.strip())
+        word, mark = _core(raw)
         if not word:
             continue
-        if o.expand_abbreviations:
+        if not o.expand_abbreviations:
+            out = own.get(word, word)
+        elif own or not word.isalnum():  # the built-in abbreviations have quotes in them
             out = abbreviation(word, own) or word
         else:
-            out = own.get(word, word)
-        amount = spoken.quantity(out, o.compat) if o.translate_units else None
+            out = word
+        digits = _DIGIT.search(out)
+        amount = spoken.quantity(out, o.compat) if digits and o.translate_units else None
         if amount:
             out = amount
-        elif o.expand_numbers:
+        elif digits and o.expand_numbers:
             gender = speech_gender(written[-1] if written else "", read[i + 1] if i + 1 < len(read) else None)
             out = _number_words(out, gender, o)
         mark = mark if o.keep_punctuations else ""
@@ -175,6 +186,7 @@ def transcript_gender(before: str | None, after: str | None) -> str:
     return _plural(noun, lx.MASCULINE_PLURALS_OLDER) or "f"
 
 
+@lru_cache(1 << 16)
 def _peel(word: str) -> tuple[str, str]:
     """The word without marks around it, and the mark to keep: the first one dropped that stands for any."""
     while mark := next((m for m in lx.LEADING_MARKS_OLDER if word.startswith(m) and word != m), None):
@@ -199,13 +211,17 @@ def transcript_word(word: str, keep_marks: bool, gender: str, split_markers: tup
     """One word in the older rewriter; a kept mark follows as a word of its own."""
     if word in replacements:
         return replacements[word]
+    if not replacements and word.isalpha():
+        return word
     word, mark = _peel(word)
 
     def parts(marker: str) -> str | None:
         found = [transcript_word(p, False, "f", (), {}, compat) for p in word.split(marker)]
         return " ".join(found) if all(found) else None
 
-    out = replacements.get(word) or spoken.spoken(word, gender, compat)
+    out = replacements.get(word)
+    if not out and _DIGIT.search(word):
+        out = spoken.spoken(word, gender, compat)
     if not out:
         out = next((p for m in split_markers if m in word and (p := parts(m))), None)
     if not out:
@@ -233,7 +249,8 @@ def for_transcript(
     written = []
     for i, word in enumerate(read):
         if word:
-            gender = transcript_gender(read[i - 1] if i else None, read[i + 1] if i + 1 < len(read) else None)
+            numeric = _DIGIT.search(word)  # only then the gender counts
+            gender = transcript_gender(read[i - 1] if i else None, read[i + 1] if i + 1 < len(read) else None) if numeric else "f"
             written.append(transcript_word(word, keep_punctuations, gender, tuple(split_markers), replacements or {}, compat))
     return " ".join(w for w in written if w)
 

@@ -20,15 +20,14 @@ def histogram(df: DataFrame, value: str, bins: int = BINS) -> DataFrame:
     Equal values make one bin with all of them. An empty table has no bins.
     """
     v = F.col(value).cast("double")
-    ends = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).where("lo is not null").withColumn("width", (F.col("hi") - F.col("lo")) / bins)
-    placed = df.select(v.alias("v")).where("v is not null").join(F.broadcast(ends))  # one row
-    bin_ = F.when(F.col("width") > 0, F.least(F.floor((F.col("v") - F.col("lo")) / F.col("width")), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
-    counts = placed.groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"))
-    last = F.when(F.col("width") > 0, F.lit(bins - 1)).otherwise(F.lit(0))
-    every = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), last)))
+    lo, hi = df.agg(F.min(v), F.max(v)).first()
+    width = 0.0 if lo is None else (hi - lo) / bins
+    place = F.least(F.floor((v - lo) / width), F.lit(bins - 1)) if width else F.lit(0)
+    counts = df.where(v.isNotNull()).groupBy(place.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    every = df.sparkSession.range(0 if lo is None else bins if width else 1).select(F.col("id").cast("int").alias("bin"))
     out = every.join(F.broadcast(counts), "bin", "left")  # at most a row a bin
-    high = F.when(F.col("width") > 0, F.col("lo") + (F.col("bin") + 1) * F.col("width")).otherwise(F.col("hi"))
-    return out.select("bin", (F.col("lo") + F.col("bin") * F.col("width")).alias("low"), high.alias("high"), F.coalesce("n", F.lit(0)).alias("n"))
+    low, high = (F.lit(lo) + F.col("bin") * width, F.lit(lo) + (F.col("bin") + 1) * width) if width else (F.lit(lo).cast("double"), F.lit(hi).cast("double"))
+    return out.select("bin", low.alias("low"), high.alias("high"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def render_histogram(rows: list, width: int = 50) -> str:

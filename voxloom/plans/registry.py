@@ -16,6 +16,8 @@ from ..functions import columns, rewrite
 from ..functions import lexicon as lx
 from ..operators import audio, audit, filters, partitioning, sequences, slicing, stats
 from ..sources import entries
+from ..sources.tables import read_table as _t
+from ..sources.tables import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -40,16 +42,12 @@ def _query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
 def _tailed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(_t(spark, sf_dir, "documents").select("doc_id", "text"))
     tail = reduce(lambda acc, i: F.when(F.col("doc_id") % len(_TAILS) == i, F.lit(_TAILS[i])).otherwise(acc), range(len(_TAILS)), F.lit(""))
     return docs.select("doc_id", F.concat("text", tail).alias("t"))
 
@@ -101,7 +99,7 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("paren_strip", f"SELECT page_id, {_sql_sub('html', chr(92) + '(.*?' + chr(92) + ')')} AS out FROM pages")
 def paren_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "pages").select("page_id", columns.strip_parentheses("html").alias("out"))
+    return spread(_t(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", columns.strip_parentheses("html").alias("out"))
 
 
 @_query("changed_flag", f"SELECT doc_id, {_SPEECH_SQL} AS clean, CASE WHEN {_SPEECH_SQL} = t THEN 'no' ELSE 'YES' END AS changed FROM {_TAILED}")
