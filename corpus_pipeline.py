@@ -17,11 +17,12 @@ from voxloom.llm.mixing import mix_sources
 from voxloom.llm.shared import stage
 from voxloom.llm.substring_dedup import substring_dedup
 from voxloom.llm.toxicity import score_toxicity
+from voxloom.sources.tables import read_table, spread
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects go (at the threshold of their language)."""
-    scored = score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = score_toxicity(docs, read_table(spark, sf_dir, "labels"))
     return scored.where(~F.col("rejected")).select("row.*")
 
 
@@ -94,7 +95,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to the table documents; each stage's result is a table in the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     for name, apply in STAGES[:-1]:
         docs = stage(apply(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

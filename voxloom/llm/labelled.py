@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 def held_out(id_col: Column | str) -> Column:
     """Whether crc32 of the id as text leaves 1 modulo 3; a null id is never held out."""
-    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False)) if isinstance(id_col, str) else F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    id_ = F.col(id_col) if isinstance(id_col, str) else id_col
+    return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 class Sample:

@@ -9,6 +9,7 @@ are merged from the groups'. Rows and fences are joined, and a row outside a fen
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,14 +114,13 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     t = stage(thresholds(m, fences), "quality-fences")
     limits = [f"{c}_{side}" for c in MEASURES for side in ("high", "low")]
     out = m
-    keys = {0: ["group0", "group1"], 1: ["group0"], 2: []}
-    for level, on in keys.items():
+    for level, on in {0: ["group0", "group1"], 1: ["group0"]}.items():
         part = t.where(F.col("level") == level).select(*[F.col(k).alias(f"t_{k}") for k in on], F.struct(*limits).alias(f"t{level}"))
         # a null-safe equi-join; Spark broadcasts the fences only if they are small
-        condition = F.lit(True)
-        for k in on:
-            condition = condition & F.col(k).eqNullSafe(F.col(f"t_{k}"))
-        out = out.join(part, condition, "left").drop(*[f"t_{k}" for k in on]) if on else out.join(F.broadcast(part), F.lit(True), "left")  # one row
+        condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in on])
+        out = out.join(part, condition, "left").drop(*[f"t_{k}" for k in on])
+    every = t.where("level = 2").select(*limits).first()  # one row, or none for an empty table
+    out = out.withColumn("t2", F.struct(*[F.lit(every[c] if every else None).cast("double").alias(c) for c in limits]))
     fence = F.coalesce("t0", "t1", "t2")
     outside = [F.when((F.col(c) > fence[f"{c}_high"]) | (F.col(c) < fence[f"{c}_low"]), F.lit(c)) for c in MEASURES]
     failed = F.array_compact(F.array(*outside))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.tables import read_table, spread
 from . import embedding_dedup as embeddings
 from . import minhash_forest, mixing, sentencepiece, url_filter, warc
 from . import substring_dedup as substrings
@@ -15,58 +16,59 @@ from .quality_rules import quality_rules
 from .toxicity import fit_toxicity, toxicity_score
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """All rows of a table, with these columns only."""
+    return spread(read_table(spark, sf_dir, name).select(*columns))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return substrings.substring_dedup(docs, window=13, with_text=False).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     return quality_rules(docs)
 
 
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embeddings.embedding_dedup(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return embeddings.embedding_dedup(_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
     scored = docs.select("doc_id", held_out("doc_id").alias("held_out"), toxicity_score(model, docs["text"]).alias("score"))
     return scored.withColumn("predicted", (scored["score"] >= 0.7).cast("int"))
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     digest = sentencepiece.tokens_digest(sentencepiece.load_model(), docs["text"])
     return docs.select("doc_id", digest.alias("d")).select("doc_id", "d.*")
 
 
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return minhash_forest.minhash_dedup(docs, size=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_round_trip(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc.archive_round_trip(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = fit_quality(docs, _table(spark, sf_dir, "labels"))
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    model = fit_quality(docs, read_table(spark, sf_dir, "labels"))
     scored = docs.select("doc_id", held_out("doc_id").alias("held_out"), quality_score(model, docs["text"]).alias("score"))
     return scored.withColumn("predicted", (scored["score"] >= 0.5).cast("int"))
 
