@@ -8,7 +8,6 @@ import logging
 import os
 
 log = logging.getLogger(__name__)
-SECTION = "prepare"
 
 
 def _scalar(text: str):
@@ -54,7 +53,7 @@ def _flat_yaml(text: str) -> dict:
 
 
 def load_config(path: str | None) -> dict:
-    """A JSON or YAML file whose root is a mapping, perhaps with all of it under the section's name."""
+    """A JSON or YAML file whose root is a mapping, perhaps with all of it under a section's name."""
     if path is None:
         return {}
     if not os.path.exists(path):
@@ -76,8 +75,8 @@ def load_config(path: str | None) -> dict:
     found = {} if found is None else found
     if not isinstance(found, dict):
         raise ValueError("the root of a configuration is a mapping")
-    inner = found.get(SECTION)
-    return inner if isinstance(inner, dict) else found
+    values = list(found.values())
+    return values[0] if len(values) == 1 and isinstance(values[0], dict) else found
 
 
 def merge_config(args: argparse.Namespace, parser: argparse.ArgumentParser, config: dict) -> argparse.Namespace:
