@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from . import textblocks as tb
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-#: Words whose ids a Python worker remembers, and pairs of pieces whose fate it remembers.
-WORDS_KEPT, PAIRS_KEPT = 500_000, 2_000_000
+#: Words whose ids a Python worker remembers, and pairs of pieces whose fate it remembers; characters of such a word.
+WORDS_KEPT, PAIRS_KEPT, LONGEST_KEPT = 120_000, 400_000, 64
 _MARK = "▁"
 _UNITS = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 
@@ -108,13 +108,13 @@ class Encoder:
     def encode_sorted(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of distinct words in sorted order, each from where it leaves the word before.
 
-        ``states`` has for each prefix of the word its ids, and its last id (BPE; -1 at the start and
-        after unknown characters) or its score (unigram).
+        ``states`` has for each prefix of the word where its last piece begins, that piece's id (-1 for an
+        unknown character) and what goes on from there: that id again for BPE, the score for unigram.
         """
         out: dict[str, tuple[int, ...]] = {}
         before = ""
         step = self._bpe_step if self.v.bpe else self._unigram_step
-        states: list[tuple] = [((), -1 if self.v.bpe else 0.0)]
+        states: list[tuple[int, int, float]] = [(0, -1, -1 if self.v.bpe else 0.0)]
         for word in words:
             n = 0
             for a, b in zip(before, word, strict=False):
@@ -124,52 +124,62 @@ class Encoder:
             del states[n + 1 :]
             for end in range(n + 1, len(word) + 1):
                 states.append(step(word, end, states))
-            out[word] = states[-1][0]
+            out[word] = self._path(word, states)
             before = word
         return out
 
-    def _bpe_step(self, word: str, end: int, states: list[tuple]) -> tuple:
+    def _path(self, word: str, states: list[tuple[int, int, float]]) -> tuple[int, ...]:
+        """The ids on the way back from the word's end."""
+        out: list[int] = []
+        end = len(word)
+        while end:
+            start, i, _ = states[end]
+            if i < 0:
+                out += reversed(self._bytes(word[start]))
+            else:
+                out.append(i)
+            end = start
+        out.reverse()
+        return tuple(out)
+
+    def _bpe_step(self, word: str, end: int, states: list[tuple[int, int, float]]) -> tuple[int, int, float]:
         ids, pairs, size = self.whole, self.pairs, len(self.surface)
         for start in range(end - self.v.longest if end > self.v.longest else 0, end):
             i = ids.get(word[start:end])
             if i is not None:
-                head, last = states[start]
+                last = states[start][2]
                 if last < 0:
-                    return head + (i,), i
+                    return start, i, i
                 known = pairs.get(last * size + i)
                 if known or (known is None and self._apart(last, i)):
-                    return head + (i,), i
-        return states[end - 1][0] + self._bytes(word[end - 1]), -1
+                    return start, i, i
+        return end - 1, -1, -1
 
-    def _unigram_step(self, word: str, end: int, states: list[tuple]) -> tuple:
-        head, score = states[end - 1]
-        best = (head + self._bytes(word[end - 1]), score + self.unknown_score)
+    def _unigram_step(self, word: str, end: int, states: list[tuple[int, int, float]]) -> tuple[int, int, float]:
+        best = (end - 1, -1, states[end - 1][2] + self.unknown_score)
         for start in range(max(0, end - self.v.longest), end):
             i = self.v.ids.get(word[start:end])
-            if i is not None:
-                head, score = states[start]
-                score += self.v.scores[i]
-                if score > best[1]:
-                    best = (head + (i,), score)
+            if i is not None and (score := states[start][2] + self.v.scores[i]) > best[2]:
+                best = (start, i, score)
         return best
 
     def encode(self, texts: list[str | None]) -> list[list[int] | None]:
         """Ids of each whole text; null stays null, an empty text has none."""
         units = [None if t is None else _UNITS.findall((" " if self.v.dummy else "") + t.replace(_MARK, " ")) if t else [] for t in texts]
-        new = {u for found in units if found for u in found}
-        new.difference_update(self.words)
+        own = {u for found in units if found for u in found}
+        new = own.difference(self.words)
         if len(self.words) + len(new) > WORDS_KEPT:
-            fresh = {u for found in units if found for u in found}
-            self.words = {}
-            new = fresh
-        self.words.update(self.encode_sorted(sorted(new)))
+            self.words, new = {}, own
+        known = self.encode_sorted(sorted(new))
+        self.words.update((w, ids) for w, ids in known.items() if len(w) <= LONGEST_KEPT)
+        known.update((w, self.words[w]) for w in own if w not in known)
         out = []
         for found in units:
             if found is None:
                 out.append(None)
                 continue
             row: list[int] = []
-            for ids in map(self.words.__getitem__, found):
+            for ids in map(known.__getitem__, found):
                 row += ids
             out.append(row)
         return out
