@@ -251,6 +251,30 @@ def normalize_stt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tailed(spark, sf_dir).select("doc_id", columns.normalize_transcript("t").alias("out"))
 
 
+# numbers before nouns: what a noun makes of the number, in either rewriter
+_NOUNS = {"\u05d9\u05dc\u05d3\u05d9\u05dd": ("mn", "m"), "\u05d9\u05dc\u05d3\u05d5\u05ea": ("fn", "f"), "\u05e9\u05e0\u05d9\u05dd": ("fn", "f"), "\u05e9\u05de\u05d5\u05ea": ("mn", "m"), "\u05e9\u05e7\u05dc": ("mn", "f"), "\u05db\u05e1\u05d0\u05d5\u05ea": ("mn", "f")}
+
+
+def _counted_sql(which: int) -> str:
+    parts = [f"SELECT n, spoken || ' ' || {_q(noun)} AS out FROM ({_sql_integer(_KEYS, genders[which])}) WHERE n % {len(_NOUNS)} = {i}" for i, (noun, genders) in enumerate(_NOUNS.items())]
+    return " UNION ALL ".join(parts)
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noun = F.element_at(F.array(*map(F.lit, _NOUNS)), (F.col("n") % len(_NOUNS) + 1).cast("int"))
+    return spread(_keys(spark, sf_dir)).select("n", F.concat(F.col("n").cast("string"), F.lit(" "), noun).alias("t"))
+
+
+@_query("normalize_tts_counted", _counted_sql(0))
+def normalize_tts_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted(spark, sf_dir).select("n", columns.normalize_speech("t", rewrite.EXPANDED).alias("out"))
+
+
+@_query("normalize_stt_counted", _counted_sql(1))
+def normalize_stt_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted(spark, sf_dir).select("n", columns.normalize_transcript("t").alias("out"))
+
+
 _COLOURS = {"red": "\u05d0\u05d3\u05d5\u05dd", "blue": "\u05db\u05d7\u05d5\u05dc", "green": "\u05d9\u05e8\u05d5\u05e7", "Brand#11": "\u05de\u05d5\u05ea\u05d2", "small": "\u05e7\u05d8\u05df"}
 _COLOUR_ROWS = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in _COLOURS.items())
 
@@ -295,7 +319,7 @@ def md_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.exclude_by_metadata(_t(spark, sf_dir, "events").select("event_id", "props"), "props", _EXCLUDED)
 
 
-@_query("sample_quality_gate", "SELECT d.doc_id, l.quality * 0.9 AS score FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) l USING (doc_id) WHERE l.quality IS NULL OR l.quality * 0.9 >= 0.6")
+@_query("sample_quality_gate", "SELECT d.doc_id, l.quality * 0.9::DOUBLE AS score FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) l USING (doc_id) WHERE l.quality IS NULL OR l.quality * 0.9::DOUBLE >= 0.6")
 def sample_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = _t(spark, sf_dir, "labels").groupBy("doc_id").agg((F.max("quality") * F.lit(0.9)).alias("score"))
     return filters.quality_gate(_t(spark, sf_dir, "documents").select("doc_id").join(scores, "doc_id", "left"), "score", 0.6)
@@ -367,12 +391,33 @@ def _slice_rows(sliced: DataFrame) -> DataFrame:
     return rows.select("user_id", "slice_idx", F.round("seek", 6).alias("seek"), F.round("duration", 6).alias("duration"), F.size("segments").alias("n"), slicing.segment_text("segments").alias("text"))
 
 
-@_query("greedy_slices")
+def _slices_sql(threshold: float) -> str:
+    """The same packing as a recursion: a step skips a segment or makes a slice; places count from 1."""
+    poor = f"(j > i AND list_aggregate(g[i : j - 1], 'median') < {threshold})"
+    return f"""
+  WITH RECURSIVE users AS (
+    SELECT user_id, list(s - f ORDER BY s, event_id) AS a, list(e - f ORDER BY s, event_id) AS b, list(t ORDER BY s, event_id) AS t, list((event_id % 10) / 10.0::DOUBLE ORDER BY s, event_id) AS g, any_value(l - f + 1) AS audio, count(*)::INT AS n
+    FROM (SELECT *, min(s) OVER (PARTITION BY user_id) AS f, max(e) OVER (PARTITION BY user_id) AS l FROM {_SEGMENTS}) GROUP BY user_id),
+  steps AS (
+    SELECT user_id, 1 AS i, 0.0::DOUBLE AS pos, 0 AS done, false AS made, 0.0::DOUBLE AS seek, 0.0::DOUBLE AS duration, 0 AS k, '' AS text FROM users
+    UNION ALL
+    SELECT user_id, CASE WHEN skip THEN i + 1 WHEN {poor} THEN r ELSE j END,
+      CASE WHEN skip THEN coalesce(a[i + 1], audio) WHEN {poor} THEN coalesce(a[r], audio) WHEN j <= n AND a[j] < stop THEN a[j] ELSE pos + 30.0 END,
+      done + CASE WHEN skip THEN 0 ELSE 1 END, NOT skip, pos, CASE WHEN j > i THEN least(b[j - 1], audio) - pos ELSE 0.0 END, CASE WHEN {poor} THEN 0 ELSE j - i END, CASE WHEN {poor} THEN '' ELSE array_to_string(t[i : j - 1], '') END
+    FROM (
+      SELECT *, coalesce(list_min(list_filter(range(i + 1, j), lambda x: g[x] >= {threshold})), j)::INT AS r FROM (
+        SELECT *, coalesce(list_min(list_filter(range(i, n + 1), lambda x: NOT (a[x] < stop AND least(b[x], audio) <= stop))), n + 1)::INT AS j FROM (
+          SELECT s.user_id, s.i, s.pos, s.done, u.a, u.b, u.t, u.g, u.audio, u.n, least(s.pos + 30.0, u.audio) AS stop, coalesce(u.b[s.i] - u.a[s.i] > 30.0 OR u.b[s.i] - u.a[s.i] = 0, false) AS skip
+          FROM steps s JOIN users u USING (user_id) WHERE s.pos < u.audio))))
+  SELECT user_id, done - 1 AS slice_idx, round(seek, 6) AS seek, round(duration, 6) AS duration, k AS n, text FROM steps WHERE made"""
+
+
+@_query("greedy_slices", _slices_sql(0.0))
 def greedy_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _slice_rows(slicing.slice_entries(_entries(spark, sf_dir), "user_id", "segments", "audio", 30.0))
 
 
-@_query("greedy_slices_quality")
+@_query("greedy_slices_quality", _slices_sql(0.45))
 def greedy_slices_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _slice_rows(slicing.slice_entries(_entries(spark, sf_dir), "user_id", "segments", "audio", 30.0, threshold=0.45))
 
