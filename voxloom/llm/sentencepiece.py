@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from . import textblocks as tb
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words whose ids a Python worker remembers, and pairs of pieces whose fate it remembers; characters of such a word.
-WORDS_KEPT, PAIRS_KEPT, LONGEST_KEPT = 120_000, 400_000, 64
+WORDS_KEPT, PAIRS_KEPT, LONGEST_KEPT = 250_000, 600_000, 64
 _MARK = "▁"
 _UNITS = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 
@@ -76,7 +77,9 @@ class Encoder:
         for piece, i in self.v.ids.items():
             self.surface[i] = piece
         # pieces that merging makes of their own characters: the others never end a BPE encoding
-        self.whole = {p: i for p, i in self.v.ids.items() if not self.v.bpe or self.merged(p) == [p]}
+        whole = {p: i for p, i in self.v.ids.items() if not self.v.bpe or self.merged(p) == [p]}
+        # every end of such a piece, with the piece's id if it is one itself
+        self.tails = {p[k:]: -1 for p in whole for k in range(len(p))} | whole
         self.unknown_score = min((self.v.scores[i] for i in self.v.ids.values()), default=0.0) - 10.0
 
     def merged(self, text: str) -> list[str]:
@@ -143,16 +146,22 @@ class Encoder:
         return tuple(out)
 
     def _bpe_step(self, word: str, end: int, states: list[tuple[int, int, float]]) -> tuple[int, int, float]:
-        ids, pairs, size = self.whole, self.pairs, len(self.surface)
-        for start in range(end - self.v.longest if end > self.v.longest else 0, end):
-            i = ids.get(word[start:end])
-            if i is not None:
-                last = states[start][2]
-                if last < 0:
-                    return start, i, i
-                known = pairs.get(last * size + i)
-                if known or (known is None and self._apart(last, i)):
-                    return start, i, i
+        tails, pairs, size, found = self.tails, self.pairs, len(self.surface), []
+        start = end - 1
+        while start >= 0:
+            i = tails.get(word[start:end])
+            if i is None:  # no piece ends like this, so none that begins further left does
+                break
+            if i >= 0:
+                found.append((start, i))
+            start -= 1
+        for start, i in reversed(found):
+            last = states[start][2]
+            if last < 0:
+                return start, i, i
+            known = pairs.get(last * size + i)
+            if known or (known is None and self._apart(last, i)):
+                return start, i, i
         return end - 1, -1, -1
 
     def _unigram_step(self, word: str, end: int, states: list[tuple[int, int, float]]) -> tuple[int, int, float]:
@@ -232,7 +241,7 @@ def decode(model: bytes, ids: Column) -> Column:
 
 
 def tokens_digest(model: bytes, text: Column) -> Column:
-    """Number of ids, SHA-256 of their decimal forms joined by blanks, and whether they decode to the text."""
+    """Number of ids, SHA-256 of their 32-bit little-endian forms, and whether they decode to the text."""
 
     @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,round_trip:boolean>")
     def run(texts: pa.Array) -> pa.Array:
@@ -243,7 +252,7 @@ def tokens_digest(model: bytes, text: Column) -> Column:
             for text, ids in zip(plain, e.encode(plain), strict=True):
                 ids = ids or []
                 counts.append(len(ids))
-                digests.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                digests.append(hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest())
                 exact.append(e.decode(ids) == (text or ""))
         return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(exact, pa.bool_())], ["n_tokens", "ids_sha256", "round_trip"])
 
