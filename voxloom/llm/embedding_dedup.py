@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +29,8 @@ from .shared import stage
 BLOCK = 2048
 #: Distinct vectors on which centres are fitted, at most.
 SAMPLE = 20_000
+#: Products that cost about as much as moving a vector to one more cell.
+MOVE = 500
 #: Numbers of cells to choose from.
 CELLS = (4, 16, 64, 256)
 #: Slack of the products in float64, within which the cosine is recomputed as defined.
@@ -66,18 +67,26 @@ def _spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 23) ->
     return np.unique(centres, axis=0)
 
 
-def fit_cells(x: np.ndarray, threshold: float) -> Cells:
-    """The number of cells with the fewest expected products on the sample: home times members, summed."""
+def fit_cells(x: np.ndarray, labels: np.ndarray, rows: int, threshold: float) -> Cells:
+    """The number of cells with the least work expected for ``rows`` vectors, judged by a sample of them.
+
+    Work is the products of home vectors with members of their cell and label, which grow with the
+    square of the rows, and moving each vector to every cell where it is a member.
+    """
     radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
+    scale, codes = rows / max(1, len(x)), np.unique(labels, return_inverse=True)[1]
     best = None
     for k in CELLS:
         if best is not None and k * 4 > len(x):
             break
         cells = Cells(_spherical_kmeans(x, k), radius)
         home, member = cells.assign(x)
-        cost = float((np.bincount(home, minlength=len(cells.centres)) * member.sum(0)).sum()) + len(x) * k
-        if best is None or cost < best[0]:
-            best = (cost, cells)
+        homes, members = np.zeros((codes.max(initial=0) + 1, len(cells.centres))), np.zeros((codes.max(initial=0) + 1, len(cells.centres)))
+        np.add.at(homes, (codes, home), 1)
+        np.add.at(members, codes, member)
+        work = scale**2 * float((homes * members).sum()) + scale * MOVE * float(member.sum())
+        if best is None or work < best[0]:
+            best = (work, cells)
     return best[1]
 
 
@@ -128,10 +137,14 @@ def _valid(vector: Column) -> Column:
 _FOUND = "node long, key long, links long, other long"
 
 
+def _found(*columns: list) -> pa.Table:
+    return pa.table([pa.array(c, pa.int64()) for c in columns], names=["node", "key", "links", "other"])
+
+
 def _compare(nodes: DataFrame, dim: int, threshold: float) -> DataFrame:
     """Rows ``(node, key, links, null)``, summands of a node's links, and ``(node, key, 0, other)``, edges."""
-    sample = nodes.orderBy(F.xxhash64("key", "node"), "node").limit(SAMPLE).select("x").toArrow()
-    cells = fit_cells(_unit(_matrix(sample.column("x").combine_chunks(), dim)), threshold)
+    sample = nodes.orderBy(F.xxhash64("key", "node"), "node").limit(SAMPLE).select("x", "label").toArrow()
+    cells = fit_cells(_unit(_matrix(sample.column("x").combine_chunks(), dim)), np.array(sample.column("label").to_pylist()), nodes.count(), threshold)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,22 +163,20 @@ def _compare(nodes: DataFrame, dim: int, threshold: float) -> DataFrame:
     homes = placed.where("home").withColumn("h", F.pmod(slot, "h_blocks").cast("int")).withColumn("m", spread("m_blocks")).select(*own)
     members = placed.withColumn("m", F.pmod(slot, "m_blocks").cast("int")).withColumn("h", spread("h_blocks")).select(*[F.col(c).alias(f"m_{c}") for c in own])
 
-    def multiply(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"node": [], "key": [], "links": [], "other": []}, dtype="Int64")
-        right = right.rename(columns=lambda c: c.removeprefix("m_"))
-        raw_a, raw_b = (np.stack(f["x"].to_numpy()).astype(np.float64) for f in (left, right))
+    def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _found([], [], [], [])
+        raw_a, raw_b = _matrix(left.column("x").combine_chunks(), dim), _matrix(right.column("m_x").combine_chunks(), dim)
         linked = _links(_unit(raw_a), _unit(raw_b), raw_a, raw_b, threshold)
-        a, b = left["node"].to_numpy(), right["node"].to_numpy()
-        counts = pd.DataFrame({"node": a, "key": left["key"].to_numpy(), "links": linked.astype(np.int64) @ right["copies"].to_numpy().astype(np.int64)})
+        a, b, copies = left.column("node").to_numpy(), right.column("m_node").to_numpy(), right.column("m_copies").to_numpy()
         edges = _spanning(linked, a, b)
-        more = pd.DataFrame({"node": [e[0] for e in edges], "key": 0, "links": 0, "other": [e[1] for e in edges]})
-        counts["other"] = pd.array([None] * len(counts), dtype="Int64")
-        out = pd.concat([counts[counts["links"] > 0], more.astype({"other": "Int64"})]) if edges else counts[counts["links"] > 0]
-        return out[["node", "key", "links", "other"]].astype("Int64")
+        n, sums = len(edges), linked.astype(np.float64) @ copies.astype(np.float64)
+        some = np.flatnonzero(sums > 0)
+        keys = left.column("key").to_numpy()
+        return _found([*a[some].tolist(), *(e[0] for e in edges)], [*keys[some].tolist(), *[0] * n], [*sums[some].astype(np.int64).tolist(), *[0] * n], [*[None] * len(some), *(e[1] for e in edges)])
 
     group = ["label", "cell", "h", "m"]
-    return homes.groupBy(*group).cogroup(members.groupBy(*[f"m_{c}" for c in group])).applyInPandas(multiply, _FOUND)
+    return homes.groupBy(*group).cogroup(members.groupBy(*[f"m_{c}" for c in group])).applyInArrow(multiply, _FOUND)
 
 
 def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.98) -> DataFrame:
