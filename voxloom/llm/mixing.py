@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from .shared import stage
 
 _SPACES = " \t\n\x0b\x0c\r"
-#: Rows that a key range has about.
-RANGE_ROWS = 2000
+#: Rows of a key range, about, were all rows of one source.
+RANGE_ROWS = 250
 _KEY_BITS = 20
 
 
