@@ -22,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,9 +102,8 @@ def _sets(size: int):
     return run
 
 
-def _as_matrix(sigs: pa.Array | pd.Series) -> np.ndarray:
-    rows = sigs.to_pylist() if isinstance(sigs, pa.Array) else list(sigs)
-    return np.frombuffer(b"".join(rows), ">u4").reshape(-1, _MINIMA)
+def _as_matrix(sigs: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(sigs.to_pylist()), ">u4").reshape(-1, _MINIMA)
 
 
 def _least_agreement(percent: int) -> int:
@@ -171,7 +169,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common)).select("a", "b")
 
 
-def _spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray, groups: tuple[np.ndarray, np.ndarray]) -> pd.DataFrame:
+def _spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray, groups: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
     """Of the linked pairs, edges that connect as many of the groups as all of them would."""
     parent: dict[int, int] = {}
 
@@ -186,8 +184,12 @@ def _spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray, groups: t
         p, q = root(int(groups[0][i])), root(int(groups[1][j]))
         if p != q:
             parent[max(p, q)] = min(p, q)
-            out.append((left[i], right[j]))
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+            out.append((int(left[i]), int(right[j])))
+    return out
+
+
+def _pairs(names: tuple[str, str], first, second) -> pa.Table:
+    return pa.table([pa.array(first, pa.int64()), pa.array(second, pa.int64())], names=list(names))
 
 
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -229,34 +231,34 @@ def _whole_regions(members: DataFrame, sets_of, percent: int) -> list[DataFrame]
     pairs = stage(pairs.where(_alike(percent, F.col("sig"), F.col("b_sig"))).select("a", "b").distinct(), "small-region-pairs")
     least = _least_agreement(percent)
 
-    def flag(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"region": [], "id": []}, dtype="int64")
-        if len(left) and len(right):
-            x, y = _as_matrix(left["sig"]), _as_matrix(right["r_sig"])
-            agree = np.zeros((len(x), len(y)), np.int16)
-            for k in range(_MINIMA):
-                agree += x[:, k][:, None] == y[:, k][None]
-            hit = (agree >= least) & (left["comp"].to_numpy()[:, None] != right["r_comp"].to_numpy()[None])
-            ids = np.concatenate([left["id"].to_numpy()[hit.any(1)], right["r_id"].to_numpy()[hit.any(0)]])
-            out = pd.DataFrame({"region": left["region"].iloc[0], "id": ids}, dtype="int64")
-        return out
+    def flag(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _pairs(("region", "id"), [], [])
+        x, y = _as_matrix(left.column("sig")), _as_matrix(right.column("r_sig"))
+        agree = np.zeros((len(x), len(y)), np.int16)
+        for k in range(_MINIMA):
+            agree += x[:, k][:, None] == y[:, k][None]
+        hit = (agree >= least) & (left.column("comp").to_numpy()[:, None] != right.column("r_comp").to_numpy()[None])
+        ids = np.concatenate([left.column("id").to_numpy()[hit.any(1)], right.column("r_id").to_numpy()[hit.any(0)]])
+        return _pairs(("region", "id"), [left.column("region")[0].as_py()] * len(ids), ids)
 
     crowded = members.where(F.col("cnt") > PART)
-    flagged = _block_pairs(crowded, ["id", "comp", "sig"]).applyInPandas(flag, "region long, id long").distinct()
+    flagged = _block_pairs(crowded, ["id", "comp", "sig"]).applyInArrow(flag, "region long, id long").distinct()
     flagged = stage(flagged.join(crowded.select("region", "id", "comp", "cnt"), ["region", "id"]), "crowded-regions")
     sets = sets_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(flagged.select("id")))
 
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        a, b = ([np.asarray(s) for s in x] for x in (left["set"], right["r_set"]))
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _pairs(("a", "b"), [], [])
+        a, b = ([s.values.to_numpy() for s in column] for column in (left.column("set"), right.column("r_set")))
         common = _overlaps(a, b)
         total = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b])[None]
-        groups = left["comp"].to_numpy(), right["r_comp"].to_numpy()
+        groups = left.column("comp").to_numpy(), right.column("r_comp").to_numpy()
         linked = (100 * common >= percent * (total - common)) & (groups[0][:, None] != groups[1][None])
-        return _spanning(linked, left["id"].to_numpy(), right["r_id"].to_numpy(), groups)
+        edges = _spanning(linked, left.column("id").to_numpy(), right.column("r_id").to_numpy(), groups)
+        return _pairs(("a", "b"), [e[0] for e in edges], [e[1] for e in edges])
 
-    links = _block_pairs(flagged.join(sets, "id"), ["id", "comp", "set"]).applyInPandas(compare, "a long, b long")
+    links = _block_pairs(flagged.join(sets, "id"), ["id", "comp", "set"]).applyInArrow(compare, "a long, b long")
     return [stage(_confirm(pairs, sets, percent), "small-region-links"), stage(links, "crowded-region-links")]
 
 

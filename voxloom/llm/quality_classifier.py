@@ -41,7 +41,12 @@ def quality_score(model: Mil, text: Column) -> Column:
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **fit: int) -> DataFrame:
-    """All rows and columns of ``docs`` in a struct ``row``, with ``score``."""
+    """All rows and columns of ``docs`` in a struct ``row``, with ``score``.
+
+    Null, empty and blank texts are a bag of one passage without words. A null id is never held out and
+    has no label; repeated rows are scored one by one. Extra columns, whatever their names, stay in
+    ``row``. An empty table gives an empty result.
+    """
     model = fit_quality(docs.select(id_col, text_col), labels, id_col=id_col, text_col=text_col, **fit)
     out = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     return out.withColumn("score", quality_score(model, F.col("row").getField(text_col)))

@@ -108,7 +108,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Words are runs of characters other than the six ASCII white-space ones. Null and empty texts have
     no words and fail the base rules. Null languages and sources are groups of their own. Repeated
-    rows are judged one by one. Columns other than the four named are not read.
+    rows are judged one by one. Columns other than the four named are not read. An empty table gives an
+    empty result.
     """
     m = stage(_rates(measure(docs, id_col, text_col, groups)), "quality-measures")
     t = stage(thresholds(m, fences), "quality-fences")

@@ -260,7 +260,12 @@ def tokens_digest(model: bytes, text: Column) -> Column:
 
 
 def encode_documents(docs: DataFrame, text_col: str = "text", model_path: str = MODEL_PATH) -> DataFrame:
-    """All rows and columns of ``docs`` in a struct ``row``, with ``ids`` and ``n_tokens`` (0 for null)."""
+    """All rows and columns of ``docs`` in a struct ``row``, with ``ids`` and ``n_tokens`` (0 for null).
+
+    A null text has null ids, an empty one none. Texts and words of any length are encoded whole.
+    Repeated rows and null ids of documents are rows like any other; extra columns stay in ``row``. An
+    empty table gives an empty result. ``model_path`` is read on the driver alone.
+    """
     out = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     out = out.withColumn("ids", encode(load_model(model_path), F.col("row").getField(text_col)))
     return out.withColumn("n_tokens", F.coalesce(F.size("ids"), F.lit(0)).cast("long"))

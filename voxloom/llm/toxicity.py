@@ -79,7 +79,12 @@ def toxicity_score(model: ToxicityModel, text: Column) -> Column:
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **fit: int) -> DataFrame:
     """All rows and columns of ``docs`` in a struct ``row``, with ``score`` and ``rejected`` (score at
-    or above the threshold of the row's language)."""
+    or above the threshold of the row's language).
+
+    Null, empty and blank texts have the score of a text without words. A null id is never held out and
+    has no label; repeated rows are scored one by one. Extra columns, whatever their names, stay in
+    ``row``. An empty table gives an empty result, whatever the labels.
+    """
     model = fit_toxicity(docs.select(id_col, text_col, lang_col), labels, id_col=id_col, text_col=text_col, **fit)
     out = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     out = out.withColumn("score", toxicity_score(model, F.col("row").getField(text_col)))

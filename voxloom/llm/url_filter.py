@@ -136,8 +136,10 @@ def token_counts(urls: DataFrame, url_col: str, tokens: list[str]) -> dict[str,
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", sites: tuple[SiteRule, ...] = SITE_RULES, patterns: tuple[PatternRule, ...] = PATTERN_RULES) -> DataFrame:
     """Per row: id, host, path, rule, verdict, pattern and n_tried.
 
-    Null URLs and those without ``://`` have empty host and path and are allowed. Ids may be null or
-    repeated; each row is judged by its own URL. Other columns are not read. The index has a size
+    Null and empty URLs and those without ``://`` have empty host and path and are allowed, as are URLs
+    that no rule fits. Of site rules the longest fitting one wins, the first of equals. Ids may be null
+    or repeated; each row is judged by its own URL, however long. Other columns are not read. An empty
+    table gives an empty result. The index has a size
     bounded by the rules, which are arguments of this call.
     """
     rows = pages.select(pages[f"`{id_col}`"].alias("id"), pages[f"`{url_col}`"].alias("url"))
