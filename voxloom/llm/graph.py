@@ -2,8 +2,7 @@
 
 Each step sends a node's neighbours to their least neighbour. Nothing is collected but two numbers
 a round that tell whether the edges still change, and no node's neighbours are ever gathered in a
-list: the least one is a pre-aggregated minimum, and the join with it is one whose large keys
-Spark's adaptive execution splits. Each round's edges are a table in the shared folder.
+list: the least one is a pre-aggregated minimum. Each step's edges are a table in the shared folder.
 """
 
 from __future__ import annotations
@@ -20,16 +19,25 @@ def _state(edges: DataFrame) -> tuple:
     return row[0], row[1]
 
 
-def _large_star(e: DataFrame) -> DataFrame:
-    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+def _to_least(edges: DataFrame, least: DataFrame, keep: str) -> DataFrame:
+    """Edges from each kept neighbour of a node to the node's least one."""
+    return edges.join(least, "u").where(keep).select(F.col("v").alias("u"), F.col("m").alias("v"))
+
 
+def _round(e: DataFrame) -> DataFrame:
+    """A large-star and a small-star step, as a new table.
 
-def _small_star(e: DataFrame) -> DataFrame:
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
-    moved = e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v")))
+    The least neighbours are tables too, so that the join with the edges of a node that very many
+    others hang on is broadcast where they are few, and split where they are many.
+    """
+    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    large = stage(_to_least(both, least, "v > u").distinct(), "edges")
+    lower = stage(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+    small = stage(_to_least(large, lower, "v <> m").unionByName(lower.select("u", F.col("m").alias("v"))).distinct(), "edges")
+    for t in (least, large, lower):
+        discard(t)
+    return small
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -42,7 +50,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     e = stage(e.where("_a is not null and _b is not null and u <> v").select("u", "v").distinct(), "edges")
     state = _state(e)
     while state[0]:
-        new = stage(_small_star(_large_star(e)).distinct(), "edges")
+        new = _round(e)
         discard(e)
         e, old = new, state
         state = _state(e)
