@@ -152,7 +152,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = ["ord", "h1"]
     slim = base.select(*key, "text")
     sizes = docs.select(F.coalesce(id_.cast("long"), F.lit(_LAST)).alias("ord"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("h1"), F.coalesce(F.xxhash64(F.lit("b"), text), F.lit(0)).alias("h2"))
-    first = sizes.groupBy("h1", "h2").agg(F.min("ord").alias("ord"))
+    first = stage(sizes.groupBy("h1", "h2").agg(F.min("ord").alias("ord")), "first-texts")
 
     # the first of each group of equal texts; its windows are the group's
     lead = slim.join(first.select(*key), key, "left_semi")
