@@ -56,6 +56,17 @@ def test_spoken_integer(spark, gender):
     assert got == {n: spoken.integer(n, gender) for n in numbers}
 
 
+@pytest.mark.parametrize("gender", ["f", "m", "f0", "m0", "fn", "mn"])
+def test_spoken_whole(spark, gender):
+    numbers = [*range(0, 1200), 999_999, 2**53 - 1, 2**53 + 1, 2**63 - 1, 999_999_999_999_999]
+    numbers += [k * size + rest for size in (10**6, 10**9, 10**12, 10**15, 10**18) for k in (1, 2, 3, 9) for rest in (0, 1, 2, 5, 20, 21, 22, 100, 102, 199, 345, 1000, 1002, 11_000, 102_002, 999_999) if k * size + rest < 2**63]
+    numbers += [1_001_000_000, 2_000_001_002, 21_345_678_901, 102_102_102_102, 1_000_000_002_000_000]
+    df = spark.createDataFrame([(n, n) for n in sorted(set(numbers))] + [(-1, -1), (-2, None)], "i long, t long")
+    got = pairs(df, columns.spoken_whole("t", gender))
+    assert got.pop(-1) is None and got.pop(-2) is None
+    assert got == {n: spoken.integer(n, gender) for n in numbers}
+
+
 def test_clock_date_phone(spark):
     times = [(h * 100 + m, h, m) for h in range(-1, 26) for m in (0, 1, 5, 10, 12, 15, 20, 30, 45, 59, 60)]
     df = spark.createDataFrame(times, "i int, h int, m int")

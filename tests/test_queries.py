@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from voxloom.functions import lexicon as lx
 from voxloom.plans import registry
 
 SF = "/root/testdata/sf0.001"
@@ -38,3 +39,12 @@ def test_query(spark, sql, name):
 def test_entry(spark):
     df = registry.entry(spark, SF)
     assert df.columns == ["doc_id", "clean", "changed"] and df.count() > 0
+
+
+def test_whole_keys(spark, sql):
+    """Every key is spelled, none as another one, and millions and billions occur."""
+    keys = sql.execute("SELECT count(DISTINCT l_orderkey) FROM lineitem").fetchone()[0]
+    for name, words in (("spoken_whole", "f"), ("normalize_counted_whole", "stt")):
+        out = registry.queries()[name](spark, SF).collect()
+        assert len({r["n"] for r in out}) == len(out) == keys
+        assert any(lx.BILLION in r[words] for r in out) and any(lx.MILLION in r[words] for r in out)

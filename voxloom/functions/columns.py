@@ -107,6 +107,45 @@ def spoken_integer(value: Column | str, gender: str = "f") -> Column:
     return F.when(n.between(0, 999_999), F.array_join(_below_thousand(n % 1000, gender, lead), " "))
 
 
+def _div(n: Column, by: int) -> Column:
+    return F.call_function("div", n, F.lit(by).cast("long"))
+
+
+def _three(n: Column, gender: str, after: Column) -> Column:
+    """0 to 999, ``after`` other parts or not."""
+    hundreds, rest = _div(n, 100), n % 100
+    joined = (after | (hundreds > 0)) & ((hundreds == 1) | (rest < 20) | (rest % 10 == 0))
+    last = F.concat(F.when(joined, F.lit(lx.AND)).otherwise(F.lit("")), _small(rest, gender))
+    return F.concat_ws(" ", F.when(hundreds > 0, _pick(lx.HUNDREDS, hundreds)), F.when((rest > 0) | (~after & (hundreds == 0)), last))
+
+
+def _count(group: Column) -> Column:
+    """Words of a group of three digits with its unit, if any; null for 0."""
+    x, unit = group["x"], group["unit"]
+    words = F.concat_ws(" ", _three(x, "m", group["after"]), F.when(unit != "", unit))
+    few = F.when(x <= 10, _pick(lx.THOUSANDS, F.least(x, F.lit(10)))).otherwise(words)
+    return F.when(x == 0, F.lit(None)).when(unit == lx.THOUSANDS[1], few).when((x == 1) & (unit != ""), unit).otherwise(words)
+
+
+def spoken_whole(value: Column | str, gender: str = "f") -> Column:
+    """Any whole number from 0 to the largest long in words, in native expressions; null for negative ones and null.
+
+    The number of billions is itself spelled with billions, millions and thousands. The groups before
+    the last share one lambda, as code for each of them outgrows what Spark compiles.
+    """
+    n = _col(value).cast("long")
+    b = _div(n, 10**9)
+    groups = [
+        (_div(b, 10**9), lx.BILLION), (_div(b, 10**6) % 1000, lx.MILLION), (_div(b, 1000) % 1000, lx.THOUSANDS[1]), (F.when(b == 1, 0).otherwise(b % 1000), ""), ((b > 0).cast("long"), lx.BILLION),
+        (_div(n, 10**6) % 1000, lx.MILLION), (_div(n, 1000) % 1000, lx.THOUSANDS[1]),
+    ]
+    groups = F.array(*[F.struct(x.cast("long").alias("x"), F.lit(unit).alias("unit"), ((b >= 1000) if unit == "" else F.lit(False)).alias("after")) for x, unit in groups])
+    last = F.when((n % 1000 > 0) | (n == 0), _three(n % 1000, gender, n >= 1000))
+    out = F.concat_ws(" ", F.transform(groups, _count), last)
+    two = {"mn": lx.TWO_OF_M, "fn": lx.TWO_OF_F}.get(gender)
+    return F.when(n >= 0, F.when(n % 100 == 2, F.lit(two)).otherwise(out) if two else out)
+
+
 def spoken_clock(hour: Column | str, minute: Column | str) -> Column:
     """A time of day in words; null outside 00:00 to 23:59."""
     h, m = _col(hour).cast("int"), _col(minute).cast("int")

@@ -188,6 +188,37 @@ def spoken_form_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keys(spark, sf_dir).select("n", columns.spoken_form(F.col("n").cast("string"), "f").alias("spoken"))
 
 
+def _sql_whole(source: str, gender: str, levels: int = 1) -> str:
+    """SELECT n and its words FROM ``source``, which has a BIGINT n from 0 up: millions, billions and the rest by the SQL above."""
+    low, millions = _sql_integer(f"SELECT DISTINCT n % 1000000 AS n FROM ({source})", gender), _sql_integer(f"SELECT DISTINCT n // 1000000 % 1000 AS n FROM ({source})", "m")
+    count = f"SELECT DISTINCT n // 1000000000 AS n FROM ({source})"
+    billions = _sql_whole(count, "m", levels - 1) if levels else _sql_integer(count, "m")
+    part = lambda t, unit: f"CASE {t}.n WHEN 0 THEN '' WHEN 1 THEN {_q(unit)} ELSE {t}.spoken || {_q(' ' + unit)} END"
+    joined = "k.n >= 1000000 AND l.n < 100 AND (l.n < 20 OR l.n % 10 = 0)"
+    last = f"CASE WHEN l.n = 0 AND k.n > 0 THEN '' WHEN {joined} THEN {_q(lx.AND)} || l.spoken ELSE l.spoken END"
+    whole = f"array_to_string(list_filter([{part('b', lx.BILLION)}, {part('m', lx.MILLION)}, {last}], lambda x: x <> ''), ' ')"
+    two = {"mn": lx.TWO_OF_M, "fn": lx.TWO_OF_F}.get(gender)
+    if two:
+        whole = f"CASE WHEN k.n % 100 = 2 THEN {_q(two)} ELSE {whole} END"
+    return f"SELECT k.n, {whole} AS spoken FROM ({source}) k JOIN ({billions}) b ON b.n = k.n // 1000000000 JOIN ({millions}) m ON m.n = k.n // 1000000 % 1000 JOIN ({low}) l ON l.n = k.n % 1000000"
+
+
+#: Keys are spread so that millions and billions occur; no key is folded onto another one.
+_FACTOR = 7_000_021
+_WHOLE_KEYS = f"SELECT DISTINCT l_orderkey * {_FACTOR} AS n FROM lineitem"
+_GENDERS = ("f", "m", "mn", "fn", "f0", "m0")
+
+
+def _whole_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "lineitem").select((F.col("l_orderkey").cast("long") * _FACTOR).alias("n")).distinct()
+
+
+@_query("spoken_whole", f"SELECT n, {', '.join(f'{g}.spoken AS {g}' for g in _GENDERS)}, f.spoken AS token FROM ({_WHOLE_KEYS}) " + " ".join(f"JOIN ({_sql_whole(_WHOLE_KEYS, g)}) {g} USING (n)" for g in _GENDERS))
+def spoken_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    token = columns.spoken_form(F.col("n").cast("string"), "f")
+    return spread(_whole_keys(spark, sf_dir)).select("n", *[columns.spoken_whole("n", g).alias(g) for g in _GENDERS], token.alias("token"))
+
+
 _SQL_CLOCK = (
     f"SELECT h, m, CASE WHEN m = 0 THEN w || half WHEN m = 15 THEN w || ' {lx.AND_QUARTER}' || half WHEN m = 30 THEN w || ' {lx.AND_HALF}' || half "
     f"WHEN m % 10 = 0 THEN w || ' {lx.AND}' || ({_sql_small('m', 'm')}) ELSE w || ' ' || ({_sql_small('m', 'f')}) END AS spoken, n FROM "
@@ -260,9 +291,13 @@ def _counted_sql(which: int) -> str:
     return " UNION ALL ".join(parts)
 
 
-def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _before_nouns(keys: DataFrame) -> DataFrame:
     noun = F.element_at(F.array(*map(F.lit, _NOUNS)), (F.col("n") % len(_NOUNS) + 1).cast("int"))
-    return spread(_keys(spark, sf_dir)).select("n", F.concat(F.col("n").cast("string"), F.lit(" "), noun).alias("t"))
+    return spread(keys).select("n", F.concat(F.col("n").cast("string"), F.lit(" "), noun).alias("t"))
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _before_nouns(_keys(spark, sf_dir))
 
 
 @_query("normalize_tts_counted", _counted_sql(0))
@@ -275,6 +310,17 @@ def normalize_stt_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counted(spark, sf_dir).select("n", columns.normalize_transcript("t").alias("out"))
 
 
+def _counted_whole_sql(which: int) -> str:
+    parts = [f"SELECT n, spoken || ' ' || {_q(noun)} AS out FROM ({_sql_whole(_WHOLE_KEYS, genders[which])}) WHERE n % {len(_NOUNS)} = {i}" for i, (noun, genders) in enumerate(_NOUNS.items())]
+    return " UNION ALL ".join(parts)
+
+
+@_query("normalize_counted_whole", f"SELECT n, a.out AS tts, b.out AS stt FROM ({_counted_whole_sql(0)}) a JOIN ({_counted_whole_sql(1)}) b USING (n)")
+def normalize_counted_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = _before_nouns(_whole_keys(spark, sf_dir))
+    return counted.select("n", columns.normalize_speech("t", rewrite.EXPANDED).alias("tts"), columns.normalize_transcript("t").alias("stt"))
+
+
 _COLOURS = {"red": "\u05d0\u05d3\u05d5\u05dd", "blue": "\u05db\u05d7\u05d5\u05dc", "green": "\u05d9\u05e8\u05d5\u05e7", "Brand#11": "\u05de\u05d5\u05ea\u05d2", "small": "\u05e7\u05d8\u05df"}
 _COLOUR_ROWS = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in _COLOURS.items())
 
