@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxloom.llm import sentencepiece
@@ -58,13 +59,19 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; the one at a source's budget is cut after its last word taken.
 
-    Rows of which the mix takes no word are not in it. Rows that repeat id, text and source share evenly
-    what the mix takes of them.
+    Rows of which the mix takes no word are not in it. Of rows that repeat id, text and source each has
+    its own share: where a budget ends among them, the first of them are taken whole and one is cut.
     """
-    taken = mix_sources(docs).groupBy("doc_id", "text_key", "source").agg(F.max("size").alias("size"), F.expr("sum(taken) div count(*)").alias("taken")).where("taken > 0")
-    taken = stage(taken.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.col("text_key").alias("key"), F.col("source").alias("t_source"), "size", "taken"), "taken")
+    groups = mix_sources(docs).groupBy("doc_id", "text_key", "source")
+    taken = groups.agg(F.max("size").alias("size"), F.sum("taken").alias("total"), F.count("*").alias("copies"), F.max("taken").alias("most"), (F.min("taken") < F.max("taken")).alias("uneven")).where("total > 0")
+    taken = stage(taken.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("t_id"), F.col("text_key").alias("t_key"), F.col("source").alias("t_source"), "size", "total", "copies", "most", "uneven"), "taken")
     rows = _keyed(docs)
-    out = rows.join(taken, (rows["id"] == taken["id"]) & (rows["key"] == taken["key"]) & rows["row"]["source"].eqNullSafe(taken["t_source"])).select("row", "size", "taken")
+    found = rows.join(taken, (rows["id"] == taken["t_id"]) & (rows["key"] == taken["t_key"]) & rows["row"]["source"].eqNullSafe(taken["t_source"]))
+    out = found.where(~F.col("uneven")).select("row", "size", F.col("most").alias("taken"))
+    if not taken.where("uneven").isEmpty():  # a group a source at most; equal rows are interchangeable, others stand in the order of their columns
+        numbered = found.where("uneven").withColumn("nth", F.row_number().over(W.partitionBy("t_id", "t_key", "t_source").orderBy(F.to_json("row"))) - 1)
+        more = F.expr("case when nth < (total div size) % copies then size when nth = (total div size) % copies then total % size else 0 end")
+        out = out.unionByName(numbered.select("row", "size", (F.expr("size * ((total div size) div copies)") + more).alias("taken")).where("taken > 0"))
     rounds, rest = F.expr("taken div size"), F.expr("taken % size")
     whole = out.where(rounds > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), rounds.cast("int")))).select("row.*")
     words = F.filter(F.split(F.translate(F.col("row.text"), "\t\n\x0b\x0c\r", " " * 5), " ", -1), lambda w: w != "")

@@ -60,6 +60,19 @@ def test_mixing(spark, table):
     assert out.columns == COLUMNS and words == Counter({i: e[5] for i, e in taken.items() if e[5]})
 
 
+def test_mixing_repeated_rows(spark):
+    """A budget that ends among equal rows: whole texts and one cut, and no word of the budget lost."""
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = [(1, text, "en", "a", 1)] * 1000 + [(2, "x y z", "en", "b", 1)] * 7 + [(3, None, "en", "b", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    expected = Counter()
+    for e in brute_mix([(r[0], r[1], r[3]) for r in rows]):
+        words = (text if e[0] == 1 else "x y z").split()
+        if e[5]:
+            expected += Counter({(e[0], len(words)): e[5] // len(words), (e[0], e[5] % len(words)): 1 if e[5] % len(words) else 0})
+    assert Counter((r["doc_id"], len(r["text"].split())) for r in cp.mix(spark, df, SF).collect()) == expected
+
+
 def test_encoding(spark, table):
     e = sentencepiece.Encoder(sentencepiece.load_model())
     texts = {r[0]: r[1] for r in plain(table)}
