@@ -18,6 +18,7 @@ from voxloom.llm.mixing import mix_sources
 from voxloom.llm.shared import stage
 from voxloom.llm.substring_dedup import substring_dedup
 from voxloom.llm.toxicity import score_toxicity
+from voxloom.operators import partitioning
 from voxloom.sources.tables import read_table, spread
 
 
@@ -41,11 +42,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id: five-word shingles, similarity 0.8.
 
-    Of rows that repeat both id (or its absence) and text one stays.
+    Of rows that repeat both id (or its absence) and text one stays. Texts that share an id are documents
+    of their own: each links by its own words only.
     """
-    kept = minhash_dedup(docs).where("kept")
-    kept = kept.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.col("text_key").alias("key")).distinct()
-    return _keyed(docs).dropDuplicates(["id", "key"]).join(kept, ["id", "key"], "left_semi").select("row.*")
+    keyed = _keyed(docs)
+    texts = stage(keyed.select("id", "key").where(F.col("id") != _NO_ID).distinct(), "texts")
+    if texts.groupBy("id").count().where("count > 1").isEmpty():
+        kept = minhash_dedup(docs).where("kept")
+        kept = kept.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.col("text_key").alias("key")).distinct()
+    else:  # numbers in the order of the ids stand for the texts
+        nodes = stage(partitioning.with_row_index(texts, "id", ties=("key",)).select(F.col("id").alias("n_id"), F.col("key").alias("n_key"), F.col("row_idx").cast("long").alias("node")), "nodes")
+        own = keyed.join(nodes, (F.col("id") == F.col("n_id")) & (F.col("key") == F.col("n_key")), "left").select(F.col("node").alias("doc_id"), F.col("row.text").alias("text"))
+        kept = minhash_dedup(own).where("kept").join(nodes, F.col("doc_id") == F.col("node"), "left")
+        kept = kept.select(F.coalesce("n_id", F.lit(_NO_ID)).alias("id"), F.col("text_key").alias("key")).distinct()
+    return keyed.dropDuplicates(["id", "key"]).join(kept, ["id", "key"], "left_semi").select("row.*")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

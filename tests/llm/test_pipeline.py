@@ -39,6 +39,16 @@ def test_near_copies(spark, table):
     assert out.columns == COLUMNS and Counter(plain(out)) == Counter(r for r in rows if r[0] in kept)
 
 
+def test_near_copies_of_reused_ids(spark):
+    """Texts that share an id link each for itself; one document of every group of near copies stays."""
+    x, z, q = ([f"{c}{i}" for i in range(60)] for c in "xzq")
+    near = lambda words: " ".join([*words[:-1], "other"])
+    rows = [(5, " ".join(x)), (5, " ".join(z)), (9, " ".join(z)), (3, near(x)), (7, near(z)), (5, " ".join(z)), (None, " ".join(q)), (None, " ".join(q)), (4, " ".join(q)), (11, None), (11, "")]
+    df = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    out = Counter((r["doc_id"], r["text"]) for r in cp.drop_near_copies(spark, df, SF).collect())
+    assert out == Counter([(3, near(x)), (5, " ".join(z)), (None, " ".join(q)), (4, " ".join(q)), (11, None), (11, "")])
+
+
 def test_passages(spark, table):
     out = cp.cut_repeated_passages(spark, table, SF)
     expected = {e[0]: e for e in brute_cut([(r[0], r[1]) for r in plain(table)], 13)}

@@ -68,6 +68,6 @@ def split_counts(df: DataFrame, split: str = "split") -> DataFrame:
     return df.groupBy(split).agg(F.count("*").alias("n"))
 
 
-def with_row_index(df: DataFrame, order: str, ranges: int = 32) -> DataFrame:
-    """``row_idx`` from 0 in the order of a numeric column."""
-    return _ranks(df, [F.col(order)], ranges).withColumn("row_idx", F.col("_rank") - 1).drop("_rank")
+def with_row_index(df: DataFrame, order: str, ranges: int = 32, ties: tuple[str, ...] = ()) -> DataFrame:
+    """``row_idx`` from 0 in the order of a numeric column, equal values in that of ``ties``."""
+    return _ranks(df, [F.col(c) for c in (order, *ties)], ranges).withColumn("row_idx", F.col("_rank") - 1).drop("_rank")
