@@ -138,6 +138,14 @@ def test_command_line(spark, folder, tmp_path):
     assert sum(counts.values()) == datasets.open_dataset(spark, str(tmp_path / "ds")).count() and set(counts) == {"train", "eval"}
 
 
+def test_command_line_quarantine(spark, folder, tmp_path, caplog):
+    args = cli.parse([folder, "--max_duration", "10", "--min_duration", "3", "--output_dataset_name", str(tmp_path / "ds")])
+    cli.run(spark, args)
+    left_out = {r["entry"].split("/")[-2]: r["error"] for r in spark.read.parquet(str(tmp_path / "ds_quarantine")).collect()}
+    assert set(left_out) == {"strange", "missing", "noise"} and all(left_out.values())
+    assert "3 entries left out because of an error" in caplog.text
+
+
 def test_streams(spark, tmp_path):
     rows = [("u", "2024-01-01 00:00:00.0", "10km "), ("u", "2024-01-01 00:00:00.2", "b"), ("u", "2024-01-01 00:00:05", "c")]
     df = spark.createDataFrame(rows, "k string, ts string, t string").withColumn("ts", F.col("ts").cast("timestamp"))

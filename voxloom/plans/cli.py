@@ -72,7 +72,8 @@ def run(spark, args: argparse.Namespace) -> dict[str, int] | None:
         per_proc_per_chunk_size=args.per_proc_per_chunk_size, per_sample_quality_threshold=args.per_sample_quality_threshold, per_segment_quality_threshold=args.per_segment_quality_threshold,
         copy_metadata_fields=tuple(args.copy_metadata_fields), exclude_filters=args.exclude_filters, seed=args.seed, replacements=replacements.load_replacements(spark, args.word_replacements),
     )
-    examples = prepare(spark, c).examples
+    prepared = prepare(spark, c)
+    examples = prepared.examples
     if args.validation_split_size:
         key = "_key"
         examples = examples.selectExpr("*", "concat(metadata.entry_id, ':', metadata.seek) as _key")
@@ -81,6 +82,9 @@ def run(spark, args: argparse.Namespace) -> dict[str, int] | None:
         examples, args.output_dataset_name, args.dataset_name, args.dataset_version, args.dataset_license_file, language=args.dataset_card_language, license=args.dataset_card_license,
         language_creators=args.dataset_card_language_creators, task_categories=args.dataset_card_task_categories, pretty_name=args.dataset_card_pretty_name,
     )
+    left_out = datasets.write_quarantine(prepared.quarantine, args.output_dataset_name)
+    if left_out:
+        log.warning("%d entries left out because of an error", left_out)
     if counts is None:
         log.warning("no dataset was created")
     elif args.push_to_hub and args.output_dataset_name and args.hub_root:

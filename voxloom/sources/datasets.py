@@ -111,6 +111,19 @@ def write_dataset(df: DataFrame, path: str | None, name: str | None = None, vers
     return counts
 
 
+def write_quarantine(df: DataFrame, path: str | None) -> int:
+    """Write the entries left out, with the reason, as the table ``<path>_quarantine`` beside the dataset; their number.
+
+    The table is written even if no entry was left out, so that one of an earlier run does not stay.
+    Without a path they are only counted.
+    """
+    if path is None:
+        return df.count()
+    beside = path.rstrip("/") + "_quarantine"
+    df.write.mode("overwrite").parquet(beside)
+    return df.sparkSession.read.parquet(beside).count()
+
+
 class Hub:
     """Where a dataset could be pushed. This one only copies folders; a remote one would override ``push``."""
 
