@@ -2,7 +2,6 @@
 
 The rules are sequential with look-back, so an entry is packed in one piece of plain Python, inside
 a grouped map; groups are entries, or shards of entries if a controller adapts targets across them.
-Without a quality threshold and controller the same rules also have a native form.
 """
 
 from __future__ import annotations
