@@ -120,7 +120,7 @@ def test_order_limits_shards_splits(spark):
     rows = [(i, float((i * 7919) % 50) if i % 9 else None, f"p{i:04d}") for i in range(300)]
     df = spark.createDataFrame(rows, "i long, d double, path string").repartition(5)
     order = sorted(rows, key=lambda r: (r[1] or 0.0, r[2]))
-    got = partitioning.assign_shards(df, "d", "path", 30, ranges=7).orderBy("rank").collect()
+    got = partitioning.assign_shards(df, "d", "path", 30).orderBy("rank").collect()
     assert [r["i"] for r in got] == [r[0] for r in order] and [r["shard_id"] for r in got] == [i // 30 for i in range(300)]
     assert [r["i"] for r in partitioning.shortest(df, "d", "path", 5).collect()] == [r[0] for r in order[:5]] and partitioning.shortest(df, "d", "path", 0).count() == 300
     split = partitioning.exact_split(df, "i", 0.101, seed=3)

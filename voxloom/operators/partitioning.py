@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.shared import stage
+
 
 def duration_of(metadata: Column | str) -> Column:
     """Seconds from JSON metadata: ``duration``, or ``session_duration`` if that key is absent; 0 if unreadable."""
@@ -23,40 +25,40 @@ def shortest(df: DataFrame, duration: str, path: str, k: int | None) -> DataFram
     return ordered.limit(k) if k else ordered
 
 
-def _ranks(df: DataFrame, order: list[Column], ranges: int) -> DataFrame:
+def _ranks(df: DataFrame, order: list[Column]) -> DataFrame:
     """``_rank`` from 1 over the whole table without one task that sees all rows.
 
-    Rows are numbered within ranges of the first sort key, and each range gets the number of rows
-    before it. The ranges come from an approximate quantile, so a rank depends on the order alone.
+    Rows are dealt to ranges of the whole sort key, as many as there are shuffle partitions, and sorted
+    and numbered within them, as a table in the shared folder; each range then gets the number of rows
+    before it. The ranges come from a sample, but a rank depends on the order alone.
     """
-    first = df.withColumn("_k0", order[0])
-    cuts = first.agg(F.percentile_approx("_k0", [i / ranges for i in range(1, ranges)], 10_000).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    part = reduce(lambda acc, c: acc + (F.col("_k0") > F.lit(c)).cast("int"), cuts, F.lit(0))
-    dealt = first.withColumn("_part", F.coalesce(part, F.lit(-1)))
-    sizes = dealt.groupBy("_part").agg(F.count("*").alias("n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    numbered = dealt.withColumn("_in", F.row_number().over(W.partitionBy("_part").orderBy(*order)))
-    return numbered.join(F.broadcast(before), "_part").withColumn("_rank", F.col("_in") + F.col("_before")).drop("_k0", "_part", "_in", "_before")
-
-
-def assign_shards(df: DataFrame, duration: str, path: str, size: int, ranges: int = 32) -> DataFrame:
+    keys = [f"_k{i}" for i in range(len(order))]
+    dealt = df.select("*", *[o.alias(k) for o, k in zip(order, keys, strict=True)]).repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*keys)
+    dealt = stage(dealt.withColumn("_place", F.monotonically_increasing_id()), "ranked")  # the range's number and 33 bits of the row's
+    dealt = dealt.withColumn("_part", F.shiftright("_place", 33))
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("n"), F.min("_place").alias("_first"))
+    before = sizes.select("_part", "_first", F.coalesce(F.sum("n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    placed = dealt.join(F.broadcast(before), "_part")  # a row a range
+    return placed.withColumn("_rank", F.col("_place") - F.col("_first") + F.col("_before") + 1).drop("_part", "_place", "_first", "_before")
+
+
+def assign_shards(df: DataFrame, duration: str, path: str, size: int) -> DataFrame:
     """``rank`` by duration and path, and ``shard_id`` of ``size`` consecutive entries each."""
-    ranked = _ranks(df, [F.coalesce(F.col(duration), F.lit(0.0)), F.col(path)], ranges)
+    ranked = _ranks(df, [F.coalesce(F.col(duration), F.lit(0.0)), F.col(path)])
     return ranked.withColumn("rank", F.col("_rank")).withColumn("shard_id", F.floor((F.col("_rank") - 1) / size)).drop("_rank")
 
 
-def exact_split(df: DataFrame, key: str, size: float, seed: int = 0, ranges: int = 32) -> DataFrame:
-    """``split``: ``eval`` for ceil(size * n) rows in the order of a seeded hash of the key, else ``train``."""
+def exact_split(df: DataFrame, key: str, size: float, seed: int = 0) -> DataFrame:
+    """``split``: ``eval`` for ceil(size * n) rows in the order of a seeded hash of the key, else ``train``.
+
+    All of ``df`` is sorted: give wide rows' keys alone, and join. The split is exact with repeated keys too.
+    """
     if not 0 < size < 1:
         raise ValueError("the size of the validation split lies between 0 and 1")
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
-    total = df.count()
-    # the digest's first digits as a number: the range of a row, equal shares being equally full
-    keyed = df.withColumn("_digest", digest).withColumn("_lead", F.conv(F.substring("_digest", 1, 7), 16, 10).cast("long"))
-    ranked = _ranks(keyed, [F.col("_lead"), F.col("_digest"), F.col(key)], ranges)
-    wanted = -int(-(size * total) // 1)
-    return ranked.withColumn("split", F.when(F.col("_rank") <= wanted, "eval").otherwise("train")).drop("_digest", "_lead", "_rank")
+    ranked = _ranks(df, [digest, F.col(key)])
+    wanted = -int(-(size * ranked.count()) // 1)
+    return ranked.withColumn("split", F.when(F.col("_rank") <= wanted, "eval").otherwise("train")).drop("_rank")
 
 
 def concat_chunks(parts: list[DataFrame]) -> DataFrame:
@@ -68,6 +70,6 @@ def split_counts(df: DataFrame, split: str = "split") -> DataFrame:
     return df.groupBy(split).agg(F.count("*").alias("n"))
 
 
-def with_row_index(df: DataFrame, order: str, ranges: int = 32, ties: tuple[str, ...] = ()) -> DataFrame:
-    """``row_idx`` from 0 in the order of a numeric column, equal values in that of ``ties``."""
-    return _ranks(df, [F.col(c) for c in (order, *ties)], ranges).withColumn("row_idx", F.col("_rank") - 1).drop("_rank")
+def with_row_index(df: DataFrame, order: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """``row_idx`` from 0 in the order of a column, equal values in that of ``ties``."""
+    return _ranks(df, [F.col(c) for c in (order, *ties)]).withColumn("row_idx", F.col("_rank") - 1).drop("_rank")

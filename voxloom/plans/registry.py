@@ -530,18 +530,21 @@ def duration_hist20(spark: SparkSession, sf_dir: str) -> DataFrame:
 _INDEXED = "SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM documents"
 
 
-def _indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partitioning.with_row_index(_t(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+def _numbered(spark: SparkSession, sf_dir: str, pick: Callable[[DataFrame], DataFrame], *columns: str) -> DataFrame:
+    """Rows picked by their number: only the ids are numbered, and the picked ones joined with the rest."""
+    docs = _t(spark, sf_dir, "documents")
+    picked = pick(partitioning.with_row_index(docs.select("doc_id"), "doc_id"))
+    return docs.select("doc_id", *columns).join(F.broadcast(picked), "doc_id").select("row_idx", "doc_id", *columns)  # a page at most
 
 
 @_query("batch_page", f"SELECT row_idx, doc_id, lang FROM ({_INDEXED}) WHERE row_idx BETWEEN 40 AND 59")
 def batch_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.page(_indexed(spark, sf_dir), 40).select("row_idx", "doc_id", "lang")
+    return _numbered(spark, sf_dir, lambda rows: audit.page(rows, 40), "lang")
 
 
 @_query("row_at", f"SELECT row_idx, doc_id, text FROM ({_INDEXED}) WHERE row_idx = 123")
 def row_at(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.row_at(_indexed(spark, sf_dir), 123).select("row_idx", "doc_id", "text")
+    return _numbered(spark, sf_dir, lambda rows: audit.row_at(rows, 123), "text")
 
 
 @_query("text_fallback", "SELECT conv_id, turn, coalesce(nullif(CASE WHEN turn % 2 = 0 THEN '' ELSE role END, ''), text) AS raw FROM conversations")
