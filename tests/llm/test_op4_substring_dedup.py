@@ -1,7 +1,12 @@
 import hashlib
+import random
 from collections import Counter
 
-from tests.llm.conftest import SF
+import pytest
+
+from tests.llm.conftest import SF, WORDS
+from tests.llm.test_textblocks import thue_morse
+from voxloom.llm import substring_dedup as own
 from voxloom.llm.substring_dedup import substring_dedup
 
 
@@ -51,6 +56,39 @@ def test_table(spark):
     check(df, [(r["doc_id"], r["text"]) for r in df.collect()], 13)
 
 
+def test_words_that_regular_hashes_confuse(spark):
+    """Documents that repeat nothing lose nothing."""
+    one, two = thue_morse("a", "b")
+    rows = [(1, " ".join([one] * 13)), (2, " ".join([two] * 13)), (3, " ".join([one] * 6 + [two] * 7))]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows, 13)
+
+
+@pytest.mark.parametrize("bucket, block", [(50, 400), (10**6, 2000)])
+def test_many_buckets_and_blocks(spark, monkeypatch, bucket, block):
+    """Small bounds: windows of one document meet over many buckets, copies over many blocks."""
+    monkeypatch.setattr(own, "BUCKET", bucket)
+    monkeypatch.setattr(own, "BLOCK_BYTES", block)
+    rng = random.Random(4)
+    base = [rng.choices(WORDS, k=60) for _ in range(6)]
+    rows = []
+    for i in range(150):
+        b = rng.choice(base)
+        a, z = sorted(rng.choices(range(60), k=2))
+        rows.append((i, " ".join(rng.choices(WORDS, k=rng.randrange(5)) + b[a:z] + rng.choices(WORDS, k=rng.randrange(20)))))
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows, 13)
+    rows += rows[:40] + [(None, rows[3][1])] * 5
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows, 13)
+
+
+def test_ids_of_other_types(spark):
+    text = " ".join(WORDS[:20])
+    for kind, ids in (("long", [2**63 - 1, None, 2**63 - 2]), ("long", [-(2**63), 2**63 - 1, None]), ("string", ["b", "a", None]), ("double", [0.5, -1.0, None])):
+        df = spark.createDataFrame([(i, text) for i in ids], f"doc_id {kind}, text string")
+        got = {r["doc_id"]: r["n_removed"] for r in substring_dedup(df).select("row.doc_id", "n_removed").collect()}
+        least = min(i for i in ids if i is not None)
+        assert got == {i: 0 if i == least else 20 for i in ids}
+
+
 def test_columns_and_empty(docs, empty):
     assert substring_dedup(docs).select("row.*").columns == docs.columns
     assert substring_dedup(empty).count() == 0

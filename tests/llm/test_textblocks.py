@@ -33,6 +33,25 @@ def test_slices_of_batches_and_long_texts():
     assert tb.word_hashes(w)[0] == alone[0]
 
 
+def thue_morse(a, b, n=1024):
+    """A word and its complement, which polynomial hashes modulo a power of two don't tell apart."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+def test_regular_words_differ():
+    for a, b in (("a", "b"), ("ab", "ba"), ("abcdefgh", "ABCDEFGH")):
+        for n in (8, 16, 64, 1024, 4096):
+            w = tb.words(pa.array(thue_morse(a, b, n)))
+            for kind in (1, 2):
+                h = tb.word_hashes(w, kind=kind)
+                assert h[0] != h[1]
+    words = [x * n for x in ("a", "\x01", "z") for n in range(1, 400)]
+    assert len(set(tb.word_hashes(tb.words(pa.array([" ".join(words)]))).tolist())) == len(words)
+    one, two = (tb.word_hashes(tb.words(pa.array([" ".join(words)])), kind=k) for k in (1, 2))
+    assert not set(one.tolist()) & set(two.tolist())
+
+
 def test_windows():
     w = tb.words(pa.array(["a b c a b c d", "b c a"]))
     h = tb.window_hashes(tb.word_hashes(w), 3)

@@ -1,24 +1,19 @@
-"""Substring dedup: Rabin-Karp hashes of fixed-length word windows, counted in Spark.
+"""Substring dedup: Rabin-Karp hashes of every fixed-length word window, counted in Spark.
 
 A window of ``window`` consecutive words of a document goes when the same word sequence also starts
 in a document with a smaller id. Repeated windows of a document merge into maximal intervals, and
 every word of an interval is removed. All windows are judged on the input.
 
-The windows are counted in two exact steps, since most of them occur once:
-
-1. Each window has a minimiser, the least hash among its runs of ``ANCHOR`` words. Equal windows
-   have equal minimisers, and neighbouring windows mostly share theirs, so a document has about one
-   minimiser per five words. A minimiser that only one document has can't belong to a repeated
-   window; the rest are kept.
-2. Only windows with a kept minimiser are hashed in full (two independent 64-bit Rabin-Karp hashes)
-   and grouped by hash, with the least id of each.
-
-Documents with the same whole text (two 64-bit hashes) are settled before that: all but the first of
-them lose every word, if they have a window at all. All groupings of more than a document's own rows
-are minima, which Spark combines before the shuffle; all joins are on (id, text hash) or on a hash,
-with sides that adaptive execution may split. The two steps' results, lists of a document's own
-minimisers and window starts, are written to the shared folder, after which their shuffles' files go:
-the disk holds one step's shuffles at a time, and a very common window's join can be split.
+1. Every window of every text is hashed (96 bits of two independent Rabin-Karp hashes over two
+   independent hashes of each word). A block of texts is combined before the shuffle: of a window that
+   several of its documents have, only the one with the smallest id is sent on; the others' windows
+   are known to go. So a window that a third of all documents have makes one entry a block.
+2. The entries travel as sorted arrays, one row per block and bucket of hashes. A bucket holds about
+   ``BUCKET`` windows, whatever the table's size. Each bucket sorts its entries by hash, finds the
+   smallest id of each and returns the others.
+3. The hashes that go are gathered by document, as a table in the shared folder, and joined with the
+   documents; adaptive execution may split either side. A document's text is then hashed once more,
+   and the windows with these hashes are cut from it.
 """
 
 from __future__ import annotations
@@ -32,58 +27,137 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .shared import stage
-
-#: Words of the runs whose least hash is a window's minimiser.
-ANCHOR = 5
+from .ids import Ids, text_key
+from .shared import discard, stage
+
+#: Windows of a bucket, about, and bytes of whole texts that are combined before the shuffle.
+BUCKET, BLOCK_BYTES = 2_000_000, 8 << 20
+#: A word of running text has at least this many bytes, with its blank, on average: for the number of buckets only.
+_BYTES_A_WORD = 5
+#: In place of a null id: larger than any other.
 _LAST = 2**63 - 1
+_PACKED = "bucket long, w binary, v binary, ord binary, who binary"
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """The values' lowest bytes first, then their second bytes and so on: high bytes are alike and compress well."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _unpack(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    parts = [np.frombuffer(x.as_buffer(), np.uint8).reshape(size, -1).T for x in column]
+    return np.ascontiguousarray(np.concatenate(parts)).view(kind).reshape(-1) if parts else np.zeros(0, kind)
+
+
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets in the order of the hashes, equally wide."""
+    return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _slices(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The buckets of sorted entries, and where each one's entries are."""
+    ends = [*_runs(bucket).tolist(), len(bucket)]
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        yield int(bucket[a]), slice(a, b)
+
 
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where each run of equal rows of the sorted columns begins."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
 
-def _window_keys(w: tb.Words, h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text and first word (counted in the block) of each window, and its minimiser."""
-    keep = tb.inside_text(w, window)
-    anchor = min(ANCHOR, window)
-    least = tb.sliding_min(tb.window_hashes(h, anchor), window - anchor + 1)
-    at = np.flatnonzero(keep)
-    return w.text_of_word()[at], at, least[at]
 
+def _least(runs: np.ndarray, ord_: np.ndarray) -> np.ndarray:
+    """For each entry the smallest id of its run."""
+    return np.repeat(np.minimum.reduceat(ord_, runs), np.diff(np.append(runs, len(ord_)))) if len(ord_) else ord_
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), *[pa.binary()] * 4)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "w", "v", "ord", "who"])
+
+
+def _hash_windows(window: int, buckets: int):
+    """Entries of all windows by bucket; those known to go under -1 minus their document's bucket."""
 
-def _minimisers(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in tb.blocks(batch, "text"):
-                w = tb.words(block.column("text"))
-                text, _, least = _window_keys(w, tb.word_hashes(w), window)
-                new = np.ones(len(text), dtype=bool)
-                new[1:] = (text[1:] != text[:-1]) | (least[1:] != least[:-1])
-                rows = pa.array(text[new])
-                yield pa.RecordBatch.from_arrays([pa.array(tb.signed(least[new])), *(block.column(c).take(rows) for c in ("ord", "h1"))], names=["m", "ord", "h1"])
+            for block in tb.blocks(batch, "text", BLOCK_BYTES):
+                words = tb.words(block.column("text"))
+                at = np.flatnonzero(tb.inside_text(words, window))
+                if not len(at):
+                    continue
+                w = tb.window_hashes(tb.word_hashes(words), window)[at]
+                v = tb.window_hashes(tb.word_hashes(words, kind=2), window, kind=2)[at].astype(np.uint32)
+                text = words.text_of_word()[at]
+                order = np.argsort(w, kind="stable")  # texts stay in order within a hash
+                w, v, text = w[order], v[order], text[order]
+                ord_, who = (block.column(c).to_numpy()[text] for c in ("ord", "who"))
+                first = ord_ == _least(_runs(w, v), ord_)
+                again = np.zeros(len(w), bool)
+                again[1:] = (text[1:] == text[:-1]) & (w[1:] == w[:-1])
+                send = first & ~again
+                rows = [(b, _pack(w[send][s]), _pack(v[send][s]), _pack(ord_[send][s]), _pack(who[send][s])) for b, s in _slices(_bucket(w[send], buckets))]
+                gone = ~first & ~again
+                rows += [(-1 - b, x, None, None, y) for b, x, y in _by_document(w[gone], who[gone], buckets)]
+                yield _batch(rows)
 
     return run
 
 
-def _candidates(window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in tb.blocks(batch, "text"):
-                w = tb.words(block.column("text"))
-                h = tb.word_hashes(w)
-                text, at, least = _window_keys(w, h, window)
-                kept, lists = tb.signed(least), block.column("ms")
-                take = np.zeros(len(text), dtype=bool)
-                cuts = np.searchsorted(text, np.arange(block.num_rows + 1))
-                for i in range(block.num_rows):
-                    own = slice(cuts[i], cuts[i + 1])
-                    take[own] = np.isin(kept[own], lists[i].values.to_numpy())
-                text, at = text[take], at[take]
-                columns = [pa.array(tb.signed(tb.window_hashes(h, window, kind)[at])) for kind in (1, 2)]
-                rows = pa.array(text)
-                columns += [block.column(c).take(rows) for c in ("ord", "h1")] + [pa.array((at - w.first[text]).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "ord", "h1", "pos"])
+def _by_document(w: np.ndarray, who: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """The hashes that go, by bucket of their documents."""
+    bucket = _bucket(tb.mix(who.view(np.uint64)), buckets)
+    order = np.argsort(bucket, kind="stable")
+    for b, s in _slices(bucket[order]):
+        yield b, _pack(w[order][s]), _pack(who[order][s])
+
+
+def _repeated(buckets: int):
+    """Of a bucket's entries those of documents with a larger id than the window's smallest, by bucket of their documents."""
+
+    def run(entries: pa.Table) -> pa.Table:
+        bucket, w, who = entries.column("bucket")[0].as_py(), _unpack(entries.column("w"), np.uint64), _unpack(entries.column("who"), np.int64)
+        if bucket < 0:
+            rows = [(-1 - bucket, _pack(w), _pack(who))]
+        else:
+            v, ord_ = _unpack(entries.column("v"), np.uint32), _unpack(entries.column("ord"), np.int64)
+            order = np.argsort(w)
+            same = w[order][1:] == w[order][:-1]
+            if (same & (v[order][1:] != v[order][:-1])).any():
+                order = np.lexsort((v, w))
+            w, v, ord_, who = w[order], v[order], ord_[order], who[order]
+            gone = ord_ > _least(_runs(w, v), ord_)
+            rows = list(_by_document(w[gone], who[gone], buckets))
+        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "w", "who"])
 
     return run
 
 
+def _gather(entries: pa.Table) -> pa.Table:
+    """One row per document, with the distinct hashes of its windows that go."""
+    w, who = _unpack(entries.column("w"), np.uint64), _unpack(entries.column("who"), np.int64)
+    order = np.lexsort((w, who))
+    w, who = w[order], who[order]
+    keep = _runs(who, w)
+    w, who = w[keep], who[keep]
+    first = _runs(who)
+    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(w)).astype(np.int32)), pa.array(tb.signed(w)))
+    return pa.table([pa.array(who[first]), lists], names=["who", "gone"])
+
+
+def repeated_windows(texts: DataFrame, window: int, n_bytes: int) -> DataFrame:
+    """``(who, gone)``: hashes of the windows that each document loses, from ``(ord, who, text)``; ``who`` is unique."""
+    buckets = max(1, -(-n_bytes // (_BYTES_A_WORD * BUCKET)))
+    found = texts.select("ord", "who", "text").mapInArrow(_hash_windows(window, buckets), _PACKED)
+    found = found.groupBy("bucket").applyInArrow(_repeated(buckets), "bucket long, w binary, who binary")
+    return found.groupBy("bucket").applyInArrow(_gather, "who long, gone array<long>")
+
+
 def _cover(n: int, starts: np.ndarray, window: int) -> np.ndarray:
     """Which of n words lie in a window that starts at one of ``starts``."""
     change = np.zeros(n + 1, np.int64)
@@ -92,39 +166,40 @@ def _cover(n: int, starts: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(change[:n]) > 0
 
 
-def cut(text: str | None, copy: bool, starts: np.ndarray | None, window: int) -> tuple[int, int, str, str | None]:
+def cut(text: str | None, gone: np.ndarray | None, window: int) -> tuple[int, int, str, str | None]:
     """Words, removed words, SHA-256 of the kept words joined by blanks, and the text without them.
 
-    The text loses the bytes from each removed interval's first word up to the next kept word; all
-    other characters stay. A null text stays null and has no words.
+    ``gone`` has the hashes of the windows to remove. The text loses the bytes from each removed
+    interval's first word up to the next kept word; all other characters stay. A null text stays null
+    and has no words.
     """
     if text is None:
         return 0, 0, hashlib.sha256(b"").hexdigest(), None
     raw = text.encode()
     tokens = raw.split()
     n = len(tokens)
-    if copy and n >= window:
-        return n, n, hashlib.sha256(b"").hexdigest(), ""
-    if starts is None or not len(starts):
+    if gone is None or not len(gone):
         return n, 0, hashlib.sha256(b" ".join(tokens)).hexdigest(), text
-    gone = _cover(n, starts, window)
-    kept = b" ".join(t for t, x in zip(tokens, gone, strict=True) if not x)
-    w = tb.words(pa.array([text]))
-    edge = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
-    parts, at = [], 0
-    for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
+    w = tb.words(pa.array([text], pa.large_string()))
+    out = _cover(n, np.flatnonzero(np.isin(tb.window_hashes(tb.word_hashes(w), window), gone)), window)
+    edge = np.diff(np.concatenate([[0], out.view(np.int8), [0]]))
+    begins, ends = np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()
+    kept, parts, at, word = [], [], 0, 0
+    for a, b in zip(begins, ends, strict=True):
+        kept += tokens[word:a]
         parts.append(raw[at : w.starts[a]])
-        at = int(w.starts[b]) if b < n else len(raw)
-    return n, int(gone.sum()), hashlib.sha256(kept).hexdigest(), b"".join([*parts, raw[at:]]).decode()
+        at, word = (int(w.starts[b]) if b < n else len(raw)), b
+    kept += tokens[word:]
+    return n, int(out.sum()), hashlib.sha256(b" ".join(kept)).hexdigest(), b"".join([*parts, raw[at:]]).decode()
 
 
 def _cut_udf(window: int, with_text: bool):
     @F.arrow_udf("struct<n_words:bigint,n_removed:bigint,kept_sha256:string,clean_text:string>")
-    def run(text: pa.Array, copy: pa.Array, starts: pa.Array) -> pa.Array:
+    def run(text: pa.Array, gone: pa.Array) -> pa.Array:
         out = []
         for i in range(len(text)):
-            s = starts[i].values
-            n, removed, digest, clean = cut(text[i].as_py(), copy[i].as_py(), None if s is None else s.to_numpy(), window)
+            g = gone[i].values
+            n, removed, digest, clean = cut(text[i].as_py(), None if g is None else g.to_numpy().view(np.uint64), window)
             out.append((n, removed, digest, clean if with_text else None))
         columns = [list(c) for c in zip(*out, strict=True)] or [[]] * 4
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
@@ -137,40 +212,30 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per row of ``docs``: ``row`` (a struct of all its columns), n_words, n_removed,
     kept_sha256 and clean_text (null unless ``with_text``).
 
-    A null id counts as larger than any other, and rows without one never lose words to each other.
-    Rows that share an id are one document as far as "a smaller id" goes: they never lose words to
-    each other, whether their texts are equal or not. Null, empty and short texts have no window and
-    stay as they are. Other columns, whatever their names, are carried in ``row`` untouched. An empty
-    table gives an empty result.
+    Ids may be of any type that has an order. A null id counts as larger than any other, and rows
+    without one never lose words to each other. Rows that share an id are one document as far as "a
+    smaller id" goes: they never lose words to each other, whether their texts are equal or not. Null,
+    empty and short texts have no window and stay as they are. Other columns, whatever their names, are
+    carried in ``row`` untouched. An empty table gives an empty result.
     """
-    names = docs.columns
-    rest = [docs[f"`{c}`"] for c in names if c not in (id_col, text_col)]
-    id_, text = docs[f"`{id_col}`"], docs[f"`{text_col}`"]
-    base = docs.select(
-        F.coalesce(id_.cast("long"), F.lit(_LAST)).alias("ord"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("h1"), text.alias("text"), *([F.struct(*rest).alias("rest")] if rest else [])
-    )
-    key = ["ord", "h1"]
-    slim = base.select(*key, "text")
-    sizes = docs.select(F.coalesce(id_.cast("long"), F.lit(_LAST)).alias("ord"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("h1"), F.coalesce(F.xxhash64(F.lit("b"), text), F.lit(0)).alias("h2"))
-    first = stage(sizes.groupBy("h1", "h2").agg(F.min("ord").alias("ord")), "first-texts")
-
-    # the first of each group of equal texts; its windows are the group's
-    lead = slim.join(first.select(*key), key, "left_semi")
-    pairs = lead.mapInArrow(_minimisers(window), "m long, ord long, h1 long")
-    shared = pairs.groupBy("m").agg(F.min("ord").alias("a"), F.max("ord").alias("z")).where("a < z").select("m")
-    shared = stage(shared, "shared-minimisers")  # as a table, either side of the join can be split
-    lists = pairs.join(shared, "m").groupBy(*key).agg(F.collect_set("m").alias("ms"))
-    lists = stage(lists, "minimisers-by-text")
-    found = slim.join(lists, key).mapInArrow(_candidates(window), "w1 long, w2 long, ord long, h1 long, pos int")
-    least = found.groupBy("w1", "w2").agg(F.min("ord").alias("least"), F.max("ord").alias("most")).where("least < most").select("w1", "w2", "least")
-    least = stage(least, "first-windows")
-    starts = found.join(least, ["w1", "w2"]).where("ord > least").groupBy(*key).agg(F.collect_set("pos").alias("starts"))
-    starts = stage(starts, "repeated-windows")
-    later = sizes.distinct().join(first.withColumnRenamed("ord", "lead"), ["h1", "h2"]).where("ord > lead").select(*key, F.lit(True).alias("copy")).distinct()
-    out = base.join(starts, key, "left").join(later, key, "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
-    out = out.withColumn("r", _cut_udf(window, with_text)("text", "copy", "starts"))
-    back = {id_col: F.when(F.col("ord") != _LAST, F.col("ord")).cast(docs.schema[id_col].dataType), text_col: F.col("text")}
-    return out.select(F.struct(*[(back[c] if c in back else F.col("rest").getField(c)).alias(c) for c in names]).alias("row"), "r.*")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[f"`{id_col}`"].alias("own"), docs[f"`{text_col}`"].alias("text"))
+    for ranked in (False, True):
+        numbered = Ids(docs, id_col, ranked).number(rows, "own", "number")
+        by_id = numbered.groupBy("number").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"))
+        about = by_id.agg(F.max("n").alias("most"), F.sum("size").alias("size"), F.max("number").alias("last"), F.count_if(F.col("number").isNull()).alias("none")).first()
+        if about["last"] != _LAST:
+            break  # otherwise ranks leave room above the ids
+    rows = numbered
+    rows = rows.withColumn("ord", F.coalesce("number", F.lit(_LAST)))
+    if about["most"] == 1 and not about["none"]:
+        rows = rows.withColumn("who", F.col("ord"))
+        texts = rows
+    else:  # rows that repeat both id and text are one document; combined before the shuffle
+        rows = rows.withColumn("who", F.xxhash64("ord", text_key(F.col("text"))))
+        texts = rows.where("text is not null").groupBy("ord", "who").agg(F.min("text").alias("text"))
+    gone = stage(repeated_windows(texts.where("text is not null"), window, about["size"] or 0), "repeated-windows")
+    out = rows.select("row", "who").join(gone, "who", "left")
+    return out.select("row", _cut_udf(window, with_text)(F.col("row").getField(text_col), F.col("gone")).alias("r")).select("row", "r.*")
 
 
 #: The same rows in DuckDB for the query's columns, with the 13 words of each window as its key.

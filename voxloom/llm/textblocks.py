@@ -1,4 +1,4 @@
-"""Words of Arrow text columns as numpy arrays: spans, polynomial hashes and window hashes.
+"""Words of Arrow text columns as numpy arrays: spans, hashes and Rabin-Karp window hashes.
 
 Everything works on the UTF-8 bytes of a block of whole texts, without a Python object per word.
 A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and carriage
@@ -7,6 +7,7 @@ return. A null text counts as an empty one, which has no words.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -59,11 +60,14 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-_BYTE_POWERS = _Powers(0x9E3779B97F4A7C15)
 _WORD_POWERS = {1: _Powers(0xD1342543DE82EF95), 2: _Powers(0xAF251AF3B0F025B5)}
-_BYTES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LOWER = _BYTES.copy()
-_LOWER[0x41:0x5B] = _BYTES[0x61:0x7B]
+#: Words of more bytes than this are hashed one by one, by BLAKE2.
+_LONG_WORD = 128
+_SEEDS = {1: np.uint64(0x8F1BBCDC9E3779B9), 2: np.uint64(0x5BE0CD19A54FF53B)}
+#: What is left of eight bytes of which a word has the first few.
+_TAILS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 
 
 def offsets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -120,22 +124,28 @@ def words(texts: pa.Array, alnum: bool = False) -> Words:
     return Words(raw, starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, at))
 
 
-def word_hashes(w: Words, lower: bool = False) -> np.ndarray:
-    """A 64-bit polynomial hash of each word's bytes; ``lower`` maps A-Z to a-z first."""
-    table = _LOWER if lower else _BYTES
-    out = np.empty(len(w.starts), np.uint64)
-    i = 0
-    while i < len(out):
-        low = int(w.starts[i])
-        j = max(i + 1, int(np.searchsorted(w.ends, low + BLOCK_BYTES, "right")))
-        high = int(w.ends[j - 1])
-        up, down = _BYTE_POWERS.get(high - low + 1)
-        total = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(table[w.raw[low:high]] * up[:-1], out=total[1:])
-        s, e = w.starts[i:j] - low, w.ends[i:j] - low
-        out[i:j] = (total[e] - total[s]) * down[s]
-        i = j
-    return mix(out ^ ((w.ends - w.starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+def word_hashes(w: Words, lower: bool = False, kind: int = 1) -> np.ndarray:
+    """A 64-bit hash of each word's bytes; ``lower`` maps A-Z to a-z first. Two kinds are independent.
+
+    Eight bytes at a time are mixed into the hash, each time by a bijective scramble, so that no regular
+    pattern of bytes cancels out as it may in a polynomial modulo a power of two.
+    """
+    raw = np.zeros(len(w.raw) + 8, np.uint8)
+    raw[:-8] = _LOWER[w.raw] if lower else w.raw
+    eight = np.ndarray((len(w.raw) + 1,), "<u8", raw.data, strides=(1,))  # the eight bytes from each place
+    size = w.ends - w.starts
+    out = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + _SEEDS[kind]
+    rows, at, left = slice(None), w.starts, np.minimum(size, _LONG_WORD)
+    while len(left):
+        part = eight[at] & _TAILS[np.minimum(left, 8)]
+        out[rows] = mix(out[rows] * _SEEDS[kind] ^ part)
+        more = np.flatnonzero(left > 8)
+        rows = more if isinstance(rows, slice) else rows[more]
+        at, left = at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > _LONG_WORD).tolist():
+        digest = hashlib.blake2b(raw[w.starts[i] : w.ends[i]].data, digest_size=8, salt=bytes([kind])).digest()
+        out[i] = np.frombuffer(digest, "<u8")[0]
+    return out
 
 
 def window_hashes(h: np.ndarray, size: int, kind: int = 1) -> np.ndarray:
