@@ -31,7 +31,7 @@ from .ids import Ids, text_key
 from .shared import discard, stage
 
 #: Windows of a bucket, about, and bytes of whole texts that are combined before the shuffle.
-BUCKET, BLOCK_BYTES = 2_000_000, 8 << 20
+BUCKET, BLOCK_BYTES = 1_000_000, 4 << 20
 #: A word of running text has at least this many bytes, with its blank, on average: for the number of buckets only.
 _BYTES_A_WORD = 5
 #: In place of a null id: larger than any other.
@@ -44,10 +44,22 @@ def _pack(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
 
 
-def _unpack(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+def _pack_sorted(values: np.ndarray) -> bytes:
+    """The same of each value's distance from the one before."""
+    return _pack(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def _parts(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
     size = np.dtype(kind).itemsize
-    parts = [np.frombuffer(x.as_buffer(), np.uint8).reshape(size, -1).T for x in column]
-    return np.ascontiguousarray(np.concatenate(parts)).view(kind).reshape(-1) if parts else np.zeros(0, kind)
+    return [np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(size, -1).T).view(kind).reshape(-1) for x in column]
+
+
+def _unpack(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *_parts(column, kind)])
+
+
+def _unpack_sorted(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.cumsum(x, dtype=kind) for x in _parts(column, kind))])
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -81,7 +93,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "w", "v", "ord", "who"])
 
 
-def _hash_windows(window: int, buckets: int):
+def _hash_windows(window: int, buckets: int, unique: bool):
     """Entries of all windows by bucket; those known to go under -1 minus their document's bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,38 +113,41 @@ def _hash_windows(window: int, buckets: int):
                 again = np.zeros(len(w), bool)
                 again[1:] = (text[1:] == text[:-1]) & (w[1:] == w[:-1])
                 send = first & ~again
-                rows = [(b, _pack(w[send][s]), _pack(v[send][s]), _pack(ord_[send][s]), _pack(who[send][s])) for b, s in _slices(_bucket(w[send], buckets))]
                 gone = ~first & ~again
-                rows += [(-1 - b, x, None, None, y) for b, x, y in _by_document(w[gone], who[gone], buckets)]
+                rows = [(-1 - b, x, None, None, y) for b, x, y in _by_document(w[gone], who[gone], buckets)]
+                w, v, ord_, who = w[send], v[send], ord_[send], who[send]
+                rows += [(b, _pack_sorted(w[s]), _pack(v[s]), _pack(ord_[s]), None if unique else _pack(who[s])) for b, s in _slices(_bucket(w, buckets))]
                 yield _batch(rows)
 
     return run
 
 
 def _by_document(w: np.ndarray, who: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """The hashes that go, by bucket of their documents."""
+    """The sorted hashes that go, by bucket of their documents."""
     bucket = _bucket(tb.mix(who.view(np.uint64)), buckets)
     order = np.argsort(bucket, kind="stable")
     for b, s in _slices(bucket[order]):
-        yield b, _pack(w[order][s]), _pack(who[order][s])
+        yield b, _pack_sorted(w[order[s]]), _pack(who[order[s]])
 
 
-def _repeated(buckets: int):
+def _repeated(buckets: int, unique: bool):
     """Of a bucket's entries those of documents with a larger id than the window's smallest, by bucket of their documents."""
 
     def run(entries: pa.Table) -> pa.Table:
-        bucket, w, who = entries.column("bucket")[0].as_py(), _unpack(entries.column("w"), np.uint64), _unpack(entries.column("who"), np.int64)
+        bucket = entries.column("bucket")[0].as_py()
         if bucket < 0:
-            rows = [(-1 - bucket, _pack(w), _pack(who))]
+            rows = [(-1 - bucket, w.as_py(), who.as_py()) for w, who in zip(entries.column("w"), entries.column("who"), strict=True)]
         else:
-            v, ord_ = _unpack(entries.column("v"), np.uint32), _unpack(entries.column("ord"), np.int64)
-            order = np.argsort(w)
-            same = w[order][1:] == w[order][:-1]
-            if (same & (v[order][1:] != v[order][:-1])).any():
-                order = np.lexsort((v, w))
-            w, v, ord_, who = w[order], v[order], ord_[order], who[order]
+            w, v, ord_ = _unpack_sorted(entries.column("w"), np.uint64), _unpack(entries.column("v"), np.uint32), _unpack(entries.column("ord"), np.int64)
+            who = ord_ if unique else _unpack(entries.column("who"), np.int64)
+            order = np.argsort(w, kind="stable")
+            w, v = w[order], v[order]
+            if ((w[1:] == w[:-1]) & (v[1:] != v[:-1])).any():
+                again = np.lexsort((v, w))
+                w, v, order = w[again], v[again], order[again]
+            ord_ = ord_[order]
             gone = ord_ > _least(_runs(w, v), ord_)
-            rows = list(_by_document(w[gone], who[gone], buckets))
+            rows = list(_by_document(w[gone], who[order[gone]], buckets))
         return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "w", "who"])
 
     return run
@@ -140,7 +155,7 @@ def _repeated(buckets: int):
 
 def _gather(entries: pa.Table) -> pa.Table:
     """One row per document, with the distinct hashes of its windows that go."""
-    w, who = _unpack(entries.column("w"), np.uint64), _unpack(entries.column("who"), np.int64)
+    w, who = _unpack_sorted(entries.column("w"), np.uint64), _unpack(entries.column("who"), np.int64)
     order = np.lexsort((w, who))
     w, who = w[order], who[order]
     keep = _runs(who, w)
@@ -150,11 +165,14 @@ def _gather(entries: pa.Table) -> pa.Table:
     return pa.table([pa.array(who[first]), lists], names=["who", "gone"])
 
 
-def repeated_windows(texts: DataFrame, window: int, n_bytes: int) -> DataFrame:
-    """``(who, gone)``: hashes of the windows that each document loses, from ``(ord, who, text)``; ``who`` is unique."""
+def repeated_windows(texts: DataFrame, window: int, n_bytes: int, unique: bool) -> DataFrame:
+    """``(who, gone)``: hashes of the windows that each document loses, from ``(ord, who, text)``.
+
+    ``who`` names a document; with ``unique`` it is the id itself, which no two rows share.
+    """
     buckets = max(1, -(-n_bytes // (_BYTES_A_WORD * BUCKET)))
-    found = texts.select("ord", "who", "text").mapInArrow(_hash_windows(window, buckets), _PACKED)
-    found = found.groupBy("bucket").applyInArrow(_repeated(buckets), "bucket long, w binary, who binary")
+    found = texts.select("ord", "who", "text").mapInArrow(_hash_windows(window, buckets, unique), _PACKED)
+    found = found.groupBy("bucket").applyInArrow(_repeated(buckets, unique), "bucket long, w binary, who binary")
     return found.groupBy("bucket").applyInArrow(_gather, "who long, gone array<long>")
 
 
@@ -227,13 +245,14 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break  # otherwise ranks leave room above the ids
     rows = numbered
     rows = rows.withColumn("ord", F.coalesce("number", F.lit(_LAST)))
-    if about["most"] == 1 and not about["none"]:
+    unique = about["most"] == 1 and not about["none"]
+    if unique:
         rows = rows.withColumn("who", F.col("ord"))
         texts = rows
     else:  # rows that repeat both id and text are one document; combined before the shuffle
         rows = rows.withColumn("who", F.xxhash64("ord", text_key(F.col("text"))))
         texts = rows.where("text is not null").groupBy("ord", "who").agg(F.min("text").alias("text"))
-    gone = stage(repeated_windows(texts.where("text is not null"), window, about["size"] or 0), "repeated-windows")
+    gone = stage(repeated_windows(texts.where("text is not null"), window, about["size"] or 0, unique), "repeated-windows")
     out = rows.select("row", "who").join(gone, "who", "left")
     return out.select("row", _cut_udf(window, with_text)(F.col("row").getField(text_col), F.col("gone")).alias("r")).select("row", "r.*")
 
