@@ -1,9 +1,13 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tests.llm.conftest import SF, WORDS, components, near
+from tests.llm.test_textblocks import thue_morse
 from voxloom.llm import minhash_forest as m
 
 
@@ -31,15 +35,51 @@ def got(df, size):
 
 @pytest.mark.parametrize("size", [4, 5])
 def test_edge_rows(docs, rows, size):
-    ids = Counter(r[0] for r in rows)
-    plain = [r for r in rows if r[0] is None or ids[r[0]] == 1]
-    keep = [r[0] for r in plain if r[0] is not None]
-    assert got(docs.where(docs["doc_id"].isin(keep) | docs["doc_id"].isNull()), size) == brute([(r[0], r[1]) for r in plain], size)
+    """Repeated rows, an id with two texts, null ids, blank and very long texts."""
+    assert got(docs, size) == brute([(r[0], r[1]) for r in rows], size)
 
 
-def test_repeated_ids(docs, rows):
-    out = m.minhash_dedup(docs).collect()
-    assert len(out) == len(rows) and all(r["kept"] for r in out if r["doc_id"] is None)
+def test_ids_with_several_texts(spark):
+    rng = random.Random(3)
+    x, y, z = (rng.choices(WORDS, k=60) for _ in range(3))
+    rows = [(5, x), (5, z), (9, z), (3, near(rng, x, 1)), (7, y), (9, near(rng, y, 1)), (11, x), (12, y[:30])]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string"), 4) == brute(rows, 4)
+
+
+def test_ids_of_other_types(spark):
+    rng = random.Random(8)
+    x = rng.choices(WORDS, k=60)
+    rows = [("b", " ".join(x)), ("a", " ".join(near(rng, x, 1))), ("c", "alone here"), (None, " ".join(x))]
+    assert got(spark.createDataFrame(rows, "doc_id string, text string"), 4) == brute(rows, 4)
+
+
+def test_words_that_regular_hashes_confuse(spark):
+    one, two = thue_morse("a", "b")
+    rows = [(1, " ".join([one, "x"] * 20)), (2, " ".join([two, "x"] * 20))]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string"), 4) == brute(rows, 4)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 2500), st.integers(0, 400), st.integers(0, 400))
+def test_sketches_never_deny_a_link(seed, common, a, b):
+    rng = np.random.default_rng(seed)
+    flat = rng.integers(0, 2**63, common + a + b, dtype=np.uint64)
+    sets = [flat[: common + a], np.concatenate([flat[:common], flat[common + a :]])]
+    first = np.cumsum([0, common + a, common + b])
+    odd = m.odd_sketches(np.concatenate(sets), first)
+    assert all(len(o) * 8 > n and len(o) * 8 >= m.LEAST_BITS for o, n in zip(odd, np.diff(first)))
+    may = m.may_link(odd, np.diff(first), np.array([0]), np.array([1]), 80)[0]
+    assert may or 100 * common < 80 * (common + a + b)
+    if common < a + b and min(a, b) > 50:
+        assert not may
+
+
+def test_orders():
+    for depth in range(m.START, m.DEEPEST + 1):
+        forest = m.orders(depth, 80)
+        assert (1 - 0.8**depth) ** len(forest) <= m.MISSED and forest.shape[1] == depth + 2
+        assert all(len(set(o)) == depth + 2 for o in forest.tolist())
 
 
 def test_table(spark):
@@ -47,11 +87,13 @@ def test_table(spark):
     assert got(df, 4) == brute([(r["doc_id"], r["text"]) for r in df.collect()], 4)
 
 
-@pytest.mark.parametrize("part, block", [(4, 8), (32, 512)])
-def test_crowded_regions(spark, monkeypatch, part, block):
+@pytest.mark.parametrize("window, crowd, deepest", [(2, 8, 3), (2, 8, 2), (31, 4096, 6)])
+def test_crowded_regions(spark, monkeypatch, window, crowd, deepest):
     """A large group whose members link with some and not with others; small bounds force every path."""
-    monkeypatch.setattr(m, "PART", part)
-    monkeypatch.setattr(m, "BLOCK", block)
+    monkeypatch.setattr(m, "WINDOW", window)
+    monkeypatch.setattr(m, "CROWD", crowd)
+    monkeypatch.setattr(m, "BLOCK", 16)
+    monkeypatch.setattr(m, "DEEPEST", deepest)
     rng = random.Random(5)
     base = rng.choices(WORDS, k=80)
     rows = [(i, " ".join(near(rng, base, rng.randrange(0, 9)))) for i in range(150)]

@@ -1,93 +1,158 @@
 """MinHash near-dedup with an LSH forest.
 
-A document's set is that of its distinct word shingles. Documents with equal sets are one class, whose
-least id stands for it. Each class has a signature of ``TREES`` times ``DEPTH`` minima; a tree orders
-the classes by its own ``DEPTH`` minima, most significant first. Classes that share a tree's first
-``START`` minima are a region. Within it the neighbours in the tree's order, which share the longest
-prefixes, are candidates; a crowded region is cut deeper, level by level, until its parts are small,
-and a part that even the full depth leaves crowded is cut by a hash, each part's first class being a
-candidate with the region's first. Candidates whose signatures agree too little are dropped (a link is
-lost so with a probability of about 1e-5 at the threshold, less above it); the others are confirmed on
-their full sets.
-
-Neighbours need not meet all their links. So after the components of these links are known, every
-region with classes of several components is compared whole: small ones as pairs of bounded number a
-row, larger ones in blocks within tasks, which multiply the blocks' incidence matrices and keep only
-edges that connect. A link is lost only if its two classes share no region, at the threshold with a
-probability of (1 - 0.8 ** START) ** TREES, below 1e-4.
+A document's set is that of its distinct word shingles. Documents with equal sets (128-bit digests of
+them) are one class, whose least id stands for it. Each class has a signature of ``MINIMA`` minima. An
+order of the forest sorts the classes by some of these minima; classes that share the first ``depth``
+of them are a region of it.
+
+1. In every order of depth ``START`` the neighbours within a region, which share the longest prefixes,
+   are candidates. Their links' components are contracted.
+2. In a region that still has several components, each class is compared with the ``WINDOW`` ones
+   after it that are of another component: in a region of up to ``WINDOW + 1`` classes these are all.
+3. A region that is larger and still has several components is too shallow: its classes go on to
+   orders that are one minimum deeper, of which there are more, so that a pair at the threshold shares
+   a region of one of them as surely as before. Step 2 is done there, and so on to depth ``DEEPEST``.
+4. What is crowded even there and has several components is compared whole, in blocks.
+
+Candidates are dropped before the full sets are compared only where that is certain to be right: by
+their sizes, and by odd sketches. Bit i of a class's odd sketch is the parity of the number of its
+shingles that hash to i; two sketches differ in at most as many bits as the sets differ in shingles.
+All others are confirmed on their full sets.
+
+Two classes at the threshold ``t`` share no region of ``count`` orders of depth ``d`` with a
+probability of ``(1 - t ** d) ** count``; :func:`orders` has as many as keep it below ``MISSED``.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
+from ..operators import partitioning
 from . import textblocks as tb
 from .graph import components
-from .shared import stage
-
-TREES, START, DEPTH = 10, 2, 6
-#: Classes of a part of a region, about, and of a region that is compared as pairs of rows.
-PART = 32
-#: Classes of a block of a region that is compared in tasks.
-BLOCK = 512
-#: How far below the threshold two signatures may agree: standard deviations of the estimate.
-SLACK = 4.3
-_COLUMNS = 8192
-_MINIMA = TREES * DEPTH
-_MULTIPLIERS = np.random.default_rng(977).integers(1, 2**63, _MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+from .ids import Ids, text_key
+from .shared import discard, stage
+
+#: Minima of a signature; minima that fix a region, at first and at last.
+MINIMA, START, DEEPEST = 96, 2, 6
+#: Probability that a pair at the threshold meets in no order of a depth.
+MISSED = 1e-6
+#: Classes after each one in its region that it is compared with.
+WINDOW = 31
+#: Classes of a region, about, that one task sorts: larger ones are dealt by a hash that differs from order to order.
+CROWD = 4096
+#: Classes of a block of a region that is compared whole.
+BLOCK = 2048
+#: Bits of the smallest odd sketch; others have more bits than shingles.
+LEAST_BITS = 512
+_PAIRS = 1 << 15
+_MULTIPLIERS = np.random.default_rng(977).integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def orders(depth: int, percent: int) -> np.ndarray:
+    """Minima of each order: ``depth`` that fix the region, and two more that sort it.
+
+    Orders take their first minima from one permutation after another, without one twice.
+    """
+    count = math.ceil(math.log(MISSED) / math.log(1 - (percent / 100) ** depth)) if percent < 100 else 1
+    rng, out, each = np.random.default_rng([41, depth]), [], MINIMA // depth
+    while len(out) < count:
+        turn = rng.permutation(MINIMA)
+        for i in range(min(each, count - len(out))):
+            own = turn[i * depth : (i + 1) * depth]
+            out.append(np.concatenate([own, rng.choice(np.setdiff1d(turn, own), 2, replace=False)]))
+    return np.array(out)
 
 
-def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each text's distinct shingles, sorted, and where each text's begin.
+def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of each text's distinct shingles, sorted, a second hash of each, and where each text's begin.
 
     A-Z are lower-cased. A text with fewer words than ``size`` has its whole sequence as one shingle,
     one without words has none.
     """
     w = tb.words(texts)
-    h = tb.word_hashes(w, lower=True)
-    full = tb.window_hashes(h, size)
-    short = {n: tb.window_hashes(h, n) for n in range(1, size)}
-    out, first = [], [0]
+    kinds = []
+    for kind in (1, 2):
+        h = tb.word_hashes(w, lower=True, kind=kind)
+        kinds.append([tb.window_hashes(h, n, kind) for n in range(1, size + 1)])
+    out, again, first = [], [], [0]
     for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
         n = b - a
-        own = np.unique(full[a : b - size + 1]) if n >= size else short[n][a : a + 1] if n else full[:0]
-        out.append(own)
-        first.append(first[-1] + len(own))
-    return np.concatenate(out) if out else full[:0], np.array(first)
+        if n:
+            which, own = min(n, size) - 1, slice(a, max(a, b - size) + 1)
+            hashes, at = np.unique(kinds[0][which][own], return_index=True)
+            out.append(hashes)
+            again.append(kinds[1][which][own][at])
+        first.append(first[-1] + (len(out[-1]) if n else 0))
+    none = np.zeros(0, np.uint64)
+    return np.concatenate([none, *out]), np.concatenate([none, *again]), np.array(first)
 
 
 def signatures(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Big-endian 32-bit minima, a row per text; all ones for empty sets."""
-    out = np.full((len(first) - 1, _MINIMA), 0xFFFFFFFF, np.uint32)
+    """32-bit minima, a row per text; all ones for empty sets."""
+    out = np.full((len(first) - 1, MINIMA), 0xFFFFFFFF, np.uint32)
     some = np.flatnonzero(np.diff(first) > 0)
     if len(some):
         for k, m in enumerate(_MULTIPLIERS):
             mixed = sets * m
             mixed ^= mixed >> np.uint64(29)
             out[some, k] = (np.minimum.reduceat(mixed * m, first[some]) >> np.uint64(32)).astype(np.uint32)
-    return out.astype(">u4")
+    return out
+
+
+def odd_sketches(sets: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Parities of the numbers of shingles at each bit, of a power of two of bits that is larger than the set."""
+    n = np.diff(first)
+    bits = np.maximum(LEAST_BITS, 1 << np.ceil(np.log2(np.maximum(n, 1) + 1)).astype(np.int64))
+    base = np.concatenate([[0], np.cumsum(bits)])
+    at = np.repeat(base[:-1], n) + (sets & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(at, minlength=base[-1]) & 1).astype(np.uint8)).tobytes()
+    return [packed[a // 8 : b // 8] for a, b in zip(base[:-1].tolist(), base[1:].tolist(), strict=True)]
+
+
+def may_link(sketches: list, n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether classes i and j can be as alike as ``percent``, by sizes and odd sketches; never false for a link."""
+    fine = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+    size = np.array([len(x) for x in sketches], np.int64)
+    for at in range(0, len(i), _PAIRS):
+        rows = at + np.flatnonzero(fine[at : at + _PAIRS])
+        width = np.minimum(size[i[rows]], size[j[rows]])
+        for w in np.unique(width).tolist():
+            own = rows[width == w]
+            x = _folded(sketches, size, i[own], w) ^ _folded(sketches, size, j[own], w)
+            differ = np.bitwise_count(x).sum(1, dtype=np.int64)
+            total = n[i[own]] + n[j[own]]
+            fine[own] = 100 * (total - differ) >= percent * (total + differ)
+    return fine
+
+
+def _folded(sketches: list, size: np.ndarray, rows: np.ndarray, width: int) -> np.ndarray:
+    """The rows' sketches as those of ``width`` bytes: a bit's parity is that of the bits that fall together."""
+    out = np.empty((len(rows), width // 8), np.uint64)
+    for w in np.unique(size[rows]).tolist():
+        own = np.flatnonzero(size[rows] == w)
+        flat = np.frombuffer(b"".join([sketches[r] for r in rows[own].tolist()]), np.uint64)
+        out[own] = np.bitwise_xor.reduce(flat.reshape(len(own), w // width, width // 8), axis=1)
+    return out
 
 
 def _describe(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tb.blocks(batch, "text"):
-                sets, first = shingles(block.column("text"), size)
-                n = np.diff(first)
-                prints = []
-                for salt in (0x51ED270B, 0x2545F491):
-                    total = np.zeros(len(sets) + 1, np.uint64)
-                    np.cumsum(tb.mix(sets ^ np.uint64(salt)), out=total[1:])
-                    prints.append(tb.signed(total[first[1:]] - total[first[:-1]]))
+                sets, again, first = shingles(block.column("text"), size)
+                both = np.stack([sets, again], 1)
+                digests = [hashlib.blake2b(both[a:b].tobytes(), digest_size=16).digest() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
                 sig = signatures(sets, first)
-                binary = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * _MINIMA), len(sig), [None, pa.py_buffer(sig.tobytes())]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([block.column("id"), block.column("h"), pa.array(n), *map(pa.array, prints), binary], names=["id", "h", "n", "f1", "f2", "sig"])
+                columns = [block.column("id"), block.column("h"), pa.array(np.diff(first)), pa.array(digests, pa.binary()), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array(odd_sketches(sets, first), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "h", "n", "digest", "sig", "odd"])
 
     return run
 
@@ -96,220 +161,165 @@ def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tb.blocks(batch, "text"):
-                sets, first = shingles(block.column("text"), size)
-                yield pa.RecordBatch.from_arrays([block.column("id"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(tb.signed(sets)))], names=["id", "set"])
+                sets, _, first = shingles(block.column("text"), size)
+                yield pa.RecordBatch.from_arrays([block.column("id"), block.column("h"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(tb.signed(sets)))], names=["id", "h", "set"])
 
     return run
 
 
-def _as_matrix(sigs: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(sigs.to_pylist()), ">u4").reshape(-1, _MINIMA)
+def _place(classes: DataFrame, depth: int, percent: int) -> DataFrame:
+    """``(region, place, id)`` of each class in each order of a depth."""
+    forest = orders(depth, percent)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, MINIMA).astype(np.uint64)
+            for t, own in enumerate(forest):
+                key = np.full(len(sig), depth * 1000 + t, np.uint64)
+                for k in own[:depth]:
+                    key = tb.mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, k])
+                place = (sig[:, own[depth]] << np.uint64(32)) | sig[:, own[depth + 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(tb.signed(key)), pa.array(tb.signed(place)), batch.column("id")], names=["region", "place", "id"])
+
+    return stage(classes.select("id", "sig").mapInArrow(run, "region long, place long, id long"), "places")
 
-def _least_agreement(percent: int) -> int:
-    t = percent / 100
-    return int(np.floor(_MINIMA * t - SLACK * np.sqrt(_MINIMA * t * (1 - t))))
 
+def _nearby(window: int, percent: int):
+    """Pairs of the classes of a region that are at most ``window`` places apart, of two components, and may link.
+
+    The rows of a partition come sorted by region, slot and place; the last ones of a batch are kept for the next.
+    """
 
-def _alike(percent: int, a: Column, b: Column) -> Column:
-    least = _least_agreement(percent)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            old = 0 if kept is None else kept.num_rows
+            rows = pa.Table.from_batches([batch] if kept is None else [kept, batch]).combine_chunks()
+            region, slot, id_, n, comp = (rows.column(c).to_numpy() for c in ("region", "slot", "id", "n", "comp"))
+            odd, found = rows.column("odd").to_pylist(), []
+            for k in range(1, min(window, len(id_) - 1) + 1):
+                same = (region[k:] == region[:-k]) & (slot[k:] == slot[:-k])
+                if not same.any():
+                    break
+                i = np.flatnonzero(same & (comp[k:] != comp[:-k]))
+                found.append(np.stack([i, i + k])[:, i + k >= old])
+            i, j = np.concatenate([np.zeros((2, 0), np.int64), *found], 1)
+            fine = may_link(odd, n, i, j, percent)
+            a, b = id_[i[fine]], id_[j[fine]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            kept = rows.slice(max(0, rows.num_rows - window)).to_batches()[0]
 
-    @F.arrow_udf("boolean")
-    def run(x: pa.Array, y: pa.Array) -> pa.Array:
-        return pa.array((_as_matrix(x) == _as_matrix(y)).sum(1) >= least if len(x) else np.zeros(0, bool))
+    return run
 
-    return run(a, b)
 
+def _candidates(members: DataFrame, classes: DataFrame, window: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` to confirm, from ``(region, cnt, place, id, comp)``."""
+    slots = F.ceil(F.col("cnt") / CROWD)
+    rows = members.withColumn("slot", F.when(slots > 1, F.pmod(F.xxhash64("region", "id"), slots)).otherwise(F.lit(0)).cast("long")).join(classes.select("id", "n", "odd"), "id")
+    rows = rows.repartition("region", "slot").sortWithinPartitions("region", "slot", "place", "id").select("region", "slot", "id", "n", "comp", "odd")
+    return rows.mapInArrow(_nearby(window, percent), "a long, b long").distinct()
 
-def _regions(reps: DataFrame) -> DataFrame:
-    """``(tree, region, id)``: the regions of each class."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sig = _as_matrix(batch.column("sig")).astype(np.uint64)
-            columns = []
-            for t in range(TREES):
-                key = np.full(len(sig), t + 1, np.uint64)
-                for d in range(START):
-                    key = tb.mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, t * DEPTH + d])
-                columns.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(sig), t, np.int32)), pa.array(tb.signed(key)), batch.column("id")], names=["tree", "region", "id"]))
-            yield from columns
-
-    return reps.select("id", "sig").mapInArrow(run, "tree int, region long, id long")
-
-
-def _parts(members: DataFrame) -> DataFrame:
-    """Members with the ``part`` of their region: deeper where it is crowded, by a hash at the end."""
-    prefix = lambda d: F.xxhash64("region", F.expr(f"substring(place, 1, {4 * d})"))
-    done = [members.where(F.col("cnt") <= PART).withColumn("part", F.col("region"))]
-    live = members.where(F.col("cnt") > PART)
-    for depth in range(START + 1, DEPTH + 1):
-        live = live.withColumn("part", prefix(depth))
-        crowds = stage(live.groupBy("part").agg(F.count("*").alias("crowd")), "crowds")
-        live = stage(live.join(crowds, "part"), "crowded")
-        done.append(live.where(F.col("crowd") <= PART))
-        live = live.where(F.col("crowd") > PART)
-        if live.isEmpty():
-            break
-        live = live if depth == DEPTH else live.drop("part", "crowd")
-    else:
-        salt = F.pmod(F.xxhash64(F.lit("part"), "id"), F.ceil(F.col("crowd") / PART))
-        done.append(live.withColumn("part", F.xxhash64("part", salt)))
-    out = done[0].select(*members.columns, "part")
-    for d in done[1:]:
-        out = out.unionByName(d.select(*members.columns, "part"))
-    return stage(out, "parts")
-
-
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are alike enough."""
-    left, right = (sets.select(F.col("id").alias(c), F.col("set").alias(f"{c}_set")) for c in ("a", "b"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("a_set", "b_set"))
-    return both.where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common)).select("a", "b")
-
-
-def _spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray, groups: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
-    """Of the linked pairs, edges that connect as many of the groups as all of them would."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for i, j in zip(*np.nonzero(linked), strict=True):
-        p, q = root(int(groups[0][i])), root(int(groups[1][j]))
-        if p != q:
-            parent[max(p, q)] = min(p, q)
-            out.append((int(left[i]), int(right[j])))
-    return out
+def _mixed(places: DataFrame, comps: DataFrame) -> DataFrame:
+    """The places in regions with several components, with the region's size and the class's component."""
+    known = places.join(comps, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    regions = known.groupBy("region").agg(F.count("*").alias("cnt"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("region", "cnt")
+    # as a table, so that a crowded region's join can be split
+    return known.join(stage(regions, "mixed-regions"), "region")
 
 
-def _pairs(names: tuple[str, str], first, second) -> pa.Table:
-    return pa.table([pa.array(first, pa.int64()), pa.array(second, pa.int64())], names=list(names))
-
-
-def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all sets of a with all of b, by products of incidence matrices."""
-    flat = np.concatenate([*a, *b])
-    values, back, count = np.unique(flat, return_inverse=True, return_counts=True)
-    number = np.cumsum(count > 1) - 1  # only shingles of at least two sets can be common
-    columns = np.where(count[back] > 1, number[back], -1)
-    owner = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in (*a, *b)])
-    owner, columns = owner[columns >= 0], columns[columns >= 0]
-    order = np.argsort(columns, kind="stable")
-    owner, columns = owner[order], columns[order]
-    out = np.zeros((len(a), len(b)), np.float32)
-    for at in range(0, int(columns[-1]) + 1 if len(columns) else 0, _COLUMNS):
-        own = slice(*np.searchsorted(columns, (at, at + _COLUMNS)))
-        m = np.zeros((len(a) + len(b), _COLUMNS), np.float32)
-        m[owner[own], columns[own] - at] = 1
-        out += m[: len(a)] @ m[len(a) :].T
-    return out
+def _whole(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs to confirm of all classes of a region that are of two components, by pairs of blocks."""
+    rows = members.join(classes.select("id", "n", "odd"), "id").withColumn("blocks", F.ceil(F.col("cnt") / BLOCK).cast("int"))
+    rows = stage(rows.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "id"), "blocks").cast("int")), "crowded")
+    key, own = ["region", "i", "j"], ["id", "comp", "n", "odd"]
+    left = rows.withColumn("i", F.col("block")).withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1))).select(*key, *own)
+    right = rows.withColumn("j", F.col("block")).withColumn("i", F.explode(F.sequence(F.lit(0), "block"))).select(*[F.col(c).alias(f"r_{c}") for c in (*key, *own)])
 
+    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+        out = []
+        if a.num_rows and b.num_rows:
+            id_, comp, n = (np.concatenate([a.column(c).to_numpy(), b.column(f"r_{c}").to_numpy()]) for c in ("id", "comp", "n"))
+            odd = a.column("odd").to_pylist() + b.column("r_odd").to_pylist()
+            for i in range(a.num_rows):
+                j = a.num_rows + np.flatnonzero(comp[a.num_rows :] != comp[i])
+                j = j[may_link(odd, n, np.full(len(j), i), j, percent)]
+                out.append(np.stack([np.full(len(j), id_[i]), id_[j]]))
+        x, y = np.concatenate([np.zeros((2, 0), np.int64), *out], 1)
+        return pa.table([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
-_BLOCK_KEY = ["region", "i", "j"]
-
-
-def _block_pairs(rows: DataFrame, columns: list[str]):
-    """Rows of crowded regions dealt to pairs of blocks i <= j, as two sides of a cogroup."""
-    rows = rows.withColumn("blocks", F.ceil(F.col("cnt") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "id"), "blocks").cast("int"))
-    left = rows.withColumn("i", F.col("block")).withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1))).select(*_BLOCK_KEY, *columns)
-    right = rows.withColumn("j", F.col("block")).withColumn("i", F.explode(F.sequence(F.lit(0), "block")))
-    right = right.select(*[F.col(c).alias(f"r_{c}") for c in (*_BLOCK_KEY, *columns)])
-    return left.groupBy(*_BLOCK_KEY).cogroup(right.groupBy(*[f"r_{c}" for c in _BLOCK_KEY]))
-
-
-def _whole_regions(members: DataFrame, sets_of, percent: int) -> list[DataFrame]:
-    """Further links of regions with classes of several components (column ``comp``)."""
-    small = members.where(F.col("cnt") <= PART)
-    other = small.select("region", F.col("id").alias("b"), F.col("comp").alias("b_comp"), F.col("sig").alias("b_sig"))
-    pairs = small.select("region", F.col("id").alias("a"), "comp", "sig").join(other, "region").where("a < b and comp <> b_comp")
-    pairs = stage(pairs.where(_alike(percent, F.col("sig"), F.col("b_sig"))).select("a", "b").distinct(), "small-region-pairs")
-    least = _least_agreement(percent)
-
-    def flag(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _pairs(("region", "id"), [], [])
-        x, y = _as_matrix(left.column("sig")), _as_matrix(right.column("r_sig"))
-        agree = np.zeros((len(x), len(y)), np.int16)
-        for k in range(_MINIMA):
-            agree += x[:, k][:, None] == y[:, k][None]
-        hit = (agree >= least) & (left.column("comp").to_numpy()[:, None] != right.column("r_comp").to_numpy()[None])
-        ids = np.concatenate([left.column("id").to_numpy()[hit.any(1)], right.column("r_id").to_numpy()[hit.any(0)]])
-        return _pairs(("region", "id"), [left.column("region")[0].as_py()] * len(ids), ids)
-
-    crowded = members.where(F.col("cnt") > PART)
-    flagged = _block_pairs(crowded, ["id", "comp", "sig"]).applyInArrow(flag, "region long, id long").distinct()
-    flagged = stage(flagged.join(crowded.select("region", "id", "comp", "cnt"), ["region", "id"]), "crowded-regions")
-    sets = sets_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(flagged.select("id")))
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _pairs(("a", "b"), [], [])
-        a, b = ([s.values.to_numpy() for s in column] for column in (left.column("set"), right.column("r_set")))
-        common = _overlaps(a, b)
-        total = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b])[None]
-        groups = left.column("comp").to_numpy(), right.column("r_comp").to_numpy()
-        linked = (100 * common >= percent * (total - common)) & (groups[0][:, None] != groups[1][None])
-        edges = _spanning(linked, left.column("id").to_numpy(), right.column("r_id").to_numpy(), groups)
-        return _pairs(("a", "b"), [e[0] for e in edges], [e[1] for e in edges])
-
-    links = _block_pairs(flagged.join(sets, "id"), ["id", "comp", "set"]).applyInArrow(compare, "a long, b long")
-    return [stage(_confirm(pairs, sets, percent), "small-region-links"), stage(links, "crowded-region-links")]
+    return left.groupBy(*key).cogroup(right.groupBy(*[f"r_{c}" for c in key])).applyInArrow(compare, "a long, b long").distinct()
 
 
 def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """Per row: id, ``text_key`` (a hash of the text), n_shingles, component_id and kept.
 
-    Two documents link if ``100 * |intersection| >= percent * |union|`` of their sets. Null, empty and
-    blank texts have an empty set and link with nothing. A row without an id links with nothing either:
-    its component is null and it is kept. Rows that share an id are one node, whose links are those of
-    all its texts; each row has the component of its own text's class. Other columns are not read. An
-    empty table gives an empty result.
+    Two documents link if ``100 * |intersection| >= percent * |union|`` of their sets. Ids may be of any
+    type that has an order. Null, empty and blank texts have an empty set and link with nothing. A row
+    without an id links with nothing either: its component is null and it is kept. Rows that share an
+    id are one node, whose links are those of all its texts. Other columns are not read. An empty table
+    gives an empty result.
     """
-    text = docs[f"`{text_col}`"]
-    source = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("h"), text.alias("text"))
-    rows = stage(source.mapInArrow(_describe(size), "id long, h long, n long, f1 long, f2 long, sig binary"), "signatures")
+    ids, text = Ids(docs, id_col), docs[f"`{text_col}`"]
+    source = ids.number(docs.select(docs[f"`{id_col}`"].alias("own"), text_key(text).alias("h"), text.alias("text")), "own", "id").select("id", "h", "text")
+    rows = stage(source.mapInArrow(_describe(size), "id long, h long, n long, digest binary, sig binary, odd binary"), "signatures")
     linkable = rows.where("n > 0 and id is not null")
-    reps = stage(linkable.groupBy("f1", "f2", "n", "sig").agg(F.min("id").alias("id")), "classes")
-
-    def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = stage(ids.distinct(), "wanted")
-        return stage(source.select("id", "text").join(wanted, "id").mapInArrow(_sets(size), "id long, set array<long>").dropDuplicates(["id", "set"]), "sets")
-
-    placed = _regions(reps)
-    crowds = stage(placed.groupBy("region").agg(F.count("*").alias("cnt"), F.min("id").alias("head")).where("cnt > 1"), "regions")
-    members = placed.join(crowds, "region").join(reps.select("id", "sig"), "id")
-    members = stage(members.withColumn("place", F.expr(f"substring(sig, tree * {4 * DEPTH} + 1, {4 * DEPTH})")), "members")
-
-    order = W.partitionBy("part").orderBy("place", "id")
-    parts = _parts(members.select("region", "cnt", "head", "id", "place", "sig"))
-    near = parts.withColumn("next", F.lead("id").over(order)).withColumn("next_sig", F.lead("sig").over(order)).where("next is not null and next <> id")
-    near = near.where(_alike(percent, F.col("sig"), F.col("next_sig"))).select(F.least("id", "next").alias("a"), F.greatest("id", "next").alias("b"))
-    heads = parts.groupBy("part").agg(F.min("id").alias("b"), F.min("head").alias("a")).where("a <> b").select("a", "b")
-    pairs = stage(near.unionByName(heads).distinct(), "candidates")
-    sets = sets_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))))
-    links = stage(_confirm(pairs, sets, percent), "links")
-
-    comps = stage(components(links, "a", "b"), "components")
-    known = members.where("cnt > 2").join(comps, "id", "left").withColumn("comp", F.coalesce("component", "id"))
-    mixed = stage(known.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("region"), "mixed-regions")
-    unsettled = stage(known.select("region", "cnt", "id", "comp", "sig").join(mixed, "region"), "unsettled")
-    more = _whole_regions(unsettled, sets_of, percent)
-    # a component counts as one node from here on
-    edges = comps.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    for m in more:
-        edges = edges.unionByName(m)
-    comps = components(edges, "a", "b")
-    classes = reps.select("f1", "f2", "id").join(comps, "id", "left").select(F.col("f1").alias("c1"), F.col("f2").alias("c2"), F.coalesce("component", "id").alias("component"))
-    classes = stage(classes, "class-components")
-    out = rows.select("id", "h", "n", "f1", "f2").join(classes, (F.col("n") > 0) & F.col("id").isNotNull() & (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")), "left")
+    shared = linkable.groupBy("id").agg(F.min("digest").alias("one"), F.max("digest").alias("other")).where("one <> other").select("id")
+    # a class is named by its least id, or, if some id has several texts, by a number of its own
+    classes = stage(linkable.groupBy("digest", "n", "sig", "odd").agg(F.min(F.struct("id", "h")).alias("first")).select("digest", "n", "sig", "odd", "first.*"), "classes")
+    several = not shared.isEmpty()
+    if several:
+        classes = partitioning.with_row_index(classes.withColumnRenamed("id", "least"), "digest").withColumn("id", F.col("row_idx").cast("long"))
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """The pairs whose full sets are alike enough."""
+        pairs = stage(pairs, "candidates")
+        wanted = stage(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
+        named = classes.join(wanted, "id").select(F.col("id").alias("class"), F.col("least" if several else "id").alias("id"), "h")
+        texts = source.join(stage(named, "wanted"), ["id", "h"]).select("class", "h", "text").withColumnRenamed("class", "id")
+        sets = stage(texts.mapInArrow(_sets(size), "id long, h long, set array<long>").drop("h").dropDuplicates(["id"]), "sets")
+        left, right = (sets.select(F.col("id").alias(c), F.col("set").alias(f"{c}_set")) for c in ("a", "b"))
+        both, common = pairs.join(left, "a").join(right, "b"), F.size(F.array_intersect("a_set", "b_set"))
+        found = stage(both.where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common)).select("a", "b"), "links")
+        for t in (pairs, wanted, sets):
+            discard(t)
+        return found
+
+    def joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+        """The components of the old ones, each as one node, with new links."""
+        edges = comps.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(links)
+        out = stage(components(edges, "a", "b"), "components")
+        discard(links)
+        return out
+
+    places = _place(classes, START, percent)
+    crowds = stage(places.groupBy("region").agg(F.count("*").alias("cnt")).where("cnt > 1"), "regions")
+    near = places.join(crowds, "region").withColumn("comp", F.col("id"))
+    comps = stage(components(confirmed(_candidates(near, classes, 1, percent)), "a", "b"), "components")
+    for depth in range(START, DEEPEST + 1):
+        links = confirmed(_candidates(_mixed(places, comps), classes, WINDOW, percent))
+        comps = joined(comps, links) if not links.isEmpty() else comps
+        crowded = stage(_mixed(places, comps).where(F.col("cnt") > WINDOW + 1), "crowded")
+        discard(places)
+        if crowded.isEmpty():
+            break
+        if depth < DEEPEST:
+            places = _place(classes.join(crowded.select("id").distinct(), "id", "left_semi"), depth + 1, percent)
+        else:
+            comps = joined(comps, confirmed(_whole(crowded, classes, percent)))
+
+    found = classes.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    if several:  # nodes are ids from here on: those of a class's rows, and of all classes of its component
+        of_class = linkable.select("id", "digest").distinct().join(found.select("digest", F.col("component").alias("group")), "digest")
+        least = of_class.groupBy("group").agg(F.min("id").alias("first"))
+        by_id = stage(components(of_class.join(least, "group").select(F.col("id").alias("a"), F.col("first").alias("b")), "a", "b"), "components")
+        out = rows.select("id", "h", "n").join(by_id, "id", "left")
+    else:
+        found = stage(found.select(F.col("digest").alias("d"), "component"), "class-components")
+        out = rows.select("id", "h", "n", "digest").join(found, F.col("id").isNotNull() & (F.col("n") > 0) & (F.col("digest") == F.col("d")), "left")
     component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.col("h").alias("text_key"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    out = out.select("id", F.col("h").alias("text_key"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return ids.restore(out, "id", "component_id").select(F.col("id").alias(id_col), "text_key", "n_shingles", "component_id", "kept")
 
 
 #: The same rows in DuckDB for shingles of four words: all pairs with a common shingle, then everything that links reach.
