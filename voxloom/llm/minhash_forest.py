@@ -271,12 +271,13 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if several:
         classes = partitioning.with_row_index(classes.withColumnRenamed("id", "least"), "digest").withColumn("id", F.col("row_idx").cast("long"))
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """The pairs whose full sets are alike enough."""
+    def confirmed(pairs: DataFrame, many: bool = False) -> DataFrame:
+        """The pairs whose full sets are alike enough; with ``many`` they concern a share of all texts, whatever the table's size."""
         pairs = stage(pairs, "candidates")
         wanted = stage(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
         named = classes.join(wanted, "id").select(F.col("id").alias("class"), F.col("least" if several else "id").alias("id"), "h")
-        texts = source.join(stage(named, "wanted"), ["id", "h"]).select("class", "h", "text").withColumnRenamed("class", "id")
+        named = stage(named, "wanted")
+        texts = source.join(named.hint("merge") if many else named, ["id", "h"]).select("class", "h", "text").withColumnRenamed("class", "id")
         sets = stage(texts.mapInArrow(_sets(size), "id long, h long, set array<long>").drop("h").dropDuplicates(["id"]), "sets")
         left, right = (sets.select(F.col("id").alias(c), F.col("set").alias(f"{c}_set")) for c in ("a", "b"))
         both, common = pairs.join(left, "a").join(right, "b"), F.size(F.array_intersect("a_set", "b_set"))
@@ -295,7 +296,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     places = _place(classes, START, percent)
     crowds = stage(places.groupBy("region").agg(F.count("*").alias("cnt")).where("cnt > 1"), "regions")
     near = places.join(crowds, "region").withColumn("comp", F.col("id"))
-    comps = stage(components(confirmed(_candidates(near, classes, 1, percent)), "a", "b"), "components")
+    comps = stage(components(confirmed(_candidates(near, classes, 1, percent), many=True), "a", "b"), "components")
     for depth in range(START, DEEPEST + 1):
         links = confirmed(_candidates(_mixed(places, comps), classes, WINDOW, percent))
         comps = joined(comps, links) if not links.isEmpty() else comps
