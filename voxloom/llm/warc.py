@@ -2,83 +2,91 @@
 
 An ARC file begins with a version block; its second line names the version (1 or 2), which fixes the
 fields of every record's header line. A record is that line and as many bytes as the line declares.
-The converter gives each record a WARC identifier, an ISO date, a type and digests: of records with
-equal payloads of at least ``least`` bytes, the one with the smallest id stays a response and the
-others become revisits that refer to it.
-
-Archives are written by Spark's text writer, a file per task, gzip-compressed as one stream, and read
-through the binaryFile source, so any store that Spark reaches will do. A file holds what one task
-wrote, which ``spark.sql.files.maxPartitionBytes`` bounds; readers decompress and parse it as a stream.
+The converter keeps these bytes, the HTTP header among them, and gives each record a WARC identifier,
+an ISO date, a type and digests. Of records with equal payloads of at least ``least`` bytes the first
+stays a response, the others become revisits that refer to it and keep their header only.
+
+Files are read and written as streams within tasks, through Arrow's file systems, whatever bytes they
+hold: one gzip member per record. A file is written under a name of its task attempt and then renamed,
+so a task that is run again does no harm. What is no record is skipped up to the next header line and
+reported, with its file, place and reason.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import new_path, stage
+from .shared import discard, new_path, stage
 
 ARC_FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length", 2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
+#: A record's line: URL and type may hold blanks, the fields between and after them don't.
+_LINE = r"(?P<url>\S.*?) (?P<ip>[0-9A-Fa-f.:]+|-) (?P<date>\d{8,17}) (?P<type>.*?)"
+_LINES = {1: re.compile(_LINE + r" (?P<length>\d+)"), 2: re.compile(_LINE + r" (?P<code>\d{3}|-) \S+ \S+ \d+ \S+ (?P<length>\d+)")}
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Uncompressed bytes that a reader asks for at once, and payload bytes of a batch of parsed records.
-_CHUNK = 1 << 20
-_BATCH = 8 << 20
+#: Bytes that a reader asks for at once, and payload bytes of a batch of parsed records.
+_CHUNK, _BATCH = 1 << 20, 8 << 20
+_LEVEL = 6
+
+
+def _open(path: str) -> tuple[arrow_fs.FileSystem, str]:
+    return arrow_fs.FileSystem.from_uri(re.sub("^file:/+", "/", path))
 
 
 class _Stream:
     """Reads lines and byte counts from gzip data of one or more members, or from plain data."""
 
-    def __init__(self, data: memoryview):
-        self.rest, self.at, self.have = data, 0, bytearray()
-        self.gzip = bytes(data[:2]) == b"\x1f\x8b"
-        self.inflate = zlib.decompressobj(31) if self.gzip else None
-        self.offset = 0
+    def __init__(self, source):
+        self.source, self.rest, self.have, self.at, self.offset = source, source.read(_CHUNK), b"", 0, 0
+        self.inflate = zlib.decompressobj(31) if self.rest[:2] == b"\x1f\x8b" else None
 
     def _more(self) -> bool:
-        if not self.gzip:
-            piece = self.rest[self.at : self.at + _CHUNK]
-            self.at += len(piece)
-            self.have += piece
-            return bool(len(piece))
-        while True:
-            held = self.inflate.unconsumed_tail or bytes(self.rest[self.at : self.at + _CHUNK])
-            if not self.inflate.unconsumed_tail:
-                self.at += len(held)
-            if not held:
+        """Add to what is there; False at the end."""
+        piece = b""
+        while not piece:
+            if not self.rest:
+                self.rest = self.source.read(_CHUNK)
+            if not self.rest:
                 return False
-            piece = self.inflate.decompress(held, _CHUNK)
-            self.have += piece
-            if self.inflate.eof:
-                self.at -= len(self.inflate.unused_data)
-                self.inflate = zlib.decompressobj(31)
-            if piece:
-                return True
+            if self.inflate is None:
+                piece, self.rest = self.rest, b""
+            else:
+                piece = self.inflate.decompress(self.rest, _CHUNK)
+                self.rest = self.inflate.unconsumed_tail
+                if self.inflate.eof:
+                    self.rest, self.inflate = self.inflate.unused_data, zlib.decompressobj(31)
+        self.have, self.at = self.have[self.at :] + piece, 0
+        return True
 
     def line(self) -> bytes | None:
         """The next line with its line feed; None at the end."""
-        start = 0
-        while (end := self.have.find(b"\n", start)) < 0:
-            start = len(self.have)
+        while (end := self.have.find(b"\n", self.at)) < 0:
             if not self._more():
                 end = len(self.have) - 1
                 break
-        if not self.have:
-            return None
-        return self.take(end + 1)
+        return self.take(end + 1 - self.at) if end >= self.at else None
 
     def take(self, n: int) -> bytes:
-        while len(self.have) < n and self._more():
-            pass
-        if len(self.have) < n:
-            raise ValueError(f"the archive ends {n - len(self.have)} bytes before a declared length, at byte {self.offset}")
-        out = bytes(self.have[:n])
-        del self.have[:n]
+        if len(self.have) - self.at < n:
+            parts, left = [self.have[self.at :]], n - (len(self.have) - self.at)
+            self.have, self.at = b"", 0
+            while left > 0 and self._more():
+                parts.append(self.have[:left])
+                self.at, left = min(left, len(self.have)), left - len(self.have)
+            if left > 0:
+                raise ValueError(f"the archive ends {left} bytes before a declared length")
+            out = b"".join(parts)
+        else:
+            out = self.have[self.at : self.at + n]
+            self.at += n
         self.offset += n
         return out
 
@@ -88,14 +96,47 @@ def uri(url: str | None) -> str:
     return "".join(chr(b) if 0x20 < b < 0x7F else f"%{b:02X}" for b in url.encode()) if url else "urn:none"
 
 
-def _http(payload: bytes, page_id: str) -> bytes:
-    return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\nX-Page-Id: {page_id}\r\n\r\n".encode()
+def _url(raw: bytes) -> str:
+    """The URL of a header line: UTF-8, or with its bytes beyond ASCII percent-encoded."""
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        return "".join(chr(b) if b < 0x80 else f"%{b:02X}" for b in raw)
+
+
+def split_http(block: bytes) -> tuple[bytes, bytes]:
+    """The HTTP header with its blank line, and the payload; a block that is no HTTP response has no header."""
+    if not block.startswith(b"HTTP/"):
+        return b"", block
+    ends = [at + len(mark) for mark in (b"\r\n\r\n", b"\n\n") if (at := block.find(mark)) >= 0]
+    end = min(ends, default=len(block))
+    return block[:end], block[end:]
+
+
+def http_field(header: bytes, name: str) -> str | None:
+    """The value of the first header field of this name."""
+    found = re.search(rb"(?im)^" + re.escape(name.encode()) + rb"[ \t]*:[ \t]*([^\r\n]*)", header)
+    return found[1].decode("latin-1").rstrip() if found else None
+
 
+def _member(record: bytes) -> bytes:
+    packer = zlib.compressobj(_LEVEL, zlib.DEFLATED, 31)
+    return packer.compress(record) + packer.flush()
 
-def _split_http(block: bytes) -> tuple[dict[str, str], bytes]:
-    head, _, body = block.partition(b"\r\n\r\n")
-    fields = dict(x.split(": ", 1) for x in head.decode("utf-8", "replace").split("\r\n")[1:] if ": " in x)
-    return {k.lower(): v for k, v in fields.items()}, body
+
+def _write_file(folder: str, name: str, records: Iterator[bytes]) -> int:
+    """Write a file of one gzip member per record, all of it or nothing; how many there are."""
+    from pyspark import TaskContext
+
+    fs, path = _open(folder)
+    fs.create_dir(path, recursive=True)
+    part, n = f"{path}/_{TaskContext.get().taskAttemptId()}-{name}", 0
+    with fs.open_output_stream(part, compression=None) as out:
+        for record in records:
+            out.write(_member(record))
+            n += 1
+    fs.move(part, f"{path}/{name}")
+    return n
 
 
 def arc_version_block(version: int, date: str, name: str) -> bytes:
@@ -105,7 +146,7 @@ def arc_version_block(version: int, date: str, name: str) -> bytes:
 
 
 def arc_record(version: int, url: str | None, page_id: str, payload: bytes, date: str, offset: int, name: str) -> bytes:
-    block = _http(payload, page_id) + payload
+    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\nX-Page-Id: {page_id}\r\n\r\n".encode() + payload
     extra = "" if version == 1 else f"200 {hashlib.md5(payload).hexdigest()} - {offset} {name} "
     return f"{uri(url)} 127.0.0.1 {date} text/html {extra}{len(block)}\n".encode() + block
 
@@ -117,93 +158,132 @@ def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        version, name, offset, first = 1 + part % 2, f"part-{part:06d}.arc", 0, True
-        for batch in batches:
-            out = []
-            if first:
-                out.append(arc_version_block(version, date, name))
-                offset, first = len(out[0]) + 1, False
-            for page, url, html in zip(*(batch.column(c).to_pylist() for c in ("id", "url", "html")), strict=True):
-                out.append(arc_record(version, url, page or "", (html or "").encode(), date, offset, name))
-                offset += len(out[-1]) + 1
-            yield pa.RecordBatch.from_arrays([pa.array([x.decode() for x in out], pa.string())], names=["record"])
+        version, name = 1 + part % 2, f"part-{part:06d}.arc.gz"
+
+        def records() -> Iterator[bytes]:
+            yield arc_version_block(version, date, name) + b"\n"
+            offset = 0
+            for batch in batches:
+                for page, url, html in zip(*(batch.column(c) for c in ("id", "url", "html")), strict=True):
+                    payload = html.as_buffer().to_pybytes() if html.is_valid else b""
+                    record = arc_record(version, url.as_py(), page.as_py() or "", payload, date, offset, name) + b"\n"
+                    offset += len(record)
+                    yield record
+
+        yield pa.RecordBatch.from_arrays([pa.array([_write_file(path, name, records())], pa.int64())], names=["n"])
 
     rows = pages.select(pages[f"`{id_col}`"].cast("string").alias("id"), pages[f"`{url_col}`"].cast("string").alias("url"), pages[f"`{html_col}`"].cast("string").alias("html"))
-    rows.mapInArrow(run, "record string").write.option("compression", "gzip").option("lineSep", "\n").text(path)
-
-
-def parse_arc(data: memoryview) -> Iterator[dict]:
-    """Records of one ARC file, plain or gzip. A broken header line or length raises ValueError."""
-    s = _Stream(data)
-    fields: list[str] | None = None
-    while True:
-        at, line = s.offset, s.line()
-        if line is None:
-            return
-        if not line.strip():  # records are set apart by line feeds
-            continue
-        words = line.decode("utf-8", "replace").rstrip("\r\n").split(" ")
-        if words[0].startswith("filedesc://"):
-            block = s.take(int(words[-1]))
-            version = int(block.split(b" ", 1)[0])
-            if version not in ARC_FIELDS:
-                raise ValueError(f"ARC version {version}")
-            fields = ARC_FIELDS[version].split(" ")
-            continue
-        if fields is None or len(words) != len(fields) or not words[-1].isdigit():
-            raise ValueError(f"not an ARC record at byte {at}: {line[:80]!r}")
-        head = dict(zip(fields, words, strict=True))
-        yield {"url": head["URL"], "ip": head["IP-address"], "date": head["Archive-date"], "type": head["Content-type"], "offset": at, "block": s.take(int(words[-1]))}
-
-
-def parse_warc(data: memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (lower-case names) and block of each record of one WARC file, plain or gzip."""
-    s = _Stream(data)
-    while True:
-        line = s.line()
-        if line is None:
-            return
-        if not line.strip():
-            continue
-        if not line.startswith(b"WARC/"):
-            raise ValueError(f"not a WARC record before byte {s.offset}: {line[:80]!r}")
-        head: dict[str, str] = {}
-        while (line := s.line()) is not None and line.strip():
-            key, _, value = line.decode().partition(":")
-            head[key.strip().lower()] = value.strip()
-        yield head, s.take(int(head["content-length"]))
-
-
-def _files(spark: SparkSession, path: str, parse: Callable[[memoryview], Iterator], row: Callable[..., dict | None], schema: str, kinds: dict[str, pa.DataType]) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch_of(rows: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in kinds.items()], names=list(kinds))
+    rows.mapInArrow(run, "n long").agg(F.sum("n")).first()
+
+
+def parse_arc(source) -> Iterator[dict]:
+    """Records of one ARC file, plain or gzip, with their ``block``; or, with ``error``, why bytes at ``offset`` are none.
 
+    ``source`` is a binary file object. After a line that is no header the search goes on with the next
+    line; a file that ends early or is damaged as gzip ends there, with what was wrong.
+    """
+    line_of, lost = _LINES[1], None  # which fits a version block of either version
+    try:
+        s = _Stream(source)
+        while (line := s.line()) is not None:
+            at = s.offset - len(line)
+            if not line.strip():  # records are set apart by line feeds
+                continue
+            found = line_of.fullmatch(line.decode("latin-1").rstrip("\r\n"))
+            if found is None:
+                lost = at if lost is None else lost
+                continue
+            if lost is not None:
+                yield {"offset": lost, "error": f"{at - lost} bytes that are no ARC record"}
+                lost = None
+            block = s.take(int(found["length"]))
+            if found["url"].startswith("filedesc://"):
+                version = block.split(b" ", 1)[0]
+                if version not in (b"1", b"2"):
+                    yield {"offset": at, "error": f"ARC version {version[:20]!r}"}
+                    return
+                line_of = _LINES[int(version)]
+                continue
+            yield {"url": _url(found["url"].encode("latin-1")), "ip": found["ip"], "date": found["date"], "type": found["type"], "offset": at, "block": block, "error": None}
+        if lost is not None:
+            yield {"offset": lost, "error": f"{s.offset - lost} bytes that are no ARC record"}
+    except (ValueError, zlib.error) as e:
+        yield {"offset": s.offset, "error": str(e)}
+
+
+def parse_warc(source) -> Iterator[dict]:
+    """Records of one WARC file, plain or gzip: ``head`` (fields, lower-case names) and ``block``; or ``error`` as above."""
+    lost = None
+    try:
+        s = _Stream(source)
+        while (line := s.line()) is not None:
+            at = s.offset - len(line)
+            if not line.strip():
+                continue
+            if not line.startswith(b"WARC/"):
+                lost = at if lost is None else lost
+                continue
+            if lost is not None:
+                yield {"offset": lost, "error": f"{at - lost} bytes that are no WARC record"}
+                lost = None
+            head: dict[str, str] = {}
+            while (line := s.line()) is not None and line.strip():
+                key, _, value = line.decode("utf-8", "replace").partition(":")
+                head[key.strip().lower()] = value.strip()
+            if not head.get("content-length", "").isdigit() or "warc-type" not in head:
+                lost = at
+                continue
+            yield {"head": head, "block": s.take(int(head["content-length"])), "offset": at, "error": None}
+        if lost is not None:
+            yield {"offset": lost, "error": f"{s.offset - lost} bytes that are no WARC record"}
+    except (ValueError, zlib.error) as e:
+        yield {"offset": s.offset, "error": str(e)}
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path")
+
+
+def _read(spark: SparkSession, path: str, parse: Callable, row: Callable[..., dict | None], kinds: dict[str, pa.DataType], schema: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file in batch.column("content"):
+            for file in batch.column("path").to_pylist():
+                fs, own = _open(file)
                 rows, size = [], 0
-                for record in parse(memoryview(file.as_buffer())):
-                    if (r := row(record)) is not None:
-                        rows.append(r)
-                        size += r.get("size", 0) + 200
-                    if size >= _BATCH:
-                        yield batch_of(rows)
-                        rows, size = [], 0
+                with fs.open_input_stream(own, compression=None) as source:
+                    for record in parse(source):
+                        if (r := row(record)) is not None:
+                            rows.append(r | {"file": file, "offset": record["offset"], "error": record["error"]})
+                            size += len(r.get("payload") or b"") + 200
+                        if size >= _BATCH:
+                            yield pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
+                            rows, size = [], 0
                 if rows:
-                    yield batch_of(rows)
+                    yield pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
+
+    return _files(spark, path).mapInArrow(run, schema)
+
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)
+_PLACE, _PLACE_SCHEMA = {"file": pa.string(), "offset": pa.int64(), "error": pa.string()}, "file string, offset long, error string"
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """``(id, url, ip, date, offset, payload, size, digest)`` of every record of the ARC files in a folder."""
+def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """``(id, url, ip, date, type, header, payload, size, digest)`` and file, offset and error of every record of the ARC files in a folder.
+
+    ``id`` is the HTTP field X-Page-Id, if there is one; size and digest are of the payload, which is
+    left out without ``payloads``. Broken records have nothing but file, offset and error.
+    """
 
     def row(r: dict) -> dict:
-        fields, payload = _split_http(r["block"])
-        return r | {"id": fields.get("x-page-id") or None, "payload": payload, "size": len(payload), "digest": hashlib.sha256(payload).hexdigest()}
+        if r["error"]:
+            return {}
+        header, payload = split_http(r["block"])
+        digest = hashlib.sha256(payload).hexdigest()
+        out = {"id": http_field(header, "X-Page-Id") or None, "size": len(payload), "digest": digest} | {k: r[k] for k in ("url", "ip", "date", "type")}
+        return out | {"header": header, "payload": payload} if payloads else out
 
-    kinds = {"id": pa.string(), "url": pa.string(), "ip": pa.string(), "date": pa.string(), "offset": pa.int64(), "payload": pa.binary(), "size": pa.int64(), "digest": pa.string()}
-    return _files(spark, path, parse_arc, row, "id string, url string, ip string, date string, offset long, payload binary, size long, digest string", kinds)
+    kinds = {"id": pa.string(), "url": pa.string(), "ip": pa.string(), "date": pa.string(), "type": pa.string(), "header": pa.binary(), "payload": pa.binary(), "size": pa.int64(), "digest": pa.string()}
+    return _read(spark, path, parse_arc, row, kinds | _PLACE, "id string, url string, ip string, date string, type string, header binary, payload binary, size long, digest string, " + _PLACE_SCHEMA)
 
 
 def iso_date(arc_date: str) -> str:
@@ -211,97 +291,116 @@ def iso_date(arc_date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:]}Z"
 
 
-def record_id(url: str, date: str, digest: str, page_id: str | None, offset: int) -> str:
-    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(f'{url} {date} {digest} {page_id} {offset}'.encode()).digest()[:16], version=4)}>"
+def record_id(url: str, date: str, file: str, offset: int) -> str:
+    """The same identifier whenever the same record of a file is converted."""
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(f'{url} {date} {file} {offset}'.encode()).digest()[:16], version=4)}>"
 
 
-def _warc(fields: dict[str, str | None], block: bytes) -> bytes:
+def _warc(fields: dict[str, str | int | None], block: bytes) -> bytes:
     head = "".join(f"{k}: {v}\r\n" for k, v in fields.items() if v is not None)
-    return f"WARC/1.1\r\n{head}WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block
+    return f"WARC/1.1\r\n{head}WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, id_type: str = "long", least: int = 100) -> None:
-    """Write the WARC files equivalent to a folder of ARC files.
+def _warc_record(r: dict, file: str, first: dict | None) -> bytes:
+    """The WARC record of an ARC record; ``first`` is the record that it revisits."""
+    header, payload = split_http(r["block"])
+    http = bool(header)
+    fields = {
+        "WARC-Type": "revisit" if first else "response" if http else "resource", "WARC-Record-ID": record_id(r["url"], r["date"], file, r["offset"]), "WARC-Date": iso_date(r["date"]), "WARC-Target-URI": uri(r["url"]),
+        "WARC-IP-Address": None if r["ip"] in ("-", "0.0.0.0") else r["ip"], "WARC-Payload-Digest": "sha256:" + hashlib.sha256(payload).hexdigest(), "X-Payload-Length": len(payload),
+        "X-Page-Id": http_field(header, "X-Page-Id"), "Content-Type": "application/http; msgtype=response" if http else r["type"] or "application/octet-stream",
+    }
+    if first:
+        fields |= {"WARC-Profile": _REVISIT, "WARC-Refers-To": record_id(first["url"], first["date"], first["file"], first["offset"]), "WARC-Refers-To-Target-URI": uri(first["url"]), "WARC-Refers-To-Date": iso_date(first["date"]), "X-Refers-To-Page-Id": first["id"]}
+    return _warc(fields, header if first else r["block"])
 
-    The smallest id counts among records with equal payloads; null ids come last. Records with the
-    smallest id itself, were it repeated, are all responses.
-    """
-    records = read_arc(spark, arc_path).withColumn("page", F.col("id").cast(id_type))
 
-    @F.arrow_udf("string")
-    def rid(url: pa.Array, date: pa.Array, digest: pa.Array, page: pa.Array, offset: pa.Array) -> pa.Array:
-        return pa.array([record_id(*r) for r in zip(*(c.to_pylist() for c in (url, date, digest, page, offset)), strict=True)], pa.string())
+def convert(spark: SparkSession, arc_path: str, warc_path: str, id_type: str = "long", least: int = 100) -> DataFrame:
+    """Write the WARC files equivalent to a folder of ARC files, one each; the broken records, as a table.
 
-    named = records.withColumn("ref", F.struct(F.col("page").isNull().alias("none"), "page", "url", "date", "offset"))
-    first = named.where(F.col("size") >= least).groupBy("digest").agg(F.min("ref").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    first = stage(first.select("digest", "first.page", rid("first.url", "first.date", "digest", F.col("first.page").cast("string"), "first.offset").alias("refers")), "first-payloads")
-    # as a table, so that a payload of very many records can be split in the join
-    joined = records.join(first.select(F.col("digest").alias("f_digest"), F.col("page").alias("f_page"), "refers"), (F.col("digest") == F.col("f_digest")) & (F.col("size") >= least), "left")
-    revisit = F.col("refers").isNotNull() & ~F.col("page").eqNullSafe(F.col("f_page"))
-    joined = joined.select("id", "url", "ip", "date", "offset", "size", "digest", F.when(~revisit, F.col("payload")).alias("payload"), F.when(revisit, F.col("refers")).alias("refers"), F.when(revisit, F.col("f_page").cast("string")).alias("f_page"))
+    Of records with equal payloads the first is the one with the smallest id; records without one come
+    last, in the order of date, file and place. Records that repeat the first one's id are responses too.
+    The archives are read twice, payloads are never moved: what is joined are their digests.
+    """
+    heads = stage(read_arc(spark, arc_path, payloads=False).drop("header", "payload"), "arc-records")
+    page = F.col("id").try_cast(id_type)
+    order = F.struct(page.isNull().alias("none"), page.alias("page"), F.rpad("date", 17, "0").alias("at"), "file", "offset", "id", "url", "date")
+    large = heads.where(F.col("size") >= least)
+    first = large.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("digest").alias("d"), "first")
+    again = large.join(stage(first, "first-payloads"), F.col("digest") == F.col("d"))  # a table: a payload of very many records can be split
+    again = again.where(~((F.col("file") == F.col("first.file")) & (F.col("offset") == F.col("first.offset"))) & ~F.coalesce(page == F.col("first.page"), F.lit(False)))
+    again = again.groupBy("file").agg(F.collect_list(F.struct("offset", "first.id", "first.url", F.col("first.date").alias("date"), F.col("first.file").alias("first_file"), F.col("first.offset").alias("first_offset"))).alias("again"))
+    files = _files(spark, arc_path).join(again.withColumnRenamed("file", "f"), F.col("path") == F.col("f"), "left").select("path", "again")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = True
         for batch in batches:
-            out = []
-            if first:
-                info = b"software: voxloom\r\nformat: WARC File Format 1.1\r\n"
-                name = hashlib.sha256(str(batch.column("digest")[0]).encode()).hexdigest()
-                out.append(_warc({"WARC-Type": "warcinfo", "WARC-Record-ID": record_id("warcinfo", "", name, None, 0), "WARC-Date": "2024-01-01T00:00:00Z", "Content-Type": "application/warc-fields"}, info))
-                first = False
-            for r in batch.to_pylist():
-                payload = r["payload"]
-                head = _http(payload or b"", r["id"] or "") if r["refers"] is None else f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {r['size']}\r\nX-Page-Id: {r['id'] or ''}\r\n\r\n".encode()
-                fields = {
-                    "WARC-Type": "response" if r["refers"] is None else "revisit", "WARC-Record-ID": record_id(r["url"], r["date"], r["digest"], r["id"], r["offset"]), "WARC-Date": iso_date(r["date"]), "WARC-Target-URI": r["url"],
-                    "WARC-IP-Address": r["ip"], "WARC-Payload-Digest": "sha256:" + r["digest"], "WARC-Profile": _REVISIT if r["refers"] else None, "WARC-Refers-To": r["refers"], "X-Refers-To-Page-Id": r["f_page"],
-                    "Content-Type": "application/http; msgtype=response",
-                }
-                out.append(_warc(fields, head + (payload or b"" if r["refers"] is None else b"")))
-            yield pa.RecordBatch.from_arrays([pa.array([x.decode() for x in out], pa.string())], names=["record"])
-
-    stage_writer(joined.mapInArrow(run, "record string"), warc_path)
-
-
-def stage_writer(records: DataFrame, path: str) -> None:
-    """WARC records end with two line breaks, which the text writer puts after each row."""
-    records.write.option("compression", "gzip").option("lineSep", "\r\n\r\n").text(path)
-
-
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """``(id, url, date, size, digest, type, refers_to, payload)`` of the responses and revisits in a folder.
-
-    Size and digest are of the full payload: of a response's as read, of a revisit's as declared.
+            for file, own in zip(batch.column("path").to_pylist(), batch.column("again"), strict=True):
+                known = {r["offset"]: {"id": r["id"], "url": r["url"], "date": r["date"], "file": r["first_file"], "offset": r["first_offset"]} for r in own.as_py() or ()}
+                yield pa.RecordBatch.from_arrays([pa.array([_convert_file(file, known, warc_path)], pa.int64())], names=["n"])
+
+    files.repartition(max(1, files.count())).mapInArrow(run, "n long").agg(F.sum("n")).first()
+    broken = stage(heads.where("error is not null").select("file", "offset", "error"), "broken-records")
+    discard(heads)
+    return broken
+
+
+def _convert_file(file: str, again: dict[int, dict], folder: str) -> int:
+    fs, own = _open(file)
+    name = f"{hashlib.sha256(file.encode()).hexdigest()[:16]}-{re.sub(r'(?:[.]arc)?(?:[.]gz)?$', '', file.rsplit('/', 1)[-1])}.warc.gz"
+
+    def records(source) -> Iterator[bytes]:
+        info = f"software: voxloom\r\nformat: WARC File Format 1.1\r\nconverted-from: {uri(file)}\r\n".encode()
+        yield _warc({"WARC-Type": "warcinfo", "WARC-Record-ID": record_id("warcinfo", "", file, 0), "WARC-Date": "2024-01-01T00:00:00Z", "WARC-Filename": name, "Content-Type": "application/warc-fields"}, info)
+        for r in parse_arc(source):
+            if not r["error"]:
+                yield _warc_record(r, file, again.get(r["offset"]))
+
+    with fs.open_input_stream(own, compression=None) as source:
+        return _write_file(folder, name, records(source))
+
+
+def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """``(id, url, date, size, digest, type, refers_to, header, payload)`` and file, offset and error of the responses, resources and revisits in a folder.
+
+    Size and digest are of the full payload: of a revisit's as declared, of others as read. Header and
+    payload are left out without ``payloads``.
     """
 
-    def row(record: tuple[dict[str, str], bytes]) -> dict | None:
-        head, block = record
-        if head["warc-type"] not in ("response", "revisit"):
+    def row(r: dict) -> dict | None:
+        if r["error"]:
+            return {}
+        head, kind = r["head"], r["head"]["warc-type"]
+        if kind not in ("response", "resource", "revisit"):
             return None
-        fields, payload = _split_http(block)
-        whole = head["warc-type"] == "response"
-        return {
-            "id": fields.get("x-page-id") or None, "url": head["warc-target-uri"], "date": head["warc-date"], "size": len(payload) if whole else int(fields["content-length"]),
-            "digest": hashlib.sha256(payload).hexdigest() if whole else head["warc-payload-digest"].partition(":")[2], "type": head["warc-type"], "refers_to": head.get("x-refers-to-page-id"), "payload": payload if whole else None,
+        header, payload = split_http(r["block"])
+        whole = kind != "revisit"
+        size = head.get("x-payload-length") or http_field(header, "Content-Length") or ""
+        out = {
+            "id": head.get("x-page-id") or http_field(header, "X-Page-Id") or None, "url": head.get("warc-target-uri"), "date": head.get("warc-date"), "type": kind, "refers_to": head.get("x-refers-to-page-id"),
+            "size": len(payload) if whole else int(size) if size.isdigit() else None, "digest": hashlib.sha256(payload).hexdigest() if whole else head.get("warc-payload-digest", "").partition(":")[2] or None,
         }
+        return out | {"header": header, "payload": payload if whole else None} if payloads else out
 
-    kinds = {"id": pa.string(), "url": pa.string(), "date": pa.string(), "size": pa.int64(), "digest": pa.string(), "type": pa.string(), "refers_to": pa.string(), "payload": pa.binary()}
-    return _files(spark, path, parse_warc, row, "id string, url string, date string, size long, digest string, type string, refers_to string, payload binary", kinds)
+    kinds = {"id": pa.string(), "url": pa.string(), "date": pa.string(), "size": pa.int64(), "digest": pa.string(), "type": pa.string(), "refers_to": pa.string(), "header": pa.binary(), "payload": pa.binary()}
+    return _read(spark, path, parse_warc, row, kinds | _PLACE, "id string, url string, date string, size long, digest string, type string, refers_to string, header binary, payload binary, " + _PLACE_SCHEMA)
 
 
 def archive_round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = 100) -> DataFrame:
     """Write all rows as ARC files, convert these to WARC, and read the WARC files back.
 
     Per row: id, payload_bytes, payload_digest, record_type and refers_to. Null html is an empty
-    payload, null URLs and ids are kept as such. Other columns are not archived. An empty table gives
-    an empty result.
+    payload, null URLs and ids are kept as such; of equal payloads that all lack an id one is the
+    response, and the others revisit it without naming an id. Other columns are not archived. An empty
+    table gives an empty result.
     """
     spark = pages.sparkSession
     id_type = pages.schema[id_col].dataType.simpleString()
     arc, warc = new_path(spark, "arc"), new_path(spark, "warc")
     write_arc(pages, arc, id_col, url_col, html_col)
-    convert(spark, arc, warc, id_type, least)
-    back = read_warc(spark, warc)
+    broken = convert(spark, arc, warc, id_type, least)
+    if not broken.isEmpty():
+        raise RuntimeError(f"broken records: {broken.limit(5).collect()}")
+    back = read_warc(spark, warc, payloads=False)
     return back.select(F.col("id").cast(id_type).alias(id_col), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), F.col("refers_to").cast(id_type).alias("refers_to"))
 
 
