@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from tests.llm.conftest import SF
 from voxloom.llm import quality_rules as q
@@ -31,17 +32,77 @@ def test_empty(empty):
 
 
 def test_native(spark, capsys):
-    q.measure(spark.read.parquet(f"{SF}/documents.parquet")).explain("formatted")
-    plan = capsys.readouterr().out
-    assert not re.search("Python|Arrow|Pandas", plan)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for plan in (q.measure(docs), q.thresholds(q.measure(docs)), q.quality_rules(docs)):
+        plan.explain("formatted")
+    assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
 
 
-def test_sketches_near_exact_quantiles(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    m = q._rates(q.measure(docs)).cache()
-    fences = q.thresholds(m, q.Fences(least_rows=30)).where("level = 2").first()
-    exact = np.quantile([r["word_length"] for r in m.where("word_length is not null").collect()], [0.25, 0.5, 0.75])
-    assert abs(fences["word_length_high"] - (exact[1] + 6 * (exact[2] - exact[1]) + 1.5)) < 0.3
+def brute_fences(m, fences):
+    """Quantiles of sorted values instead of sketches, drawn towards those of the parent groups."""
+
+    def quartiles(rows, count, size):
+        v = np.sort([r[count] / r[size] if count else r[size] for r in rows if r[size] > 0])
+        return len(v), np.array([v[-(-len(v) * i // 4) - 1] for i in (1, 2, 3)]) if len(v) else np.zeros(3)
+
+    def drawn(levels, count, size):
+        found = None
+        for rows in levels:
+            n, own = quartiles(rows, count, size)
+            found = own if found is None else (n * own + fences.prior * found) / (n + fences.prior)
+        return found
+
+    out = {}
+    for group in {(r["group0"], r["group1"]) for r in m}:
+        levels = [m, [r for r in m if r["group0"] == group[0]], [r for r in m if (r["group0"], r["group1"]) == group]]
+        for name, (count, size, unit, _) in q.MEASURES.items():
+            low, mid, high = drawn(levels, count, size)
+            least = unit / drawn(levels, None, size)[1]
+            out[group, name] = (mid - fences.reach * max(mid - low, least), mid + fences.reach * max(high - mid, least))
+    return out
+
+
+@pytest.mark.parametrize("fences", [q.Fences(), q.Fences(reach=2.0, errors=0.5, prior=5.0)])
+def test_kept_against_exact_quantiles(spark, docs, fences):
+    """The sketches' fences lie within 3 % of those of the values themselves, and only rows between the two may differ."""
+    for table in (docs, spark.read.parquet(f"{SF}/documents.parquet")):
+        m = [r.asDict() for r in q.measure(table).collect()]
+        exact = brute_fences(m, fences)
+        judged = {}
+        for r in q.quality_rules(table, fences=fences).collect():
+            judged.setdefault(r["doc_id"], []).append((r["kept"], set(r["failed"]), r["base_failed"], r["n_words"], r["n_symbols"]))
+        for r in m:
+            same = [j for j in judged[r["id"]] if j[3:] == (r["n_words"], r["n_symbols"])]
+            for name, (count, size, unit, both) in q.MEASURES.items():
+                if not r[size]:
+                    continue
+                low, high = exact[(r["group0"], r["group1"]), name]
+                error = fences.errors * (unit * (r[count] + unit)) ** 0.5
+                over, under, slack = (r[count] - error) / r[size] - high, low - (r[count] + error) / r[size], 0.03 * max(abs(high), abs(low) if both else 0) * (1 + fences.reach / 3)
+                beyond = max(over, under) if both else over
+                if abs(beyond) > slack:
+                    assert all((name in j[1]) == (beyond > 0) for j in same), (r, name, low, high)
+            assert all(j[0] == (not j[1] and not j[2]) for j in same)
+
+
+def test_fences_adapt(spark):
+    """A source where symbols or long words are usual keeps its texts; the same text fails elsewhere; reruns agree."""
+    rows = [(i, " ".join(["plain", "words", "only", "here", "always"][j % 5] + str(100_000 + 61 * i + j) for j in range(60)), "en", "prose") for i in range(900)]
+    rows += [(3000 + i, " ".join(f"${100 + i}|{100 + j}|*" for j in range(60)), "en", "tables") for i in range(300)]
+    rows += [(4000 + i, " ".join(f"long{100 + i}word{100 + j}everywhereinthislanguage" for j in range(60)), "xx", "prose") for i in range(300)]
+    rows += [(5000, rows[900][1], "en", "prose"), (5001, rows[1200][1], "en", "prose"), (5002, rows[0][1], "xx", "prose"), (5003, rows[900][1], "new", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: (r["kept"], r["failed"]) for r in q.quality_rules(df).collect()}
+    assert [(r[0], got[r[0]]) for r in rows[:1500] if not got[r[0]][0]] == []
+    assert "symbol_rate" in got[5000][1] and got[5001][1] == ["word_length"] and "word_length" in got[5002][1]
+    assert got == {r["doc_id"]: (r["kept"], r["failed"]) for r in q.quality_rules(df.repartition(7)).collect()}
+
+
+def test_sketch_quantiles(spark):
+    m = q.measure(spark.read.parquet(f"{SF}/documents.parquet")).cache()
+    found = q.quantiles(q.sketches(m)).where("measure = 'word_length'").first()
+    exact = np.quantile([r["word_chars"] / r["n_words"] for r in m.where("n_words > 0").collect()], [0.25, 0.5, 0.75], method="inverted_cdf")
+    assert np.allclose([found["q1"], found["q2"], found["q3"]], exact, rtol=0.011)
 
 
 def test_labelled(spark):

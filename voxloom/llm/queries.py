@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import read_table, spread
-from . import embedding_dedup, minhash_forest, mixing, sentencepiece, substring_dedup, url_filter, warc
+from . import embedding_dedup, minhash_forest, mixing, quality_rules, sentencepiece, substring_dedup, url_filter, warc
 from .labelled import held_out
 from .quality_classifier import fit_quality, quality_score
-from .quality_rules import quality_rules
 from .toxicity import fit_toxicity, toxicity_score
 
 
@@ -24,7 +24,8 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    judged = quality_rules.quality_rules(_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    return judged.withColumn("failed", F.array_join("failed", ","))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: Where SQL can express the query; the others are tested against brute force, the library or held-out rows.
 ORACLES: dict[str, str] = {
     "op1_url_filters": url_filter.ORACLE,
+    "op2_quality_rules": quality_rules.ORACLE,
     "op3_mixing": mixing.ORACLE,
     "op4_substring_dedup": substring_dedup.ORACLE,
     "op5_embedding_dedup": embedding_dedup.ORACLE,
