@@ -152,6 +152,8 @@ class ConvTexts:
             net.fit(*data, **settings)
         return self
 
+    def logits(self, texts: pa.Array) -> np.ndarray:
+        return sum(net.logits(texts) for net in self.nets) / len(self.nets)
+
     def score(self, texts: pa.Array) -> np.ndarray:
-        mean = sum(net.logits(texts) for net in self.nets) / len(self.nets)
-        return 1 / (1 + np.exp(-np.clip(mean, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.logits(texts), -30, 30)))

@@ -19,16 +19,20 @@ class Sample:
 
     Up to ``per_class`` ids of each class are taken in the order of a hash, from labels that are not
     null and not held out. ``weights`` undo the different sampling rates, so that a model sees the
-    classes in their true proportion. A repeated id counts once, as 1 if any of its labels is 1.
+    classes in their true proportion. A repeated label counts once, as 1 if any is 1; of a repeated
+    document one text is taken, the one with the least hash. Texts of more than ``text_bytes`` bytes
+    are left out, so at most twice ``per_class`` times that many bytes come to the driver.
     """
 
-    def __init__(self, docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None):
-        known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y is not null")
+    def __init__(self, docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None, text_bytes: int = 1 << 16):
+        known = labels.select(labels[f"`{id_col}`"].alias("id"), labels[f"`{label}`"].cast("int").alias("y")).where("id is not null and y is not null")
         known = known.where(~held_out("id")).groupBy("id").agg(F.max("y").alias("y"))
         totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}  # one row a class
         taken = [known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(per_class) for y in (0, 1)]
-        lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
-        rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.alias("lang")).join(F.broadcast(taken[0].unionByName(taken[1])), "id").toArrow().sort_by([("id", "ascending")])
+        lang = docs[f"`{lang_col}`"] if lang_col else F.lit(None)
+        rows = docs.select(docs[f"`{id_col}`"].alias("id"), docs[f"`{text_col}`"].alias("text"), lang.cast("string").alias("lang"))
+        rows = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= text_bytes).join(F.broadcast(taken[0].unionByName(taken[1])), "id")
+        rows = rows.groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "lang")).alias("row")).select("id", "y", "row.text", "row.lang").toArrow().sort_by([("id", "ascending")])
         self.texts = rows.column("text").combine_chunks().cast(pa.large_string())
         self.langs = rows.column("lang").to_pylist()
         self.y = rows.column("y").to_numpy().astype(np.float64)

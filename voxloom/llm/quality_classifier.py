@@ -47,6 +47,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     has no label; repeated rows are scored one by one. Extra columns, whatever their names, stay in
     ``row``. An empty table gives an empty result.
     """
-    model = fit_quality(docs.select(id_col, text_col), labels, id_col=id_col, text_col=text_col, **fit)
+    model = fit_quality(docs, labels, id_col=id_col, text_col=text_col, **fit)
     out = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     return out.withColumn("score", quality_score(model, F.col("row").getField(text_col)))

@@ -45,8 +45,8 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
-    scored = docs.select("doc_id", held_out("doc_id").alias("held_out"), toxicity_score(model, docs["text"]).alias("score"))
-    return scored.withColumn("predicted", (scored["score"] >= 0.7).cast("int"))
+    scored = docs.select("doc_id", held_out("doc_id").alias("held_out"), toxicity_score(model, docs["text"]).alias("score"), model.threshold(docs["lang"]).alias("threshold"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int")).withColumn("rejected", F.col("score") >= F.col("threshold"))
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
