@@ -133,7 +133,13 @@ def test_order_limits_shards_splits(spark):
     indexed = partitioning.with_row_index(df, "i")
     assert [r["i"] for r in audit.page(indexed, 40).collect()] == list(range(40, 60)) and audit.row_at(indexed, 7).first()["i"] == 7
     assert audit.neighbour(0, -1, 300) == 0 and audit.neighbour(299, 1, 300) == 299 and audit.random_row(indexed, 300, 5).count() == 1
+    sums = {r["i"]: (r["a"], r["b"]) for r in partitioning.running_sums(df.withColumn("one", F.lit(1)), [-F.col("d"), F.col("i")], a="i", b="one").collect()}
+    before = [0, 0]
+    for i, _, _ in sorted(rows, key=lambda r: (r[1] is not None, -(r[1] or 0), r[0])):
+        assert sums[i] == tuple(before)
+        before = [before[0] + i, before[1] + 1]
     none = df.where("false")
+    assert partitioning.running_sums(none, [F.col("i")], a="i").count() == 0
     assert partitioning.assign_shards(none, "d", "path", 30).count() == 0 and partitioning.exact_split(none, "i", 0.5).count() == 0
 
 

@@ -25,23 +25,40 @@ def shortest(df: DataFrame, duration: str, path: str, k: int | None) -> DataFram
     return ordered.limit(k) if k else ordered
 
 
-def _ranks(df: DataFrame, order: list[Column]) -> DataFrame:
-    """``_rank`` from 1 over the whole table without one task that sees all rows.
+def _dealt(df: DataFrame, order: list[Column]) -> DataFrame:
+    """``df`` as a table in the shared folder, with ``_part``, the row's range of the whole sort key, and ``_place``, which sorts it.
 
-    Rows are dealt to ranges of the whole sort key, as many as there are shuffle partitions, and sorted
-    and numbered within them, as a table in the shared folder; each range then gets the number of rows
-    before it. The ranges come from a sample, but a rank depends on the order alone.
+    There are as many ranges as shuffle partitions. They come from a sample, but the order does not.
     """
     keys = [f"_k{i}" for i in range(len(order))]
     dealt = df.select("*", *[o.alias(k) for o, k in zip(order, keys, strict=True)]).repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*keys)
-    dealt = stage(dealt.withColumn("_place", F.monotonically_increasing_id()), "ranked")  # the range's number and 33 bits of the row's
-    dealt = dealt.withColumn("_part", F.shiftright("_place", 33))
+    dealt = stage(dealt.withColumn("_place", F.monotonically_increasing_id()), "dealt")  # the range's number and 33 bits of the row's
+    return dealt.withColumn("_part", F.shiftright("_place", 33))
+
+
+def _ranks(df: DataFrame, order: list[Column]) -> DataFrame:
+    """``_rank`` from 1 over the whole table without one task that sees all rows: each range gets the number of rows before it."""
+    dealt = _dealt(df, order)
     sizes = dealt.groupBy("_part").agg(F.count("*").alias("n"), F.min("_place").alias("_first"))
     before = sizes.select("_part", "_first", F.coalesce(F.sum("n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     placed = dealt.join(F.broadcast(before), "_part")  # a row a range
     return placed.withColumn("_rank", F.col("_place") - F.col("_first") + F.col("_before") + 1).drop("_part", "_place", "_first", "_before")
 
 
+def running_sums(df: DataFrame, order: list[Column], **sums: str) -> DataFrame:
+    """For each ``name=column`` the sum of the column over all rows before this one, 0 for the first, as ``name``.
+
+    The order is ascending, nulls first.
+    """
+    dealt = _dealt(df, order)
+    parts = dealt.groupBy("_part").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    parts = parts.select("_part", *[F.coalesce(F.sum(n).over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias(f"_before_{n}") for n in sums])
+    own = W.partitionBy("_part").orderBy("_place").rowsBetween(W.unboundedPreceding, -1)
+    within = dealt.select("*", *[F.coalesce(F.sum(c).over(own), F.lit(0)).alias(n) for n, c in sums.items()])
+    out = within.join(F.broadcast(parts), "_part")  # a row a range
+    return out.select(*df.columns, *[(F.col(n) + F.col(f"_before_{n}")).alias(n) for n in sums])
+
+
 def assign_shards(df: DataFrame, duration: str, path: str, size: int) -> DataFrame:
     """``rank`` by duration and path, and ``shard_id`` of ``size`` consecutive entries each."""
     ranked = _ranks(df, [F.coalesce(F.col(duration), F.lit(0.0)), F.col(path)])
