@@ -23,7 +23,8 @@ def brute(rows):
         capped |= over
     out = []
     for s in order:
-        own = sorted((hashlib.md5(f"17:{'null' if i is None else i}".encode()).hexdigest(), i is None, i or 0, n) for (i, _, x), n in zip(rows, sizes) if x == s)
+        md5 = lambda t: "null" if t is None else hashlib.md5(str(t).encode()).hexdigest()
+        own = sorted((md5(f"17:{'null' if i is None else i}:{md5(t)}"), i is None, i or 0, n) for (i, t, x), n in zip(rows, sizes) if x == s)
         rounds, rest = divmod(math.floor(target[s]), per[s]) if per[s] else (0, 0)
         for _, none, i, n in own:
             part = min(n, rest)
@@ -44,9 +45,20 @@ def check(df, rows):
 
 
 def test_edge_rows(docs, rows):
-    once = list({(r[0], r[1], r[3]): r for r in rows}.values())
-    df = docs.dropDuplicates(["doc_id", "text", "source"])
-    assert check(df, [(r[0], r[1], r[3]) for r in once]) == check(df.repartition(7), [(r[0], r[1], r[3]) for r in once])
+    plain = [(r[0], r[1], r[3]) for r in rows]
+    assert check(docs, plain) == check(docs.repartition(7), plain)
+
+
+def test_repeated_rows(spark):
+    """Many equal rows, null ids and one id for many texts: each has a share, and budgets are met to the word."""
+    rows = [(None, "a b c", "s")] * 2500 + [(None, f"n{i} x", "s") for i in range(50)] + [(7, f"t{i} y z", "t") for i in range(300)] + [(8, "one two", "t")] * 30
+    got = check(spark.createDataFrame(rows, "doc_id long, text string, source string"), rows)
+    assert len({g[5] for g in got if g[0] is None and g[1] == 3}) <= 3
+
+
+def test_many_sources(spark):
+    rows = [(i, "w " * (i % 17), f"host{i % 211}") for i in range(900)]
+    check(spark.createDataFrame(rows, "doc_id long, text string, source string"), rows)
 
 
 def test_table(spark):
