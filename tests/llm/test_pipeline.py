@@ -1,13 +1,15 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from tests.llm.conftest import SF, components
+from tests.llm.conftest import SF
 from tests.llm.test_op3_mixing import brute as brute_mix
 from tests.llm.test_op4_substring_dedup import brute as brute_cut
+from tests.llm.test_op7_sentencepiece import LIBRARY
 from tests.llm.test_op8_minhash import brute as brute_near
-from voxloom.llm import sentencepiece, toxicity
+from voxloom.llm import toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -83,11 +85,18 @@ def test_mixing_repeated_rows(spark):
     assert Counter((r["doc_id"], len(r["text"].split())) for r in cp.mix(spark, df, SF).collect()) == expected
 
 
+def test_first_words(spark):
+    """The cut text keeps its blanks and line breaks."""
+    texts = ["a b c", "  a\n\nb\t c d ", "\x0ba \x0c b\rc", "é  漢\n字 x\u00a0y z"]
+    df = spark.createDataFrame([(t, n) for t in texts for n in (1, 2)], "t string, n int")
+    for r in df.withColumn("cut", cp._first_words(F.col("t"), F.col("n"))).collect():
+        assert r["t"].startswith(r["cut"]) and r["cut"].encode().split() == r["t"].encode().split()[: r["n"]] and r["cut"].encode()[-1:].strip()
+
+
 def test_encoding(spark, table):
-    e = sentencepiece.Encoder(sentencepiece.load_model())
     texts = {r[0]: r[1] for r in plain(table)}
     for r in cp.encode(spark, table, SF).collect():
-        assert e.decode(r["ids"]) == texts[r["doc_id"]] and r["n_tokens"] == len(r["ids"])
+        assert r["ids"] == LIBRARY.encode(texts[r["doc_id"]]) and r["n_tokens"] == len(r["ids"])
 
 
 def test_edge_rows(spark, docs, empty):
@@ -99,5 +108,37 @@ def test_edge_rows(spark, docs, empty):
         assert stage(spark, empty, SF).count() == 0
 
 
-def test_run(spark):
-    assert cp.run(spark, SF).count() > 100 and components({1}, []) == {1: 1}
+def test_ids_of_other_types(spark, table):
+    named = table.withColumn("doc_id", F.format_string("d%06d", "doc_id"))
+    for name, stage in cp.STAGES[1:]:
+        own, other = stage(spark, table, SF), stage(spark, named, SF)
+        kinds = [c for c in own.columns if c != "doc_id"]
+        if name != "mixing":  # whose order is that of a hash of the ids
+            assert Counter((f"d{r['doc_id']:06d}", *(str(r[c]) for c in kinds)) for r in own.collect()) == Counter((r["doc_id"], *(str(r[c]) for c in kinds)) for r in other.collect())
+        else:
+            assert other.count() > 0
+
+
+def test_run(spark, table):
+    """All stages against brute force, each on what the ones before it have left, and the library's own ids at the end."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rejected = {r["doc_id"] for r in toxicity.score_toxicity(table, labels).where("rejected").select("row.doc_id").collect()}
+    rows = [r for r in plain(table) if r[0] not in rejected]
+    kept = {k[0] for k in brute_near([(r[0], r[1]) for r in rows], 5) if k[3]}
+    rows = [r for r in rows if r[0] in kept]
+    docs = table.where(~F.col("doc_id").isin(list(rejected)) & F.col("doc_id").isin(list(kept)))
+    cut = {r["doc_id"]: r["text"] for r in cp.cut_repeated_passages(spark, docs, SF).collect()}
+    for e in brute_cut([(r[0], r[1]) for r in rows], 13):
+        assert (cut[e[0]] or "").encode().split() == e[4]
+    expected, pieces = Counter(), {r[0]: r for r in rows}
+    for e in brute_mix([(r[0], cut[r[0]], r[3]) for r in rows]):
+        text, words = cut[e[0]], (cut[e[0]] or "").encode().split()
+        if e[5]:
+            rounds, rest = divmod(e[5], len(words))
+            expected[(e[0], pieces[e[0]][3], tuple(LIBRARY.encode(text)))] += rounds
+            if rest:
+                at = 0
+                for w in words[:rest]:
+                    at = text.encode().index(w, at) + len(w)
+                expected[(e[0], pieces[e[0]][3], tuple(LIBRARY.encode(text.encode()[:at].decode())))] += 1
+    assert Counter((r["doc_id"], r["source"], tuple(r["ids"])) for r in cp.run(spark, SF).collect()) == +expected
