@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from voxloom.llm import url_filter as u
 
 URLS = {
@@ -57,3 +59,20 @@ def test_index_loses_nothing():
 def test_rarest_token():
     index = u.RuleIndex([u.SiteRule("block", "rare.common/path/")], [], {"common": 9, "path": 8, "rare": 1})
     assert list(index.by_token) == ["rare"]
+
+
+def test_many_rules_from_a_file(spark, tmp_path):
+    """A long list is read, indexed and applied; only the rules that a URL's tokens fetch are compiled."""
+    rules = ["# a list", ""] + [f"block ||bad{i}.example^" for i in range(20_000)] + ["allow ||bad7.example^good/", "block site:shop.example/sale/", "allow site:shop.example/sale/ok/"]
+    (tmp_path / "rules.txt").write_text("\r\n".join(rules))
+    sites, patterns = u.load_rules(spark, str(tmp_path / "rules.txt"))
+    assert len(sites) == 2 and len(patterns) == 20_001 and patterns[0] == u.PatternRule("block", "||bad0.example^")
+    urls = ["http://bad19999.example/x", "http://bad7.example/good/1", "http://bad7.example/", "http://fine.example/", "http://shop.example/sale/1", "http://a.shop.example/sale/ok/"]
+    out = u.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), sites=sites, patterns=patterns).orderBy("page_id").collect()
+    assert [r["verdict"] for r in out] == ["block", "allow", "block", "allow", "block", "allow"] and max(r["n_tried"] for r in out) <= 4
+    index = u.RuleIndex(sites, patterns, {"example": 9})
+    index.judge(urls[0])
+    assert sum("regex" in e.__dict__ for rules in index.by_token.values() for e in rules) <= 2
+    (tmp_path / "bad.txt").write_text("block x\ndeny y\n")
+    with pytest.raises(ValueError, match="line 2"):
+        u.load_rules(spark, str(tmp_path / "bad.txt"))

@@ -13,9 +13,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _TOKEN = re.compile("[a-z0-9]+")
@@ -89,6 +90,17 @@ def split_url(url: str | None) -> tuple[str, str, str]:
     return host, path, mark + query
 
 
+class Entry:
+    """A rule in the index; its regular expression is compiled when it first runs."""
+
+    def __init__(self, site: bool, n: int, rule: SiteRule | PatternRule):
+        self.site, self.n, self.verdict, self.text, self._rule = site, n, rule.verdict, rule.rule if site else rule.pattern, rule
+
+    @cached_property
+    def regex(self) -> re.Pattern:
+        return re.compile(self._rule.regex())
+
+
 class RuleIndex:
     """Rules under their rarest token. ``rarity`` counts the URLs with a token; ties go to the first by code point."""
 
@@ -98,7 +110,7 @@ class RuleIndex:
         for site, rules in ((True, sites), (False, patterns)):
             for n, rule in enumerate(rules):
                 tokens = rule.tokens()
-                entry = (site, n, rule.verdict, rule.rule if site else rule.pattern, re.compile(rule.regex()))
+                entry = Entry(site, n, rule)
                 if tokens:
                     self.by_token.setdefault(min(tokens, key=lambda t: (rarity.get(t, 0), t)), []).append(entry)
                 else:
@@ -117,11 +129,34 @@ class RuleIndex:
         whole = (site + query).lower()
         candidates = {id(e): e for t in dict.fromkeys(_TOKEN.findall(whole)) for e in self.by_token.get(t, ())}
         tried = [*candidates.values(), *self.always]
-        best = min((e for e in tried if e[0] and e[4].match(site)), key=lambda e: (-len(e[3]), e[1]), default=None)
+        best = min((e for e in tried if e.site and e.regex.match(site)), key=lambda e: (-len(e.text), e.n), default=None)
         if best:
-            return host, path, best[3], best[2], None, len(tried)
-        hit = min((e for e in tried if not e[0] and e[4].search(whole)), key=lambda e: (e[2] != "allow", e[1]), default=None)
-        return host, path, None, hit[2] if hit else "allow", hit[3] if hit else None, len(tried)
+            return host, path, best.text, best.verdict, None, len(tried)
+        hit = min((e for e in tried if not e.site and e.regex.search(whole)), key=lambda e: (e.verdict != "allow", e.n), default=None)
+        return host, path, None, hit.verdict if hit else "allow", hit.text if hit else None, len(tried)
+
+
+def load_rules(spark: SparkSession, path: str) -> tuple[tuple[SiteRule, ...], tuple[PatternRule, ...]]:
+    """Site and pattern rules of a text file, in its order: ``block`` or ``allow``, a blank and the rule on each line.
+
+    A rule that begins with ``site:`` is a site rule (``host/path``), any other a pattern. Empty lines
+    and those that begin with ``#`` are skipped; any other line is an error. The list comes to the
+    driver, as rules are arguments of the filter.
+    """
+    sites, patterns = [], []
+    for i, row in enumerate(spark.read.text(path, wholetext=True).collect()[0]["value"].split("\n"), 1):
+        line = row.strip()
+        verdict, _, rule = line.partition(" ")
+        rule = rule.strip()
+        if not line or line.startswith("#"):
+            continue
+        if verdict not in ("block", "allow") or not rule.removeprefix("site:"):
+            raise ValueError(f"line {i} is no rule: {line[:80]!r}")
+        if rule.startswith("site:"):
+            sites.append(SiteRule(verdict, rule.removeprefix("site:")))
+        else:
+            patterns.append(PatternRule(verdict, rule))
+    return tuple(sites), tuple(patterns)
 
 
 def token_counts(urls: DataFrame, url_col: str, tokens: list[str]) -> dict[str, int]:
@@ -129,7 +164,8 @@ def token_counts(urls: DataFrame, url_col: str, tokens: list[str]) -> dict[str,
     if not tokens:
         return {}
     own = F.array_distinct(F.regexp_extract_all(F.lower(F.col(url_col)), F.lit("[a-z0-9]+"), F.lit(0)))
-    hits = urls.select(F.explode(F.array_intersect(own, F.array(*map(F.lit, tokens)))).alias("token"))
+    known = urls.sparkSession.createDataFrame([(t,) for t in tokens], "token string")
+    hits = urls.select(F.explode(own).alias("token")).join(F.broadcast(known), "token", "left_semi")  # as many as the rules have
     return {r["token"]: r["n"] for r in hits.groupBy("token").agg(F.count("*").alias("n")).collect()}
 
 
