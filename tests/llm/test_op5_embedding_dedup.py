@@ -56,11 +56,39 @@ def test_no_link_is_lost_between_cells():
     y = e._unit(x + rng.normal(size=x.shape) * 0.05)
     for k in (4, 16, 64):
         cells = e.Cells(e._spherical_kmeans(x, k), float(np.sqrt(2 - 2 * 0.98)))
-        home, _ = cells.assign(x)
-        _, member = cells.assign(y)
+        home, _, _ = cells.assign(x)
+        _, row, cell = cells.assign(y)
+        member = np.zeros((len(y), len(cells.centres)), bool)
+        member[row, cell] = True
         linked = (x * y).sum(1) >= 0.98
         assert linked.sum() > 100 and member[np.arange(len(x))[linked], home[linked]].all()
 
 
+def test_many_lengths(spark, monkeypatch):
+    """Lengths beyond the most frequent ones are compared too, each among themselves."""
+    monkeypatch.setattr(e, "LENGTHS", 2)
+    rng = np.random.default_rng(6)
+    rows = []
+    for dim in range(2, 9):
+        base = rng.normal(size=dim)
+        rows += [(100 * dim + i, np.array(base + rng.normal(size=dim) * 0.05, np.float32).tolist(), int(i % 2)) for i in range(12 - dim)]
+    check(spark, rows)
+
+
+def test_spanning():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        left, right = rng.choice(60, 12, replace=False), rng.choice(60, 15, replace=False)
+        linked = rng.random((12, 15)) < 0.12
+        edges = list(zip(*(x.tolist() for x in e._spanning(linked, left, right))))
+        nodes = {*left.tolist(), *right.tolist()}
+        assert components(nodes, edges) == components(nodes, [(int(left[i]), int(right[j])) for i, j in zip(*np.nonzero(linked))]) and len(edges) < len(nodes)
+
+
+def test_ids_of_other_types(spark):
+    df = spark.createDataFrame([("b", [1.0, 0.0], 1), ("a", [1.0, 0.01], 1), ("c", [0.0, 1.0], 1), (None, [1.0, 0.0], 1)], "vec_id string, embedding array<float>, label int")
+    assert {tuple(r) for r in e.embedding_dedup(df).collect()} == {("b", 1, "a", False), ("a", 1, "a", True), ("c", 0, "c", True), (None, 0, None, True)}
+
+
 def test_empty(spark):
     assert e.embedding_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0

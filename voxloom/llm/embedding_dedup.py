@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
+from .ids import Ids
 from .shared import stage
 
 #: Vectors of a block at most, about.
@@ -31,8 +32,11 @@ BLOCK = 2048
 SAMPLE = 20_000
 #: Products that cost about as much as moving a vector to one more cell.
 MOVE = 500
-#: Numbers of cells to choose from.
-CELLS = (4, 16, 64, 256)
+#: Numbers of cells to choose from; the sample supports no more.
+CELLS = (4, 16, 64, 256, 1024, 4096)
+#: Lengths of vectors that have cells of their own, the most frequent ones; the rest is compared by label and length alone.
+LENGTHS = 8
+_ROWS = 1024
 #: Slack of the products in float64, within which the cosine is recomputed as defined.
 _NEAR = 1e-9
 
@@ -44,15 +48,22 @@ class Cells:
     centres: np.ndarray
     radius: float
 
-    def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Home cell of each unit vector, and a matrix of the cells where it is a member."""
-        s = x @ self.centres.T
-        home = s.argmax(1)
-        gap = np.linalg.norm(self.centres[:, None] - self.centres[None], axis=2)[home]
-        lead = s[np.arange(len(x)), home][:, None] - s
-        member = lead <= self.radius * gap + _NEAR
-        member[np.arange(len(x)), home] = True
-        return home, member
+    def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Home cell of each unit vector, and rows and cells of all memberships."""
+        gaps = np.sqrt(np.maximum(0, 2 - 2 * self.centres @ self.centres.T))
+        homes, rows, cells = [], [], []
+        for at in range(0, len(x), _ROWS):
+            s = x[at : at + _ROWS] @ self.centres.T
+            home = s.argmax(1)
+            own = np.arange(len(home))
+            member = s[own, home][:, None] - s <= self.radius * gaps[home] + _NEAR
+            member[own, home] = True
+            row, cell = np.nonzero(member)
+            homes.append(home)
+            rows.append(row + at)
+            cells.append(cell)
+        none = np.zeros(0, np.int64)
+        return tuple(np.concatenate([none, *parts]) for parts in (homes, rows, cells))
 
 
 def _spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 23) -> np.ndarray:
@@ -80,11 +91,13 @@ def fit_cells(x: np.ndarray, labels: np.ndarray, rows: int, threshold: float) ->
         if best is not None and k * 4 > len(x):
             break
         cells = Cells(_spherical_kmeans(x, k), radius)
-        home, member = cells.assign(x)
-        homes, members = np.zeros((codes.max(initial=0) + 1, len(cells.centres))), np.zeros((codes.max(initial=0) + 1, len(cells.centres)))
+        home, row, cell = cells.assign(x)
+        homes, members = (np.zeros((codes.max(initial=0) + 1, len(cells.centres))) for _ in range(2))
         np.add.at(homes, (codes, home), 1)
-        np.add.at(members, codes, member)
-        work = scale**2 * float((homes * members).sum()) + scale * MOVE * float(member.sum())
+        np.add.at(members, (codes[row], cell), 1)
+        work = scale**2 * float((homes * members).sum()) + scale * MOVE * len(row)
+        if best is not None and work > 2 * best[0]:
+            break  # finer cells have only more guests
         if best is None or work < best[0]:
             best = (work, cells)
     return best[1]
@@ -108,25 +121,19 @@ def _links(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, t
     return linked
 
 
-def _spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that connect what the linked pairs connect, at most one less than the ids involved."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for i in np.flatnonzero(linked.any(1)):
-        a = int(left[i])
-        for v in np.unique(right[linked[i]]).tolist():
-            p, q = root(a), root(v)
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-                out.append((a, v))
-    return out
+def _spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each id to the least that the linked pairs connect it with, at most one an id."""
+    i, j = np.nonzero(linked)
+    ids, place = np.unique(np.concatenate([left, right]), return_inverse=True)  # ascending: the least place is the least id
+    a, b = place[i], place[len(left) + j]
+    least, old = np.arange(len(ids)), None
+    while old is None or (least != old).any():
+        old = least.copy()
+        np.minimum.at(least, a, least[b])
+        np.minimum.at(least, b, least[a])
+        least = least[least]
+    some = np.flatnonzero(least != np.arange(len(ids)))
+    return ids[some], ids[least[some]]
 
 
 def _valid(vector: Column) -> Column:
@@ -137,24 +144,31 @@ def _valid(vector: Column) -> Column:
 _FOUND = "node long, key long, links long, other long"
 
 
-def _found(*columns: list) -> pa.Table:
+def _found(*columns) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in columns], names=["node", "key", "links", "other"])
 
 
-def _compare(nodes: DataFrame, dim: int, threshold: float) -> DataFrame:
-    """Rows ``(node, key, links, null)``, summands of a node's links, and ``(node, key, 0, other)``, edges."""
+def _cells(nodes: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """The nodes of one length in each cell where they are members."""
     sample = nodes.orderBy(F.xxhash64("key", "node"), "node").limit(SAMPLE).select("x", "label").toArrow()
     cells = fit_cells(_unit(_matrix(sample.column("x").combine_chunks(), dim)), np.array(sample.column("label").to_pylist()), nodes.count(), threshold)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            home, member = cells.assign(_unit(_matrix(batch.column("x"), dim)))
-            row, cell = np.nonzero(member)
+            home, row, cell = cells.assign(_unit(_matrix(batch.column("x"), dim)))
             out = batch.select(["label", "node", "key", "copies", "x"]).take(pa.array(row))
             yield pa.RecordBatch.from_arrays([*out.columns, pa.array(cell.astype(np.int32)), pa.array(home[row] == cell)], names=[*out.schema.names, "cell", "home"])
 
     kind = nodes.schema["x"].dataType.simpleString()
-    placed = stage(nodes.mapInArrow(place, f"label string, node long, key long, copies long, x {kind}, cell int, home boolean"), "cells")
+    return nodes.select("label", "node", "key", "copies", "x").mapInArrow(place, f"label string, node long, key long, copies long, x {kind}, cell int, home boolean")
+
+
+def _compare(placed: DataFrame, threshold: float) -> DataFrame:
+    """Rows ``(node, key, links, null)``, summands of a node's links, and ``(node, key, 0, other)``, edges.
+
+    ``placed`` has vectors of one length in each label and cell.
+    """
+    placed = stage(placed, "cells")
     sizes = placed.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("m_blocks"), F.ceil(F.sum(F.col("home").cast("int")) / BLOCK).cast("int").alias("h_blocks")).where("h_blocks > 0")
     placed = placed.join(sizes, ["label", "cell"])
     slot = F.xxhash64(F.lit("block"), "key", "node")
@@ -166,14 +180,15 @@ def _compare(nodes: DataFrame, dim: int, threshold: float) -> DataFrame:
     def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _found([], [], [], [])
+        dim = len(left.column("x")[0])
         raw_a, raw_b = _matrix(left.column("x").combine_chunks(), dim), _matrix(right.column("m_x").combine_chunks(), dim)
         linked = _links(_unit(raw_a), _unit(raw_b), raw_a, raw_b, threshold)
         a, b, copies = left.column("node").to_numpy(), right.column("m_node").to_numpy(), right.column("m_copies").to_numpy()
-        edges = _spanning(linked, a, b)
-        n, sums = len(edges), linked.astype(np.float64) @ copies.astype(np.float64)
-        some = np.flatnonzero(sums > 0)
-        keys = left.column("key").to_numpy()
-        return _found([*a[some].tolist(), *(e[0] for e in edges)], [*keys[some].tolist(), *[0] * n], [*sums[some].astype(np.int64).tolist(), *[0] * n], [*[None] * len(some), *(e[1] for e in edges)])
+        one, other = _spanning(linked, a, b)
+        sums = linked.astype(np.float64) @ copies.astype(np.float64)
+        some, n = np.flatnonzero(sums > 0), len(one)
+        keys = left.column("key").to_numpy()[some]
+        return _found(np.concatenate([a[some], one]), np.concatenate([keys, np.zeros(n, np.int64)]), np.concatenate([sums[some].astype(np.int64), np.zeros(n, np.int64)]), [*[None] * len(some), *other.tolist()])
 
     group = ["label", "cell", "h", "m"]
     return homes.groupBy(*group).cogroup(members.groupBy(*[f"m_{c}" for c in group])).applyInArrow(multiply, _FOUND)
@@ -183,22 +198,27 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """Per row: id, n_links (other rows linked directly), component_id and kept.
 
     Rows link if their labels are equal and not null, their vectors have the same length and a cosine
-    of at least ``threshold`` in double precision. Null, empty and zero vectors and those with null or
+    of at least ``threshold`` in double precision. Ids may be of any type that has an order. Null, empty and zero vectors and those with null or
     non-finite components link with nothing, and neither do rows with a null id or label: they are
     their own component (null for a null id) and kept. Rows that share an id are one node of the
     components, but each has its own vector's links. Other columns are not read. An empty table gives
     an empty result.
     """
     vector = F.transform(vectors[f"`{vector_col}`"], lambda v: v + F.lit(0).cast("float"))  # -0.0 becomes 0.0
-    rows = vectors.select(vectors[f"`{id_col}`"].cast("long").alias("id"), vector.alias("x"), vectors[f"`{label_col}`"].cast("string").alias("label"))
+    ids = Ids(vectors, id_col)
+    rows = vectors.select(vectors[f"`{id_col}`"].alias("own"), vector.alias("x"), vectors[f"`{label_col}`"].cast("string").alias("label"))
+    rows = ids.number(rows, "own", "id").select("id", "x", "label")
     rows = rows.withColumn("fine", F.col("id").isNotNull() & F.col("label").isNotNull() & _valid(F.col("x")))
     keys = [F.xxhash64("label", "x").alias("key"), F.xxhash64("x", F.lit("b"), "label").alias("key2")]
     nodes = rows.where("fine").groupBy("label", "x").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
     nodes = stage(nodes.select("label", "x", "node", "copies", *keys, F.size("x").alias("dim")), "vectors")
-    dims = [r["dim"] for r in nodes.groupBy("dim").count().orderBy("dim").collect()]  # lengths of vectors: a few
+    dims = [r["dim"] for r in nodes.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(LENGTHS).collect()]
     found = vectors.sparkSession.createDataFrame([], _FOUND)
+    if len(dims) == LENGTHS:  # there may be others
+        rest = nodes.where(~F.col("dim").isin(dims))
+        found = _compare(rest.select(F.concat_ws(":", "dim", "label").alias("label"), "node", "key", "copies", "x", F.lit(-1).alias("cell"), F.lit(True).alias("home")), threshold)
     for d in dims:
-        found = found.unionByName(_compare(nodes.where(F.col("dim") == d), d, threshold))
+        found = found.unionByName(_compare(_cells(nodes.where(F.col("dim") == d), d, threshold), threshold))
     found = stage(found, "links")
     comps = components(found.where("other is not null"), "node", "other")
     links = found.where("other is null").groupBy("node", "key").agg((F.sum("links") - 1).alias("n_links"))
@@ -207,7 +227,8 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     keyed = rows.select("id", *[F.when(F.col("fine"), k).alias(n) for k, n in zip(keys, ("key", "key2"), strict=True)])
     out = keyed.join(own, ["key", "key2"], "left")
     component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    out = out.select("id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return ids.restore(out, "id", "component_id").select(F.col("id").alias(id_col), "n_links", "component_id", "kept")
 
 
 #: The same rows in DuckDB: all pairs of a label, then everything that links reach.
