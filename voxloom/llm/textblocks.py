@@ -7,6 +7,7 @@ return. A null text counts as an empty one, which has no words.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -83,14 +84,23 @@ def offsets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def release() -> None:
+    """Give freed memory back, so that idle Python workers hold none of a finished batch's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batch with whole texts of about ``limit`` bytes; a longer text has its own."""
+    """Slices of the batch with whole texts of about ``limit`` bytes; a longer text has its own. Memory is given back at the end."""
     _, at = offsets(batch.column(column))
     i, n = 0, batch.num_rows
     while i < n:
         j = max(i + 1, int(np.searchsorted(at, at[i] + limit, "right")) - 1)
         yield batch.slice(i, j - i)
         i = j
+    release()
 
 
 @dataclass
