@@ -47,8 +47,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         nodes = stage(partitioning.with_row_index(texts, "id", ties=("key",)).select(F.col("id").alias("n_id"), F.col("key").alias("n_key"), F.col("row_idx").cast("long").alias("node")), "nodes")
         own = keyed.join(nodes, (F.col("id") == F.col("n_id")) & (F.col("key") == F.col("n_key")), "left").select(F.col("node").alias("doc_id"), F.col("row.text").alias("text"))
         kept = minhash_dedup(own).where("kept").join(nodes, F.col("doc_id") == F.col("node"), "left").select(F.col("n_id").alias("k_id"), F.col("text_key").alias("k_key"))
-    first = keyed.groupBy("id", "key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
-    return first.join(kept.distinct(), F.col("id").eqNullSafe(F.col("k_id")) & (F.col("key") == F.col("k_key")), "left_semi").select("row.*")
+    kept = stage(kept.distinct(), "kept")
+    rows = keyed.join(kept, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("key") == F.col("k_key")), "left_semi")
+    if not rows.groupBy("id", "key").count().where("count > 1").isEmpty():
+        rows = rows.groupBy("id", "key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return rows.select("row.*")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
