@@ -31,7 +31,7 @@ from .ids import Ids, text_key
 from .shared import discard, stage
 
 #: Windows of a bucket, about, and bytes of whole texts that are combined before the shuffle.
-BUCKET, BLOCK_BYTES = 1_000_000, 4 << 20
+BUCKET, BLOCK_BYTES = 500_000, 2 << 20
 #: A word of running text has at least this many bytes, with its blank, on average: for the number of buckets only.
 _BYTES_A_WORD = 5
 #: In place of a null id: larger than any other.
@@ -148,6 +148,8 @@ def _repeated(buckets: int, unique: bool):
             ord_ = ord_[order]
             gone = ord_ > _least(_runs(w, v), ord_)
             rows = list(_by_document(w[gone], who[order[gone]], buckets))
+            del w, v, ord_, who, order, gone
+            tb.release()
         return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "w", "who"])
 
     return run
@@ -211,17 +213,25 @@ def cut(text: str | None, gone: np.ndarray | None, window: int) -> tuple[int, in
     return n, int(out.sum()), hashlib.sha256(b" ".join(kept)).hexdigest(), b"".join([*parts, raw[at:]]).decode()
 
 
+_CUT = ["n_words", "n_removed", "kept_sha256", "clean_text"]
+#: Rows whose texts are Python objects at a time.
+_ROWS = 500
+
+
 def _cut_udf(window: int, with_text: bool):
     @F.arrow_udf("struct<n_words:bigint,n_removed:bigint,kept_sha256:string,clean_text:string>")
     def run(text: pa.Array, gone: pa.Array) -> pa.Array:
-        out = []
-        for i in range(len(text)):
-            g = gone[i].values
-            n, removed, digest, clean = cut(text[i].as_py(), None if g is None else g.to_numpy().view(np.uint64), window)
-            out.append((n, removed, digest, clean if with_text else None))
-        columns = [list(c) for c in zip(*out, strict=True)] or [[]] * 4
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
-        return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["n_words", "n_removed", "kept_sha256", "clean_text"])
+        parts = [pa.StructArray.from_arrays([pa.array([], k) for k in kinds], _CUT)]
+        for at in range(0, len(text), _ROWS):
+            out = []
+            for t, g in zip(text.slice(at, _ROWS), gone.slice(at, _ROWS), strict=True):
+                hashes = None if g.values is None else g.values.to_numpy().view(np.uint64)
+                *found, clean = cut(t.as_py(), hashes, window)
+                out.append((*found, clean if with_text else None))
+            parts.append(pa.StructArray.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], _CUT))
+        tb.release()
+        return pa.concat_arrays(parts)
 
     return run
 
