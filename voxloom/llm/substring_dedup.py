@@ -32,6 +32,8 @@ from .shared import discard, stage
 
 #: Windows of a bucket, about, and bytes of whole texts that are combined before the shuffle.
 BUCKET, BLOCK_BYTES = 500_000, 2 << 20
+#: Partitions of the buckets, at most; each bucket is worked on by itself.
+MOST_PARTITIONS = 100_000
 #: A word of running text has at least this many bytes, with its blank, on average: for the number of buckets only.
 _BYTES_A_WORD = 5
 #: In place of a null id: larger than any other.
@@ -174,6 +176,7 @@ def repeated_windows(texts: DataFrame, window: int, n_bytes: int, unique: bool)
     """
     buckets = max(1, -(-n_bytes // (_BYTES_A_WORD * BUCKET)))
     found = texts.select("ord", "who", "text").mapInArrow(_hash_windows(window, buckets, unique), _PACKED)
+    found = found.repartition(min(MOST_PARTITIONS, -(-buckets // 4)), "bucket")  # as the table grows, not as the session is set
     found = found.groupBy("bucket").applyInArrow(_repeated(buckets, unique), "bucket long, w binary, who binary")
     return found.groupBy("bucket").applyInArrow(_gather, "who long, gone array<long>")
 
