@@ -1,5 +1,6 @@
 import math
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,11 +150,17 @@ def test_duration(spark):
     assert [r[0] for r in got] == [5.0, 6.5, 7.0, 0.0, 0.0, 0.0, 0.0]
 
 
-def test_statistics(spark, tmp_path):
+def test_statistics(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stats, "_SORTED", 50)
     df = spark.createDataFrame([(float(x),) for x in (0, 1, 2, 3, 4, 10, 20)], "v double")
     row = stats.duration_stats(df, "v").first()
     assert (row["n"], row["max"], row["min"], row["median"]) == (7, 20.0, 0.0, 3.0) and math.isclose(row["stdev"], 7.0879, abs_tol=1e-3)
     assert stats.duration_stats(df.limit(1), "v").first()["stdev"] == 0.0
+    rng = random.Random(3)
+    for values in ([rng.random() ** 9 * 1e9 for _ in range(3001)], [7.0] * 500 + [1e-300, 1e300], [float(rng.randrange(3)) for _ in range(400)], [-1.5, 2.5]):
+        many = spark.createDataFrame([(x,) for x in values] + [(None,)], "v double")
+        assert stats.duration_stats(many, "v").first()["median"] == statistics.median(values)
+    assert stats.duration_stats(df.where("false"), "v").first()["median"] is None
     bins = stats.histogram(df, "v").orderBy("bin").collect()
     assert len(bins) == 20 and [r["n"] for r in bins][:5] == [1, 1, 1, 1, 1] and bins[10]["n"] == 1 and bins[19]["n"] == 1 and sum(r["n"] for r in bins) == 7
     same = stats.histogram(spark.createDataFrame([(3.0,), (3.0,), (None,)], "v double"), "v").collect()

@@ -58,10 +58,26 @@ def test_examples(spark, folder):
 def test_steered_and_limited(spark, folder):
     a, b = (prepare(spark, settings(folder, target_duration=6.0, max_source_entries=3, seed=2)).examples.drop("audio").orderBy("metadata.entry_id", "metadata.seek").collect() for _ in range(2))
     assert a == b
-    found = manifest(spark, settings(folder, per_proc_per_chunk_size=2)).orderBy("rank").collect()
+    found = manifest(spark, settings(folder, per_proc_per_chunk_size=2))[0].orderBy("rank").collect()
     assert [r["shard_id"] for r in found] == [i // 2 for i in range(7)] and [r["md_duration"] for r in found] == [9.0] * 6 + [20.0]
 
 
+def test_folders_and_files_left_out(spark, folder, tmp_path):
+    """Without strict folders a broken one is reported; files of entries that are left out are not opened."""
+    import shutil
+
+    copy = str(tmp_path / "in")
+    shutil.copytree(folder, copy)
+    some = next(p.parent for p in sorted((tmp_path / "in").rglob("audio.*")) if p.parent.name not in ("noise", "strange", "missing"))
+    shutil.copy(next(some.glob("audio.*")), some / "audio.again.wav")
+    with pytest.raises(Exception, match="audio files: 2"):
+        prepare(spark, settings(copy))
+    out = prepare(spark, settings(copy, strict_folders=False))
+    assert {r["entry"].split("/")[-2]: r["error"] for r in out.quarantine.collect()}[some.name] == "audio files: 2"
+    whole = prepare(spark, settings(folder))
+    assert 0 < out.examples.count() <= whole.examples.count() and whole.keys.distinct().count() == whole.keyed.count() == whole.keyed.join(whole.keys, "_key").count()
+
+
 def test_co_location(spark, tmp_path):
     files = lambda rows: spark.createDataFrame(rows, "dir string, path string")
     transcripts = files([("a", "a/t1"), ("a", "a/t2"), ("b", "b/t"), ("c", "c/t")])

@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 import logging
 
+from pyspark.sql import functions as F
+
 from ..operators import filters, partitioning
 from ..sources import datasets, replacements
 from . import config
@@ -47,6 +49,7 @@ def build_parser() -> argparse.ArgumentParser:
     add("--log_level", default="INFO")
     add("--word_replacements", help="tab-separated table SOURCE, TARGET")
     add("--seed", type=int, default=0)
+    add("--quarantine_folders", action="store_true", help="leave out folders without exactly one audio and one metadata file instead of stopping")
     add("--hub_root", help="folder that stands for the remote hub")
     return p
 
@@ -70,14 +73,13 @@ def run(spark, args: argparse.Namespace) -> dict[str, int] | None:
     c = PrepareConfig(
         args.input_folder, float(args.max_duration), float(args.min_duration), args.target_duration, args.max_source_entries, args.audio_filename_glob, args.segments_filename_glob, num_proc=args.num_proc,
         per_proc_per_chunk_size=args.per_proc_per_chunk_size, per_sample_quality_threshold=args.per_sample_quality_threshold, per_segment_quality_threshold=args.per_segment_quality_threshold,
-        copy_metadata_fields=tuple(args.copy_metadata_fields), exclude_filters=args.exclude_filters, seed=args.seed, replacements=replacements.load_replacements(spark, args.word_replacements),
+        copy_metadata_fields=tuple(args.copy_metadata_fields), exclude_filters=args.exclude_filters, seed=args.seed, strict_folders=not args.quarantine_folders, replacements=replacements.load_replacements(spark, args.word_replacements),
     )
     prepared = prepare(spark, c)
     examples = prepared.examples
     if args.validation_split_size:
-        key = "_key"
-        examples = examples.selectExpr("*", "concat(metadata.entry_id, ':', metadata.seek) as _key")
-        examples = partitioning.exact_split(examples, key, args.validation_split_size, args.seed).drop(key)
+        split = partitioning.exact_split(prepared.keys, "_key", args.validation_split_size, args.seed)
+        examples = prepared.keyed.join(F.broadcast(split) if split.count() < 100_000 else split, "_key").drop("_key")
     counts = datasets.write_dataset(
         examples, args.output_dataset_name, args.dataset_name, args.dataset_version, args.dataset_license_file, language=args.dataset_card_language, license=args.dataset_card_license,
         language_creators=args.dataset_card_language_creators, task_categories=args.dataset_card_task_categories, pretty_name=args.dataset_card_pretty_name,

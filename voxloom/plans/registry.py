@@ -168,39 +168,70 @@ def _sql_integer(source: str, gender: str, out: str = "spoken") -> str:
     return f"SELECT n, {whole} AS {out} FROM (SELECT n, n // 1000 AS th, n % 1000 // 100 AS h, n % 100 AS r FROM ({source}))"
 
 
-_KEYS = "SELECT DISTINCT l_orderkey * 7 % 1000000 AS n FROM lineitem"
+def _sql_whole(source: str, gender: str, levels: int = 1) -> str:
+    """SELECT n and its words FROM ``source``, which has a BIGINT n from 0 up: millions, billions and the rest by the SQL above."""
+    low, millions = _sql_integer(f"SELECT DISTINCT n % 1000000 AS n FROM ({source})", gender), _sql_integer(f"SELECT DISTINCT n // 1000000 % 1000 AS n FROM ({source})", "m")
+    count = f"SELECT DISTINCT n // 1000000000 AS n FROM ({source})"
+    billions = _sql_whole(count, "m", levels - 1) if levels else _sql_integer(count, "m")
+    part = lambda t, unit: f"CASE {t}.n WHEN 0 THEN '' WHEN 1 THEN {_q(unit)} ELSE {t}.spoken || {_q(' ' + unit)} END"
+    joined = "k.n >= 1000000 AND l.n < 100 AND (l.n < 20 OR l.n % 10 = 0)"
+    last = f"CASE WHEN l.n = 0 AND k.n > 0 THEN '' WHEN {joined} THEN {_q(lx.AND)} || l.spoken ELSE l.spoken END"
+    whole = f"array_to_string(list_filter([{part('b', lx.BILLION)}, {part('m', lx.MILLION)}, {last}], lambda x: x <> ''), ' ')"
+    two = {"mn": lx.TWO_OF_M, "fn": lx.TWO_OF_F}.get(gender)
+    if two:
+        whole = f"CASE WHEN k.n % 100 = 2 THEN {_q(two)} ELSE {whole} END"
+    return f"SELECT k.n, {whole} AS spoken FROM ({source}) k JOIN ({billions}) b ON b.n = k.n // 1000000000 JOIN ({millions}) m ON m.n = k.n // 1000000 % 1000 JOIN ({low}) l ON l.n = k.n % 1000000"
+
+
+_KEYS = "SELECT DISTINCT l_orderkey * 7 AS n FROM lineitem"
 
 
 def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 7 % 1_000_000).alias("n")).distinct()
+    return _t(spark, sf_dir, "lineitem").select((F.col("l_orderkey").cast("long") * 7).alias("n")).distinct()
 
 
 def _spoken_query(gender: str) -> None:
-    _query(f"spoken_int_{gender}", _sql_integer(_KEYS, gender))(lambda spark, sf_dir: _keys(spark, sf_dir).select("n", columns.spoken_integer("n", gender).alias("spoken")))
+    _query(f"spoken_int_{gender}", _sql_whole(_KEYS, gender))(lambda spark, sf_dir: _keys(spark, sf_dir).select("n", columns.spoken_whole("n", gender).alias("spoken")))
 
 
 for _gender in ("f", "m", "mn", "fn", "f0", "m0"):
     _spoken_query(_gender)
 
 
-@_query("spoken_form_token", _sql_integer(_KEYS, "f"))
+@_query("spoken_form_token", _sql_whole(_KEYS, "f"))
 def spoken_form_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keys(spark, sf_dir).select("n", columns.spoken_form(F.col("n").cast("string"), "f").alias("spoken"))
 
 
-def _sql_whole(source: str, gender: str, levels: int = 1) -> str:
-    """SELECT n and its words FROM ``source``, which has a BIGINT n from 0 up: millions, billions and the rest by the SQL above."""
-    low, millions = _sql_integer(f"SELECT DISTINCT n % 1000000 AS n FROM ({source})", gender), _sql_integer(f"SELECT DISTINCT n // 1000000 % 1000 AS n FROM ({source})", "m")
-    count = f"SELECT DISTINCT n // 1000000000 AS n FROM ({source})"
-    billions = _sql_whole(count, "m", levels - 1) if levels else _sql_integer(count, "m")
-    part = lambda t, unit: f"CASE {t}.n WHEN 0 THEN '' WHEN 1 THEN {_q(unit)} ELSE {t}.spoken || {_q(' ' + unit)} END"
-    joined = "k.n >= 1000000 AND l.n < 100 AND (l.n < 20 OR l.n % 10 = 0)"
-    last = f"CASE WHEN l.n = 0 AND k.n > 0 THEN '' WHEN {joined} THEN {_q(lx.AND)} || l.spoken ELSE l.spoken END"
-    whole = f"array_to_string(list_filter([{part('b', lx.BILLION)}, {part('m', lx.MILLION)}, {last}], lambda x: x <> ''), ' ')"
-    two = {"mn": lx.TWO_OF_M, "fn": lx.TWO_OF_F}.get(gender)
-    if two:
-        whole = f"CASE WHEN k.n % 100 = 2 THEN {_q(two)} ELSE {whole} END"
-    return f"SELECT k.n, {whole} AS spoken FROM ({source}) k JOIN ({billions}) b ON b.n = k.n // 1000000000 JOIN ({millions}) m ON m.n = k.n // 1000000 % 1000 JOIN ({low}) l ON l.n = k.n % 1000000"
+# decimals with a sign, halves after prepositions, and numbers with a symbol
+_CENTS = "SELECT DISTINCT CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, l_linenumber % 2 = 1 AS minus FROM lineitem"
+_HALVES = "SELECT DISTINCT CAST(l_quantity AS BIGINT) - 1 AS n, CAST(l_orderkey % {} AS INT) AS i FROM lineitem".format(len(lx.PREPOSITIONS))
+_AMOUNTS = "SELECT DISTINCT CAST(floor(l_extendedprice) AS BIGINT) AS n, CAST(l_linenumber % {} AS INT) AS i FROM lineitem".format(len(lx.SYMBOL_UNITS))
+_FRACTION = f"CASE WHEN cents % 100 < 10 THEN {_q(lx.UNITS_F[0] + ' ')} || {_sql_list(lx.UNITS_F)}[cents % 10 + 1] ELSE {_sql_small('(cents % 100)', 'f')} END"
+_SYMBOLS_SQL = " UNION ALL ".join(
+    f"SELECT n || {_q(symbol)} AS token, spoken || {_q(' ' + word)} AS spoken FROM (SELECT DISTINCT n FROM ({_AMOUNTS}) WHERE i = {i}) JOIN ({_sql_whole(f'SELECT DISTINCT n FROM ({_AMOUNTS})', gender)}) USING (n)"
+    for i, (symbol, (word, gender)) in enumerate(lx.SYMBOL_UNITS.items())
+)
+
+
+@_query(
+    "spoken_numerals",
+    f"""SELECT CASE WHEN minus THEN '-' ELSE '' END || n || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS token, CASE WHEN minus AND n > 0 THEN {_q(lx.MINUS + ' ')} ELSE '' END || spoken || {_q(f' {lx.POINT} ')} || ({_FRACTION}) AS spoken
+  FROM (SELECT *, cents // 100 AS n FROM ({_CENTS})) JOIN ({_sql_whole(f'SELECT DISTINCT cents // 100 AS n FROM ({_CENTS})', 'f')}) USING (n)
+  UNION ALL SELECT p || n || '.5', substr(p, 1, length(p) - 1) || CASE WHEN n = 0 THEN {_q(lx.HALF)} ELSE spoken || {_q(' ' + lx.AND_HALF)} END
+  FROM (SELECT n, {_sql_list(lx.PREPOSITIONS)}[i + 1] AS p FROM ({_HALVES}) GROUP BY ALL) JOIN ({_sql_whole(f'SELECT DISTINCT n FROM ({_HALVES})', 'f')}) USING (n)
+  UNION ALL {_SYMBOLS_SQL}""",
+)
+def spoken_numerals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, whole = _t(spark, sf_dir, "lineitem"), lambda c: F.col(c).cast("long")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    sign = F.when(F.col("l_linenumber") % 2 == 1, "-").otherwise("")
+    decimals = lines.select(F.concat(sign, F.expr("cast(round(l_extendedprice * 100) as bigint) div 100").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0")).alias("token"))
+    pick = lambda words, i: F.element_at(F.array(*map(F.lit, words)), (F.col(i) % len(words) + 1).cast("int"))
+    halves = lines.select(F.concat(pick(lx.PREPOSITIONS, "l_orderkey"), (whole("l_quantity") - 1).cast("string"), F.lit(".5")))
+    amounts = lines.select(F.concat(F.floor("l_extendedprice").cast("string"), pick(tuple(lx.SYMBOL_UNITS), "l_linenumber")))
+    tokens = decimals.union(halves).union(amounts).distinct()
+    return spread(tokens).select("token", columns.spoken_form("token", "f").alias("spoken"))
 
 
 #: Keys are spread so that millions and billions occur; no key is folded onto another one.
@@ -286,8 +317,8 @@ def normalize_stt(spark: SparkSession, sf_dir: str) -> DataFrame:
 _NOUNS = {"\u05d9\u05dc\u05d3\u05d9\u05dd": ("mn", "m"), "\u05d9\u05dc\u05d3\u05d5\u05ea": ("fn", "f"), "\u05e9\u05e0\u05d9\u05dd": ("fn", "f"), "\u05e9\u05de\u05d5\u05ea": ("mn", "m"), "\u05e9\u05e7\u05dc": ("mn", "f"), "\u05db\u05e1\u05d0\u05d5\u05ea": ("mn", "f")}
 
 
-def _counted_sql(which: int) -> str:
-    parts = [f"SELECT n, spoken || ' ' || {_q(noun)} AS out FROM ({_sql_integer(_KEYS, genders[which])}) WHERE n % {len(_NOUNS)} = {i}" for i, (noun, genders) in enumerate(_NOUNS.items())]
+def _counted_sql(which: int, keys: str = _KEYS) -> str:
+    parts = [f"SELECT n, spoken || ' ' || {_q(noun)} AS out FROM ({_sql_whole(keys, genders[which])}) WHERE n % {len(_NOUNS)} = {i}" for i, (noun, genders) in enumerate(_NOUNS.items())]
     return " UNION ALL ".join(parts)
 
 
@@ -310,12 +341,7 @@ def normalize_stt_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counted(spark, sf_dir).select("n", columns.normalize_transcript("t").alias("out"))
 
 
-def _counted_whole_sql(which: int) -> str:
-    parts = [f"SELECT n, spoken || ' ' || {_q(noun)} AS out FROM ({_sql_whole(_WHOLE_KEYS, genders[which])}) WHERE n % {len(_NOUNS)} = {i}" for i, (noun, genders) in enumerate(_NOUNS.items())]
-    return " UNION ALL ".join(parts)
-
-
-@_query("normalize_counted_whole", f"SELECT n, a.out AS tts, b.out AS stt FROM ({_counted_whole_sql(0)}) a JOIN ({_counted_whole_sql(1)}) b USING (n)")
+@_query("normalize_counted_whole", f"SELECT n, a.out AS tts, b.out AS stt FROM ({_counted_sql(0, _WHOLE_KEYS)}) a JOIN ({_counted_sql(1, _WHOLE_KEYS)}) b USING (n)")
 def normalize_counted_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = _before_nouns(_whole_keys(spark, sf_dir))
     return counted.select("n", columns.normalize_speech("t", rewrite.EXPANDED).alias("tts"), columns.normalize_transcript("t").alias("stt"))
