@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import shutil
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,17 +25,39 @@ def _children(spark: SparkSession, path: str) -> tuple[bool, list[str]]:
     return False, [s.getPath().getName() for s in fs.listStatus(hadoop)]
 
 
-def _read_arrow(spark: SparkSession, path: str) -> DataFrame:
-    """An Arrow stream or file on this machine; it is one file of one writer, read on the driver."""
+def _arrow_reader(f):
+    """Batches and schema of an Arrow file or stream."""
     import pyarrow as pa
 
-    with pa.OSFile(path, "rb") as f:
-        try:
-            table = pa.ipc.open_stream(f).read_all()
-        except pa.ArrowInvalid:
-            f.seek(0)
-            table = pa.ipc.open_file(f).read_all()
-    return spark.createDataFrame(table)
+    try:
+        found = pa.ipc.open_file(f)
+        return (found.get_batch(i) for i in range(found.num_record_batches)), found.schema
+    except pa.ArrowInvalid:
+        f.seek(0)
+        found = pa.ipc.open_stream(f)
+        return found, found.schema
+
+
+def _read_arrow(spark: SparkSession, path: str) -> DataFrame:
+    """An Arrow stream or file on any store that Arrow knows: its schema on the driver, its batches one by one in a task."""
+    from pyarrow import fs as arrow_fs
+    from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
+
+    def source():
+        fs, own = arrow_fs.FileSystem.from_uri(re.sub("^file:/+", "/", path))
+        return fs.open_input_file(own)
+
+    with source() as f:
+        kinds = from_arrow_schema(_arrow_reader(f)[1])
+    wanted = to_arrow_schema(kinds)
+
+    def run(batches):
+        for _ in batches:
+            with source() as f:
+                for batch in _arrow_reader(f)[0]:
+                    yield batch.cast(wanted)
+
+    return spark.range(0, 1, 1, 1).mapInArrow(run, kinds)
 
 
 def open_dataset(spark: SparkSession, path: str) -> DataFrame:
