@@ -6,7 +6,7 @@ a grouped map; groups are entries, or shards of entries if a controller adapts t
 
 from __future__ import annotations
 
-import random
+import hashlib
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from statistics import median
@@ -36,20 +36,26 @@ class Slice:
 
 
 class DurationController:
-    """Random targets whose mean is steered to ``target``; the same seed gives the same targets."""
+    """Random targets whose mean is steered to ``target``; the n-th is drawn by a digest of seed and n."""
 
     BOOTSTRAP, SPREAD, PULL = 5, 0.35, 0.5
 
     def __init__(self, least: float, most: float, target: float, seed: int | str = 0):
         self.least, self.most, self.target = least, most, target
-        self.random, self.done = random.Random(seed), []
+        self.seed, self.draws = seed, 0
+        self.done: list[float] = []
+
+    def _uniform(self, low: float, high: float) -> float:
+        share = int(hashlib.md5(f"{self.seed}:{self.draws}".encode(), usedforsecurity=False).hexdigest()[:8], 16) / 2**32
+        self.draws += 1
+        return low + (high - low) * share
 
     def next_target(self) -> float:
         if len(self.done) < self.BOOTSTRAP:
-            return self.random.uniform(max(self.least, 0.7 * self.target), min(self.most, 1.3 * self.target))
+            return self._uniform(max(self.least, 0.7 * self.target), min(self.most, 1.3 * self.target))
         centre = self.target + self.PULL * (self.target - sum(self.done) / len(self.done))
         reach = self.SPREAD * self.target
-        return min(self.most, max(self.least, self.random.uniform(centre - reach, centre + reach)))
+        return min(self.most, max(self.least, self._uniform(centre - reach, centre + reach)))
 
     def record(self, duration: float) -> None:
         self.done.append(duration)

@@ -298,17 +298,102 @@ def phone_spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "customer").select("c_custkey", columns.spoken_phone(token).alias("spoken"))
 
 
-@_query("normalize_tts_cautious")
+# whole documents in SQL: words, what each becomes, and the words together again. The tables have plain
+# numbers, phone numbers and numbers with a marker between, but no dates, times, units or plural nouns
+# beside a number; those have queries of their own
+_RE_NUMERAL = r"(-?)(?:([1-9][0-9]{0,2}(?:,[0-9]{3})*)|([0-9]+))(?:\.([0-9]+))?"
+_RE_WRAP = r'^["(\[{]+|[")\]}]+$'
+_WORDS_OF = "(SELECT doc_id, unnest(l) AS raw, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(c, ' ') AS l FROM ({})))"
+
+
+def _sql_digits(x: str) -> str:
+    return f"array_to_string(list_transform(list_filter(string_split({x}, ''), lambda c: c BETWEEN '0' AND '9'), lambda c: {_sql_list(lx.UNITS_F)}[c::INT + 1]), ' ')"
+
+
+def _sql_said(tokens: str) -> str:
+    """CTEs up to ``said``: p, spoken, and the ordinal that follows a hundred, of the numerals among ``tokens`` (a relation with p)."""
+    fraction = f"""CASE WHEN fraction = '' THEN '' WHEN fraction = '5' THEN {_q(' ' + lx.AND_HALF)} WHEN length(fraction) = 2 AND fraction[1] <> '0' THEN {_q(f' {lx.POINT} ')} || ({_sql_small('(fraction::BIGINT)', 'f')})
+      ELSE {_q(f' {lx.POINT} ')} || {_sql_digits('fraction')} END"""
+    whole = lambda g: f"CASE WHEN n = 0 AND fraction = '5' THEN {_q(lx.HALF)} WHEN sign = '-' AND n > 0 THEN {_q(lx.MINUS + ' ')} || f.spoken || ({fraction}) ELSE {g}.spoken || ({fraction}) END"
+    return f"""numerals AS MATERIALIZED (SELECT p, m.sign AS sign, m.fraction AS fraction, (replace(m.grouped, ',', '') || m.plain)::BIGINT AS n
+    FROM (SELECT p, regexp_extract(p, {_q('^' + _RE_NUMERAL + '$')}, ['sign', 'grouped', 'plain', 'fraction']) AS m FROM (SELECT DISTINCT p FROM {tokens}) WHERE regexp_full_match(p, {_q(_RE_NUMERAL)}))),
+  wholes AS MATERIALIZED (SELECT DISTINCT n FROM numerals),
+  said AS MATERIALIZED (SELECT p, {whole('f')} AS spoken, {whole('o')} AS ordinal FROM numerals JOIN ({_sql_whole('SELECT n FROM wholes', 'f')}) f USING (n) JOIN ({_sql_whole('SELECT n FROM wholes', 'f0')}) o USING (n))"""
+
+
+def _abbreviations(own: dict[str, str]) -> str:
+    found: dict[str, str] = {}
+    for lead in ("", *lx.ABBREVIATION_PREFIXES):
+        for table in (own, lx.ABBREVIATIONS):
+            for short, full in table.items():
+                found.setdefault(lead + short, lead + full)
+    return ", ".join(f"({_q(a)}, {_q(b)})" for a, b in found.items())
+
+
+def _speech_sql(own: dict[str, str], numbers: bool) -> str:
+    """Words without wrappers and mark, abbreviations in full, numbers spoken, marks attached."""
+    head = f"""
+  WITH words AS MATERIALIZED (SELECT doc_id, i, coalesce(a.target, x.word) AS word, x.mark FROM (
+    SELECT doc_id, i, {_sql_sub(_mark_sql(True), _RE_WRAP)} AS word, {_mark_sql(False)} AS mark FROM (SELECT doc_id, i, {_sql_sub('raw', _RE_WRAP)} AS w FROM {_WORDS_OF.format(f'SELECT doc_id, {_SPEECH_SQL} AS c FROM {_TAILED}')})) x
+    LEFT JOIN (VALUES {_abbreviations(own)}) a(source, target) ON x.word = a.source WHERE x.word <> '')"""
+    if numbers:
+        head += f""",
+  parts AS MATERIALIZED (SELECT word, unnest(l) AS p, unnest(range(len(l))) AS j FROM (SELECT word, string_split(word, CASE WHEN contains(word, '/') THEN '/' ELSE '-' END) AS l FROM (SELECT DISTINCT word FROM words WHERE regexp_matches(word, '[0-9]')))),
+  tokens AS (SELECT p FROM parts UNION ALL SELECT word FROM parts),
+  {_sql_said('tokens')},
+  split AS (SELECT word, string_agg(spoken, ' ' ORDER BY j) AS spoken FROM parts LEFT JOIN said USING (p) GROUP BY word HAVING count(*) > 1 AND bool_and(spoken IS NOT NULL)),
+  written AS (SELECT doc_id, i, mark, CASE WHEN regexp_full_match(word, '0[0-9]{{1,2}}-?[0-9]{{7}}') THEN {_sql_digits('word')} ELSE coalesce(a.spoken, s.spoken, word) END AS cardinal, a.ordinal
+    FROM words LEFT JOIN said a ON a.p = word LEFT JOIN split s USING (word)),
+  outs AS (SELECT doc_id, i, CASE WHEN ordinal IS NOT NULL AND ends_with(lag(cardinal || mark, 1, '') OVER (PARTITION BY doc_id ORDER BY i), {_q(lx.HUNDRED)}) THEN ordinal ELSE cardinal END || mark AS out FROM written)"""
+    else:
+        head += ", outs AS (SELECT doc_id, i, word || mark AS out FROM words)"
+    glued = _sql_sub("string_agg(out, ' ' ORDER BY i)", _RE_SPACE + r"+([.,?!])", r"\1")
+    return f"{head} SELECT doc_id, coalesce(out, '') AS out FROM documents LEFT JOIN (SELECT doc_id, trim({glued}) AS out FROM outs GROUP BY 1) USING (doc_id)"
+
+
+@_query("normalize_tts_cautious", _speech_sql({}, False))
 def normalize_tts_cautious(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tailed(spark, sf_dir).select("doc_id", columns.normalize_speech("t", rewrite.CAUTIOUS).alias("out"))
 
 
-@_query("normalize_tts_expanded")
-def normalize_tts_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tailed(spark, sf_dir).select("doc_id", columns.normalize_speech("t", rewrite.EXPANDED, {"the": "THE"}).alias("out"))
+_OWN = {"the": "THE"}
 
 
-@_query("normalize_stt")
+@_query("normalize_tts_expanded", _speech_sql(_OWN, True))
+def normalize_tts_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tailed(spark, sf_dir).select("doc_id", columns.normalize_speech("t", rewrite.EXPANDED, _OWN).alias("out"))
+
+
+def _sql_peeled(x: str) -> tuple[str, str]:
+    """A word without marks around it, and the mark kept: the last one but dots in threes, quotes and brackets."""
+    solid = _sql_sub(x, r"""^[."'(\[,:;?!\x{2026}]+""")
+    led = f"(CASE WHEN {solid} = '' THEN right({x}, 1) ELSE {solid} END)"
+    end = r'[.!?",:;)\]\x{2026}]+$'
+    run = _sql_sub(f"regexp_extract({led}, {_q(end)})", r'(\.\.\.|[")\]])+$')
+    kept = f"CASE WHEN {run} = '' THEN '' WHEN ends_with({run}, '?!') THEN '?' ELSE CASE right({run}, 1) WHEN '?' THEN '?' WHEN '!' THEN '!' WHEN '.' THEN '.' WHEN '\u2026' THEN '.' ELSE ',' END END"
+    return _sql_sub(led, end), kept
+
+
+def _transcript_sql() -> str:
+    """Words peeled, numbers spoken, else words cut at a marker if no part is empty; a kept mark stands alone."""
+    cleaned = _sql_sub(_sql_sub(f"translate(t, {_q(_FROM[:-1])}, {_q(_TO)})", r"\(.*?\)"), r"\[.*?\]")
+    (word, mark), part = _sql_peeled("raw"), _sql_peeled("raw")[0]
+    at, after_quote = "(strpos(p, '\"') - 1)", "substr(p, strpos(p, '\"') + 1)"
+    acronym = f"length(p) - CASE WHEN ends_with(p, {_q(lx.PLURAL_M)}) OR ends_with(p, {_q(lx.PLURAL_F)}) THEN 4 ELSE 2 END"
+    quoted = f"CASE WHEN {at} > 0 AND {at} <> {acronym} AND list_contains({_sql_list(lx.PREPOSITIONS)}, left(p, {at}) || '-') THEN left(p, {at}) || {after_quote} ELSE p END"
+    return f"""
+  WITH texts AS (SELECT doc_id, CASE WHEN starts_with(t, '  ') THEN t ELSE {_sql_sub('t', ' {2,}', ' ')} END AS c FROM (SELECT doc_id, {cleaned} AS t FROM {_TAILED})),
+  words AS MATERIALIZED (SELECT doc_id, i, {word} AS p, {mark} AS mark FROM {_WORDS_OF.format('SELECT * FROM texts')} WHERE raw <> ''),
+  cut AS (SELECT DISTINCT p, m FROM words, (VALUES ('/'), ('-')) v(m) WHERE contains(p, m)),
+  parts AS MATERIALIZED (SELECT whole, m, j, CASE WHEN raw = '' THEN '' ELSE {part} END AS p FROM (SELECT p AS whole, m, unnest(l) AS raw, unnest(range(len(l))) AS j FROM (SELECT p, m, string_split(p, m) AS l FROM cut))),
+  tokens AS (SELECT p FROM parts UNION ALL SELECT p FROM words WHERE regexp_matches(p, '[0-9]')),
+  {_sql_said('tokens')},
+  split AS (SELECT whole AS p, string_agg(coalesce(spoken, {quoted}), ' ' ORDER BY j) AS spoken FROM parts LEFT JOIN said USING (p) GROUP BY whole, m HAVING bool_and(p <> '') QUALIFY row_number() OVER (PARTITION BY whole ORDER BY m DESC) = 1),
+  outs AS (SELECT doc_id, i, coalesce(a.spoken, s.spoken, {quoted}) || CASE WHEN mark = '' THEN '' ELSE ' ' || mark END AS out FROM words LEFT JOIN said a USING (p) LEFT JOIN split s USING (p))
+  SELECT doc_id, coalesce(out, '') AS out FROM documents LEFT JOIN (SELECT doc_id, string_agg(out, ' ' ORDER BY i) AS out FROM outs WHERE out <> '' GROUP BY 1) USING (doc_id)"""
+
+
+@_query("normalize_stt", _transcript_sql())
 def normalize_stt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tailed(spark, sf_dir).select("doc_id", columns.normalize_transcript("t").alias("out"))
 
@@ -449,13 +534,16 @@ def prev_text_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("conv_id", "turn", "text", "has_prev", "prev_text")
 
 
+_SHARD = 10  # entries that share a controller: no shard grows with the table
+
+
 def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per user: events as segments of a time line in hours from the user's first event."""
     parts = F.array_sort(F.collect_list(F.struct("s", "event_id", "e", "t")))
     users = _segments(spark, sf_dir).groupBy("user_id").agg(parts.alias("p"), F.min("s").alias("first"), F.max("e").alias("last"))
     word = lambda x: F.array((x["event_id"] % 10) / 10)
     segments = F.transform("p", lambda x: F.struct((x["s"] - F.col("first")).alias("start"), (x["e"] - F.col("first")).alias("end"), x["t"].alias("text"), word(x).alias("word_scores")))
-    return users.select("user_id", segments.alias("segments"), (F.col("last") - F.col("first") + 1).alias("audio"), (F.col("user_id") % 7).alias("shard"))
+    return users.select("user_id", segments.alias("segments"), (F.col("last") - F.col("first") + 1).alias("audio"), F.expr(f"user_id div {_SHARD}").alias("shard"))
 
 
 def _slice_rows(sliced: DataFrame) -> DataFrame:
@@ -494,7 +582,31 @@ def greedy_slices_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _slice_rows(slicing.slice_entries(_entries(spark, sf_dir), "user_id", "segments", "audio", 30.0, threshold=0.45))
 
 
-@_query("adaptive_slices")
+_ADAPTIVE_SQL = f"""
+  WITH RECURSIVE users AS (
+    SELECT *, row_number() OVER (PARTITION BY shard ORDER BY user_id) AS k FROM (
+      SELECT user_id, user_id // {_SHARD} AS shard, list(s - f ORDER BY s, event_id) AS a, list(e - f ORDER BY s, event_id) AS b, list(t ORDER BY s, event_id) AS t, any_value(l - f + 1) AS audio, count(*)::INT AS n
+      FROM (SELECT *, min(s) OVER (PARTITION BY user_id) AS f, max(e) OVER (PARTITION BY user_id) AS l FROM {_SEGMENTS}) GROUP BY user_id)),
+  steps AS (
+    SELECT DISTINCT shard, 1::BIGINT AS k, 1 AS i, 0.0::DOUBLE AS pos, 0 AS draws, 0 AS recorded, 0.0::DOUBLE AS total, 0 AS done, NULL::BIGINT AS user_id, false AS made, 0.0::DOUBLE AS seek, 0.0::DOUBLE AS duration, 0 AS size, '' AS text FROM users
+    UNION ALL
+    SELECT shard, CASE WHEN past THEN k + 1 ELSE k END, CASE WHEN past THEN 1 WHEN skip THEN i + 1 ELSE j END,
+      CASE WHEN past THEN 0.0 WHEN skip THEN coalesce(a[i + 1], audio) WHEN j <= n AND a[j] < stop THEN a[j] ELSE pos + aim END,
+      draws + made::INT, recorded + (made AND length > 0)::INT, total + CASE WHEN made THEN length ELSE 0.0 END, CASE WHEN past THEN 0 ELSE done + made::INT END,
+      user_id, made, pos, length, j - i, array_to_string(t[i : j - 1], '')
+    FROM (
+      SELECT *, NOT past AND NOT skip AS made, CASE WHEN j > i THEN least(b[j - 1], audio) - pos ELSE 0.0 END AS length FROM (
+        SELECT *, coalesce(list_min(list_filter(range(i, n + 1), lambda x: NOT (a[x] < stop AND least(b[x], audio) <= stop))), n + 1)::INT AS j FROM (
+          SELECT *, least(pos + aim, audio) AS stop FROM (
+            SELECT *, CASE WHEN i <= n AND a[i] <= pos THEN greatest(drawn, least(b[i], audio) - pos) ELSE drawn END AS aim FROM (
+              SELECT *, CASE WHEN recorded < 5 THEN 14.0 + 12.0 * u ELSE least(30.0, greatest(5.0, centre - 7.0 + 14.0 * u)) END AS drawn FROM (
+                SELECT s.shard, s.k, s.i, s.pos, s.draws, s.recorded, s.total, s.done, v.user_id, v.a, v.b, v.t, v.audio, v.n, s.pos >= v.audio AS past, coalesce(v.b[s.i] - v.a[s.i] > 30.0 OR v.b[s.i] - v.a[s.i] = 0, false) AS skip,
+                  ('0x' || left(md5('1:' || s.shard || ':' || s.draws), 8))::BIGINT / 4294967296.0::DOUBLE AS u, 20.0 + 0.5 * (20.0 - s.total / greatest(s.recorded, 1)) AS centre
+                FROM steps s JOIN users v ON v.shard = s.shard AND v.k = s.k)))))))
+  SELECT user_id, done - 1 AS slice_idx, round(seek, 6) AS seek, round(duration, 6) AS duration, size AS n, text FROM steps WHERE made"""
+
+
+@_query("adaptive_slices", _ADAPTIVE_SQL)
 def adaptive_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _slice_rows(slicing.slice_entries(_entries(spark, sf_dir), "user_id", "segments", "audio", 30.0, shard="shard", rank="user_id", target=20.0, least=5.0, seed=1))
 
