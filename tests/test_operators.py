@@ -197,3 +197,17 @@ def test_audit_views(spark, tmp_path):
     (tmp_path / "x.wav").write_bytes(b"")
     assert audit.resolve_path("/no/x.wav", [str(tmp_path)]) == str(tmp_path / "x.wav") and audit.resolve_path("/no/y.wav", []) is None
     assert "\n" in spark.range(1).select(F.struct(F.lit("א").alias("a")).alias("metadata")).select(audit.pretty_metadata()).first()[0]
+
+
+def test_merged_segments_of_any_array(spark):
+    """Null and empty arrays stay; gaps of the threshold part, null times too; a null text is empty; long arrays keep every text."""
+    kind = "id int, segments array<struct<start:double,end:double,text:string,word_scores:array<double>>>"
+    long = [(float(i), i + (0.9 if i % 100 else 0.5), str(i % 10), [float(i)]) for i in range(5000)]
+    rows = [(1, None), (2, []), (3, [(0.0, 1.0, "a", [0.5]), (1.25, 2.0, None, None), (2.5, 3.0, "b", []), (3.5, 4.0, "c", None)]), (4, [(0.0, None, "a", None), (1.0, 2.0, "b", None)]), (5, long)]
+    found = {r["id"]: r["m"] for r in spark.createDataFrame(rows, kind).select("id", sequences.merge_segments("segments").alias("m")).collect()}
+    assert found[1] is None and found[2] == []
+    assert [tuple(x) for x in found[3]] == [(0.0, 2.0, "a", [0.5]), (2.5, 3.0, "b", []), (3.5, 4.0, "c", None)]
+    assert [x["text"] for x in found[4]] == ["a", "b"]
+    # after every 100th segment the gap is 0.5
+    assert len(found[5]) == 51 and "".join(x["text"] for x in found[5]) == "".join(x[2] for x in long)
+    assert all(x["word_scores"] == [x["start"]] for x in found[5])

@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from ..functions import columns, rewrite
 from ..functions import lexicon as lx
 from ..operators import audio, audit, filters, partitioning, sequences, slicing, stats
-from ..sources import entries
+from ..sources import datasets, entries
+from ..sources.shared import new_path
 from ..sources.tables import read_table as _t
 from ..sources.tables import spread
+from ..streaming import rewrite_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -47,7 +49,10 @@ def _q(text: str) -> str:
 
 
 def _tailed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+    return _with_tail(spread(_t(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def _with_tail(docs: DataFrame) -> DataFrame:
     tail = reduce(lambda acc, i: F.when(F.col("doc_id") % len(_TAILS) == i, F.lit(_TAILS[i])).otherwise(acc), range(len(_TAILS)), F.lit(""))
     return docs.select("doc_id", F.concat("text", tail).alias("t"))
 
@@ -88,6 +93,7 @@ _text_query("emoji_strip", columns.strip_emoji, _sql_sub("t", _RE_EMOJI))
 _text_query("bracket_strip", columns.strip_brackets, _sql_sub("t", r"\[.*?\]"))
 _text_query("dash_split_text", columns.split_dashes, _sql_dashes("t"))
 _text_query("collapse_ws", columns.collapse_blanks, _sql_blanks("t"))
+_PREPARED_SQL = _sql_blanks(_sql_dashes(_sql_sub(_sql_sub(_sql_translate("t"), _RE_EMOJI), r"\[.*?\]")))  # parentheses stay
 _SPEECH_SQL = _sql_blanks(_sql_dashes(_sql_sub(_sql_sub(_sql_sub(_sql_translate("t"), _RE_EMOJI), r"\(.*?\)"), r"\[.*?\]")))
 _text_query("speech_cleanup", columns.speech_cleanup, _SPEECH_SQL)
 
@@ -330,11 +336,11 @@ def _abbreviations(own: dict[str, str]) -> str:
     return ", ".join(f"({_q(a)}, {_q(b)})" for a, b in found.items())
 
 
-def _speech_sql(own: dict[str, str], numbers: bool) -> str:
+def _speech_sql(own: dict[str, str], numbers: bool, cleaned: str = _SPEECH_SQL) -> str:
     """Words without wrappers and mark, abbreviations in full, numbers spoken, marks attached."""
     head = f"""
   WITH words AS MATERIALIZED (SELECT doc_id, i, coalesce(a.target, x.word) AS word, x.mark FROM (
-    SELECT doc_id, i, {_sql_sub(_mark_sql(True), _RE_WRAP)} AS word, {_mark_sql(False)} AS mark FROM (SELECT doc_id, i, {_sql_sub('raw', _RE_WRAP)} AS w FROM {_WORDS_OF.format(f'SELECT doc_id, {_SPEECH_SQL} AS c FROM {_TAILED}')})) x
+    SELECT doc_id, i, {_sql_sub(_mark_sql(True), _RE_WRAP)} AS word, {_mark_sql(False)} AS mark FROM (SELECT doc_id, i, {_sql_sub('raw', _RE_WRAP)} AS w FROM {_WORDS_OF.format(f'SELECT doc_id, {cleaned} AS c FROM {_TAILED}')})) x
     LEFT JOIN (VALUES {_abbreviations(own)}) a(source, target) ON x.word = a.source WHERE x.word <> '')"""
     if numbers:
         head += f""",
@@ -364,6 +370,14 @@ def normalize_tts_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tailed(spark, sf_dir).select("doc_id", columns.normalize_speech("t", rewrite.EXPANDED, _OWN).alias("out"))
 
 
+_BOTH = f"({_speech_sql({}, False)}) c JOIN ({_speech_sql({}, True, _PREPARED_SQL)}) e USING (doc_id) JOIN {_TAILED} USING (doc_id)"
+
+
+@_query("before_after", f"SELECT doc_id, t AS raw, c.out AS cautious, e.out AS expanded, CASE WHEN c.out = t THEN 'no' ELSE 'YES' END AS cautious_changed, CASE WHEN e.out = t THEN 'no' ELSE 'YES' END AS expanded_changed FROM {_BOTH}")
+def before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.before_after(_tailed(spark, sf_dir).withColumnRenamed("t", "raw_text")).drop("raw_text")
+
+
 def _sql_peeled(x: str) -> tuple[str, str]:
     """A word without marks around it, and the mark kept: the last one but dots in threes, quotes and brackets."""
     solid = _sql_sub(x, r"""^[."'(\[,:;?!\x{2026}]+""")
@@ -714,6 +728,88 @@ def segment_text_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(parts.alias("segments")).select("conv_id", slicing.segment_text("segments").alias("text"))
 
 
+# transcripts as JSON text: of five conversations one has an unknown key, one lacks the words, one is cut off
+_FORMS = 5
+
+
+@_query(
+    "strict_transcripts",
+    f"""SELECT conv_id, CASE WHEN conv_id % {_FORMS} IN (1, 2, 3) THEN 'the transcript does not follow the schema' END AS parse_error, CASE WHEN conv_id % {_FORMS} NOT IN (1, 2, 3) THEN count(*) END AS n,
+  CASE WHEN conv_id % {_FORMS} NOT IN (1, 2, 3) THEN string_agg(text, '' ORDER BY turn) END AS text, CASE WHEN conv_id % {_FORMS} IN (1, 2, 3) THEN 0.0 ELSE median(turn / 8.0::DOUBLE) END AS score FROM conversations GROUP BY 1""",
+)
+def strict_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start, form = F.col("turn").cast("double"), F.col("conv_id") % _FORMS
+    word = F.struct(start.alias("start"), (start + 1).alias("end"), F.col("text").alias("word"), (start / 8).alias("probability"), F.array(F.col("turn")).alias("tokens"))
+    words = F.when(form != 2, F.array(word))  # a null field is not written
+    segment = F.struct(start.alias("start"), (start + 1).alias("end"), F.col("text"), words.alias("words"), F.when(form == 1, F.lit(1)).alias("unknown"))
+    whole = _t(spark, sf_dir, "conversations").select("conv_id", "turn", segment.alias("s")).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "s"))).alias("p"))
+    text = F.to_json(F.struct(F.transform("p", lambda x: x["s"]).alias("segments")))
+    parsed = entries.parse_transcripts(whole.select("conv_id", F.when(F.col("conv_id") % _FORMS == 3, F.left(text, F.length(text) - 2)).otherwise(text).alias("value")))
+    score = slicing.pooled_median(slicing.segment_scores("segments"))
+    return parsed.select("conv_id", "parse_error", F.when(F.col("segments").isNotNull(), F.size("segments").cast("long")).alias("n"), slicing.segment_text("segments").alias("text"), score.alias("score"))
+
+
+_MD_FORMS = ('{"duration": %d}', '{"duration": "%d.5", "session_duration": 1}', '{"session_duration": %d}', '{"other": {"duration": %d}}')
+
+
+@_query("metadata_duration", f"SELECT doc_id, CASE doc_id % {len(_MD_FORMS)} WHEN 1 THEN n_chars + 0.5::DOUBLE WHEN 3 THEN 0.0 ELSE n_chars END::DOUBLE AS duration FROM documents")
+def metadata_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forms = [F.format_string(form, F.col("n_chars").cast("long")) for form in _MD_FORMS]
+    md = F.element_at(F.array(*forms), (F.col("doc_id") % len(_MD_FORMS) + 1).cast("int"))
+    return _t(spark, sf_dir, "documents").select("doc_id", md.alias("md")).select("doc_id", partitioning.duration_of("md").alias("duration"))
+
+
+@_query("dataset_round_trip", f"SELECT doc_id, split, lang, text FROM documents JOIN ({_SPLIT}) USING (doc_id)")
+def dataset_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents written as a dataset with splits and opened again."""
+    path = new_path(spark, "dataset")
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", "text").join(_split(spark, sf_dir).select("doc_id", "split"), "doc_id")
+    datasets.write_dataset(docs, path, name="documents", language="he")
+    return datasets.open_dataset(spark, path).select("doc_id", "split", "lang", "text")
+
+
+def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    # a stream takes a file only by a pattern; this one fits a folder of that name as well
+    return spark.readStream.schema(_t(spark, sf_dir, table).schema).parquet(f"{sf_dir}/{table}[.]parquet")
+
+
+@_query("stream_rewrite", _speech_sql({}, False))
+def stream_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a stream, rewritten into files; all there are, then it stops."""
+    out, texts = new_path(spark, "stream"), _with_tail(_stream(spark, sf_dir, "documents").select("doc_id", "text"))
+    rewritten = rewrite_stream.normalize_stream(texts, "t").select("doc_id", F.col("normalized").alias("out"))
+    rewritten.writeStream.format("parquet").option("checkpointLocation", new_path(spark, "stream-state")).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(rewritten.schema).parquet(out)
+
+
+@_query(
+    "stream_sessions",
+    """SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS "start", strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS "end", string_agg(event_type, '' ORDER BY ts, event_type) AS text, count(*) AS n FROM (
+  SELECT *, sum(apart) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM (
+    SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 6 HOURS THEN 0 ELSE 1 END AS apart FROM events)) GROUP BY user_id, run""",
+)
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream, merged into sessions across gaps of up to six hours; the last state of every session."""
+    out = new_path(spark, "stream")
+    events = _stream(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    merged = rewrite_stream.merge_sessions(events, "user_id", "ts", "event_type", "6 hours", "1 hour")
+    write = merged.writeStream.outputMode("complete").option("checkpointLocation", new_path(spark, "stream-state")).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
+    write.trigger(availableNow=True).start().awaitTermination()
+    when = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+    return spark.read.schema(merged.schema).parquet(out).select("user_id", when("start"), when("end"), "text", "n")
+
+
+@_query("wav_round_trip", f"SELECT vec_id, 44 + 2 * len(embedding) AS n_bytes, unnest(range(len(embedding))) AS at, unnest(list_transform(embedding, lambda x: greatest(-32768, least(32767, round_even(x::DOUBLE * 32767, 0)))::INT / 32768.0::DOUBLE)) AS sample FROM embeddings")
+def wav_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples written as WAV files, decoded, cut over their whole length, written and read for playback."""
+    octet = lambda x: F.lpad(F.hex(x.bitwiseAND(255)), 2, "0")
+    pcm = F.unhex(F.array_join(F.transform("embedding", lambda x: F.concat(octet(audio.pcm16(x)), octet(F.shiftright(audio.pcm16(x), 8)))), ""))
+    sounds = spread(_t(spark, sf_dir, "embeddings").select("vec_id", F.size("embedding").alias("size"), pcm.alias("pcm"))).withColumn("wav", audio.wav_bytes("pcm"))
+    cut = sounds.withColumn("back", audio.decode_column("wav")["pcm"]).withColumn("cut", audio.wav_bytes(audio.cut_pcm("back", F.lit(0.0), F.col("size") / audio.RATE)))
+    rows = cut.select("vec_id", F.octet_length("cut").cast("long").alias("n_bytes"), F.posexplode(audio.wav_samples("cut")).alias("at", "sample"))
+    return rows.withColumn("at", F.col("at").cast("long")).withColumn("sample", F.col("sample").cast("double"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
