@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import components
@@ -92,3 +95,41 @@ def test_ids_of_other_types(spark):
 
 def test_empty(spark):
     assert e.embedding_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+@pytest.mark.parametrize("rows", [20_000, 15_000_000])
+def test_cells_of_vectors_without_structure(rows):
+    """However many rows, a vector has few cells, as each is a copy of it."""
+    x = e._unit(np.random.default_rng(8).normal(size=(6000, 64)))
+    cells = e.fit_cells(x, np.arange(6000) % 10, rows, 0.98)
+    assert len(cells.assign(x)[1]) <= 4 * len(x)
+
+
+def test_memory_of_a_task():
+    """Many cells that a batch is all a member of, and blocks that link as a whole."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(4000, 16)).astype(np.float32)
+    cells = e.Cells(e._unit(rng.normal(size=(4000, 16))), 2.0)
+    flat = pa.array((np.ones((2048, 16)) + rng.normal(size=(2048, 16)) * 1e-3).astype(np.float32).tolist(), pa.list_(pa.float32()))
+    ids = pa.array(np.arange(2048))
+    left = pa.table({"node": ids, "key": ids, "copies": ids, "x": flat})
+    batch = pa.RecordBatch.from_arrays([pa.array(["a"] * 4000), *[pa.array(np.arange(4000))] * 3, pa.array(x.tolist(), pa.list_(pa.float32()))], names=["label", "node", "key", "copies", "x"])
+    tracemalloc.start()
+    try:
+        parts = e._placing(cells, 16)(iter([batch]))
+        assert sum(next(parts).num_rows for _ in range(20)) <= 20 * 8192 and tracemalloc.get_traced_memory()[1] < 200e6
+        tracemalloc.reset_peak()
+        found = e._multiplied(0.98)(left, left.rename_columns(["m_node", "m_key", "m_copies", "m_x"]))
+        assert found.num_rows == 2 * 2048 - 1 and tracemalloc.get_traced_memory()[1] < 150e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_rounds(spark, monkeypatch):
+    """What meets in blocks is moved in several rounds; together they have every link."""
+    for name, value in (("BLOCK", 8), ("LEAST_COPIES", 40), ("COPIES", 1)):
+        monkeypatch.setattr(e, name, value)
+    rng = np.random.default_rng(10)
+    centre = rng.normal(size=16)
+    rows = [(i, (centre + rng.normal(size=16) * 0.08).tolist(), 1) for i in range(60)] + [(100 + i, rng.normal(size=16).tolist(), int(i % 2)) for i in range(30)]
+    check(spark, [(i, np.array(v, np.float32).tolist(), p) for i, v, p in rows])

@@ -8,12 +8,18 @@ so v lies at most r beyond it: a guest of c is every v with v.(c' - c) / |c' - c
 home. Hence each home vector meets all its links in its home cell, and no link is lost.
 
 A cell is cut into blocks of bounded size by a hash; a task multiplies a block of home vectors with a
-block of members, sums the links of each row and keeps for the components one edge per row and
-component of the pair of blocks, never all pairs.
+block of members, some rows at a time, sums the links of each row and keeps for the components one
+edge per row and component of those, never all pairs.
+
+Only cells with a bounded number of guests are chosen: memory and disk follow the rows, also where
+nothing can be pruned and the products are those of all pairs. The vectors that meet in blocks are
+moved in rounds, so that the copies on disk at once are a bounded multiple of the rows as well.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,19 +30,25 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .ids import Ids
-from .shared import stage
+from .shared import discard, stage
 
-#: Vectors of a block at most, about.
-BLOCK = 2048
-#: Distinct vectors on which centres are fitted, at most.
-SAMPLE = 20_000
+#: Vectors of a block at most, about, and numbers in them.
+BLOCK, BLOCK_NUMBERS = 2048, 1 << 21
+#: Distinct vectors on which centres are fitted, at most, and numbers in them.
+SAMPLE, SAMPLE_NUMBERS = 20_000, 1 << 23
 #: Products that cost about as much as moving a vector to one more cell.
 MOVE = 500
 #: Numbers of cells to choose from; the sample supports no more.
-CELLS = (4, 16, 64, 256, 1024, 4096)
+CELLS = (1, 4, 16, 64, 256, 1024, 4096)
+#: Cells of a vector at most, on the average of the sample: each is a copy on disk.
+MEMBER = 4
+#: Copies of vectors that meet in blocks in one round, for each row of the table of cells, and at least.
+COPIES, LEAST_COPIES = 4, 500_000
 #: Lengths of vectors that have cells of their own, the most frequent ones; the rest is compared by label and length alone.
 LENGTHS = 8
 _ROWS = 1024
+#: Numbers of a matrix that a task works out at once, and vectors of a batch that it sends on.
+_NUMBERS, _SENT = 1 << 19, 8192
 #: Slack of the products in float64, within which the cosine is recomputed as defined.
 _NEAR = 1e-9
 
@@ -50,13 +62,14 @@ class Cells:
 
     def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Home cell of each unit vector, and rows and cells of all memberships."""
-        gaps = np.sqrt(np.maximum(0, 2 - 2 * self.centres @ self.centres.T))
+        step = max(1, _NUMBERS // len(self.centres))
         homes, rows, cells = [], [], []
-        for at in range(0, len(x), _ROWS):
-            s = x[at : at + _ROWS] @ self.centres.T
+        for at in range(0, len(x), step):
+            s = x[at : at + step] @ self.centres.T
             home = s.argmax(1)
             own = np.arange(len(home))
-            member = s[own, home][:, None] - s <= self.radius * gaps[home] + _NEAR
+            gaps = np.sqrt(np.maximum(0, 2 - 2 * self.centres[home] @ self.centres.T))
+            member = s[own, home][:, None] - s <= self.radius * gaps + _NEAR
             member[own, home] = True
             row, cell = np.nonzero(member)
             homes.append(home)
@@ -69,8 +82,9 @@ class Cells:
 def _spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 23) -> np.ndarray:
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
+    step = max(1, _NUMBERS // len(centres))
     for _ in range(rounds):
-        home = (x @ centres.T).argmax(1)
+        home = np.concatenate([(x[at : at + step] @ centres.T).argmax(1) for at in range(0, len(x), step)])
         sums = np.zeros_like(centres)
         np.add.at(sums, home, x)
         size = np.linalg.norm(sums, axis=1)
@@ -82,7 +96,8 @@ def fit_cells(x: np.ndarray, labels: np.ndarray, rows: int, threshold: float) ->
     """The number of cells with the least work expected for ``rows`` vectors, judged by a sample of them.
 
     Work is the products of home vectors with members of their cell and label, which grow with the
-    square of the rows, and moving each vector to every cell where it is a member.
+    square of the rows, and moving each vector to every cell where it is a member. Numbers of cells that
+    would make a vector a member of more than ``MEMBER`` on average are not chosen.
     """
     radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     scale, codes = rows / max(1, len(x)), np.unique(labels, return_inverse=True)[1]
@@ -92,6 +107,8 @@ def fit_cells(x: np.ndarray, labels: np.ndarray, rows: int, threshold: float) ->
             break
         cells = Cells(_spherical_kmeans(x, k), radius)
         home, row, cell = cells.assign(x)
+        if best is not None and len(row) > MEMBER * len(x):
+            break
         homes, members = (np.zeros((codes.max(initial=0) + 1, len(cells.centres))) for _ in range(2))
         np.add.at(homes, (codes, home), 1)
         np.add.at(members, (codes[row], cell), 1)
@@ -124,8 +141,18 @@ def _links(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, t
 def _spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges from each id to the least that the linked pairs connect it with, at most one an id."""
     i, j = np.nonzero(linked)
-    ids, place = np.unique(np.concatenate([left, right]), return_inverse=True)  # ascending: the least place is the least id
-    a, b = place[i], place[len(left) + j]
+    ids, place = np.unique(np.concatenate([left, right]), return_inverse=True)
+    return _least(ids, place[i], place[len(left) + j])
+
+
+def _contracted(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each id to the least that the pairs of ids connect it with, at most one an id."""
+    ids, place = np.unique(np.concatenate([left, right]), return_inverse=True)
+    return _least(ids, place[: len(left)], place[len(left) :])
+
+
+def _least(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges by pairs of places in ascending ids: the least place is the least id."""
     least, old = np.arange(len(ids)), None
     while old is None or (least != old).any():
         old = least.copy()
@@ -148,50 +175,87 @@ def _found(*columns) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in columns], names=["node", "key", "links", "other"])
 
 
-def _cells(nodes: DataFrame, dim: int, threshold: float) -> DataFrame:
-    """The nodes of one length in each cell where they are members."""
-    sample = nodes.orderBy(F.xxhash64("key", "node"), "node").limit(SAMPLE).select("x", "label").toArrow()
-    cells = fit_cells(_unit(_matrix(sample.column("x").combine_chunks(), dim)), np.array(sample.column("label").to_pylist()), nodes.count(), threshold)
+def _placing(cells: Cells, dim: int):
+    """Batches of vectors with their cells, of a bounded number of memberships each."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            home, row, cell = cells.assign(_unit(_matrix(batch.column("x"), dim)))
-            out = batch.select(["label", "node", "key", "copies", "x"]).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(cell.astype(np.int32)), pa.array(home[row] == cell)], names=[*out.schema.names, "cell", "home"])
+            for at in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(at, _ROWS).select(["label", "node", "key", "copies", "x"])
+                home, row, cell = cells.assign(_unit(_matrix(part.column("x"), dim)))
+                for i in range(0, len(row), _SENT):
+                    r, c = row[i : i + _SENT], cell[i : i + _SENT]
+                    out = part.take(pa.array(r))
+                    yield pa.RecordBatch.from_arrays([*out.columns, pa.array(c.astype(np.int32)), pa.array(home[r] == c)], names=[*out.schema.names, "cell", "home"])
 
-    kind = nodes.schema["x"].dataType.simpleString()
-    return nodes.select("label", "node", "key", "copies", "x").mapInArrow(place, f"label string, node long, key long, copies long, x {kind}, cell int, home boolean")
+    return place
 
 
-def _compare(placed: DataFrame, threshold: float) -> DataFrame:
-    """Rows ``(node, key, links, null)``, summands of a node's links, and ``(node, key, 0, other)``, edges.
+def _cells(nodes: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """The nodes of one length in each cell where they are members."""
+    n, most, order = nodes.count(), max(1, min(SAMPLE, SAMPLE_NUMBERS // dim)), F.xxhash64("key", "node")
+    # few more than the sample are sorted, whatever the rows
+    least = nodes.where(F.pmod(F.xxhash64(F.lit("sample"), "key", "node"), F.lit(1 << 30)) < int(min(1.0, 1.5 * most / max(1, n)) * (1 << 30)))
+    sample = least.orderBy(order, "node").limit(most).select("x", "label").toArrow()
+    if not sample.num_rows:
+        sample = nodes.limit(most).select("x", "label").toArrow()
+    cells = fit_cells(_unit(_matrix(sample.column("x").combine_chunks(), dim)), np.array(sample.column("label").to_pylist()), n, threshold)
+    kind = nodes.schema["x"].dataType.simpleString()
+    return nodes.select("label", "node", "key", "copies", "x").mapInArrow(_placing(cells, dim), f"label string, node long, key long, copies long, x {kind}, cell int, home boolean")
 
-    ``placed`` has vectors of one length in each label and cell.
-    """
-    placed = stage(placed, "cells")
-    sizes = placed.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("m_blocks"), F.ceil(F.sum(F.col("home").cast("int")) / BLOCK).cast("int").alias("h_blocks")).where("h_blocks > 0")
-    placed = placed.join(sizes, ["label", "cell"])
-    slot = F.xxhash64(F.lit("block"), "key", "node")
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = ["label", "cell", "h", "m", "node", "key", "copies", "x"]
-    homes = placed.where("home").withColumn("h", F.pmod(slot, "h_blocks").cast("int")).withColumn("m", spread("m_blocks")).select(*own)
-    members = placed.withColumn("m", F.pmod(slot, "m_blocks").cast("int")).withColumn("h", spread("h_blocks")).select(*[F.col(c).alias(f"m_{c}") for c in own])
 
+def _multiplied(threshold: float):
     def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _found([], [], [], [])
         dim = len(left.column("x")[0])
         raw_a, raw_b = _matrix(left.column("x").combine_chunks(), dim), _matrix(right.column("m_x").combine_chunks(), dim)
-        linked = _links(_unit(raw_a), _unit(raw_b), raw_a, raw_b, threshold)
-        a, b, copies = left.column("node").to_numpy(), right.column("m_node").to_numpy(), right.column("m_copies").to_numpy()
-        one, other = _spanning(linked, a, b)
-        sums = linked.astype(np.float64) @ copies.astype(np.float64)
+        unit_a, unit_b = _unit(raw_a), _unit(raw_b)
+        a, b, copies = left.column("node").to_numpy(), right.column("m_node").to_numpy(), right.column("m_copies").to_numpy().astype(np.float64)
+        step, sums = max(1, _NUMBERS // len(b)), np.zeros(len(a))
+        one, other = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for at in range(0, len(a), step):
+            own = slice(at, at + step)
+            linked = _links(unit_a[own], unit_b, raw_a[own], raw_b, threshold)
+            sums[own] = linked @ copies
+            more = _spanning(linked, a[own], b)
+            one, other = _contracted(np.concatenate([one, more[0]]), np.concatenate([other, more[1]]))
         some, n = np.flatnonzero(sums > 0), len(one)
         keys = left.column("key").to_numpy()[some]
         return _found(np.concatenate([a[some], one]), np.concatenate([keys, np.zeros(n, np.int64)]), np.concatenate([sums[some].astype(np.int64), np.zeros(n, np.int64)]), [*[None] * len(some), *other.tolist()])
 
-    group = ["label", "cell", "h", "m"]
-    return homes.groupBy(*group).cogroup(members.groupBy(*[f"m_{c}" for c in group])).applyInArrow(multiply, _FOUND)
+    return multiply
+
+
+def _compare(placed: DataFrame, threshold: float) -> list[DataFrame]:
+    """Tables of rows ``(node, key, links, null)``, summands of a node's links, and ``(node, key, 0, other)``, edges.
+
+    ``placed`` has vectors of one length in each label and cell. A round has some of the blocks of home
+    vectors of each cell, with all members.
+    """
+    placed = stage(placed, "cells")
+    blocks = lambda rows, numbers: F.greatest(F.ceil(rows / BLOCK), F.ceil(numbers / BLOCK_NUMBERS)).cast("int")
+    home, n = F.col("home").cast("int"), F.size("x").cast("long")
+    sizes = placed.groupBy("label", "cell").agg(F.count("*").alias("members"), F.sum(n).alias("numbers"), F.sum(home).alias("homes"), F.sum(home * n).alias("h_numbers"))
+    sizes = sizes.select("*", blocks(F.col("members"), F.col("numbers")).alias("m_blocks"), blocks(F.col("homes"), F.col("h_numbers")).alias("h_blocks")).where("h_blocks > 0")
+    sizes = stage(sizes.select("label", "cell", "members", "homes", "m_blocks", "h_blocks", F.xxhash64("label", "cell").alias("off")), "cell-sizes")
+    rows, moved = sizes.agg(F.sum("members"), F.sum(F.col("homes") * F.col("m_blocks") + F.col("members") * F.col("h_blocks"))).first()
+    rounds = math.ceil((moved or 0) / max(LEAST_COPIES, COPIES * (rows or 0)))
+    placed = placed.join(sizes.select("label", "cell", "m_blocks", "h_blocks", "off"), ["label", "cell"])
+    slot = F.xxhash64(F.lit("block"), "key", "node")
+    own, group, out = ["label", "cell", "h", "m", "node", "key", "copies", "x"], ["label", "cell", "h", "m"], []
+    for k in range(rounds):
+        first = F.pmod(F.lit(k) - F.pmod("off", F.lit(rounds)), F.lit(rounds)).cast("int")  # block of the round, and each ``rounds``-th after it
+        homes = placed.where("home").withColumn("h", F.pmod(slot, "h_blocks").cast("int")).where(F.pmod("h", F.lit(rounds)) == first)
+        homes = homes.withColumn("m", F.explode(F.sequence(F.lit(0), F.col("m_blocks") - 1))).select(*own)
+        members = placed.withColumn("first", first).where("first < h_blocks").withColumn("h", F.explode(F.sequence("first", F.col("h_blocks") - 1, F.lit(rounds))))
+        members = members.withColumn("m", F.pmod(slot, "m_blocks").cast("int")).select(*[F.col(c).alias(f"m_{c}") for c in own])
+        found = homes.groupBy(*group).cogroup(members.groupBy(*[f"m_{c}" for c in group])).applyInArrow(_multiplied(threshold), _FOUND)
+        if rounds > 1:  # a node's links and edges of a round as one row each
+            found = found.groupBy("node", "key", "other").agg(F.sum("links").alias("links")).select("node", "key", "links", "other")
+        out.append(stage(found, "links"))
+    discard(placed)
+    return out
 
 
 def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.98) -> DataFrame:
@@ -213,13 +277,13 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     nodes = rows.where("fine").groupBy("label", "x").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
     nodes = stage(nodes.select("label", "x", "node", "copies", *keys, F.size("x").alias("dim")), "vectors")
     dims = [r["dim"] for r in nodes.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(LENGTHS).collect()]
-    found = vectors.sparkSession.createDataFrame([], _FOUND)
+    found = []
     if len(dims) == LENGTHS:  # there may be others
         rest = nodes.where(~F.col("dim").isin(dims))
-        found = _compare(rest.select(F.concat_ws(":", "dim", "label").alias("label"), "node", "key", "copies", "x", F.lit(-1).alias("cell"), F.lit(True).alias("home")), threshold)
+        found += _compare(rest.select(F.concat_ws(":", "dim", "label").alias("label"), "node", "key", "copies", "x", F.lit(-1).alias("cell"), F.lit(True).alias("home")), threshold)
     for d in dims:
-        found = found.unionByName(_compare(_cells(nodes.where(F.col("dim") == d), d, threshold), threshold))
-    found = stage(found, "links")
+        found += _compare(_cells(nodes.where(F.col("dim") == d), d, threshold), threshold)
+    found = functools.reduce(DataFrame.unionByName, found) if found else vectors.sparkSession.createDataFrame([], _FOUND)
     comps = components(found.where("other is not null"), "node", "other")
     links = found.where("other is null").groupBy("node", "key").agg((F.sum("links") - 1).alias("n_links"))
     own = nodes.select("key", "key2", "node").join(links, ["node", "key"]).join(comps.withColumnRenamed("id", "node"), "node", "left")
