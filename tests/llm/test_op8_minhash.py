@@ -102,6 +102,21 @@ def test_crowded_regions(spark, monkeypatch, window, crowd, deepest):
     assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 4) == brute(rows, 4)
 
 
+@pytest.mark.parametrize("others, deepest", [(1024, 6), (40, 6), (0, 6), (0, 2), (3, 3)])
+def test_large_group_of_near_copies(spark, monkeypatch, others, deepest):
+    """All but a few classes of a crowded region are linked: those few meet all at once, and no deeper order has to part them."""
+    depths, place = [], m._place
+    for name, value in (("WINDOW", 2), ("BLOCK", 16), ("CROWD", 8), ("OTHERS", others), ("DEEPEST", deepest)):
+        monkeypatch.setattr(m, name, value, raising=False)
+    monkeypatch.setattr(m, "_place", lambda classes, depth, percent: depths.append(depth) or place(classes, depth, percent))
+    rng = random.Random(6)
+    base = rng.choices(WORDS, k=80)
+    rows = [(i, " ".join(near(rng, base, rng.randrange(0, 3)))) for i in range(120)] + [(300 + i, " ".join(near(rng, base, rng.randrange(3, 9)))) for i in range(50)]
+    rng.shuffle(rows)
+    assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 4) == brute(rows, 4)
+    assert others < 1024 or depths == [m.START]
+
+
 def test_chain(spark):
     words = [f"c{i}" for i in range(60)]
     rows = []

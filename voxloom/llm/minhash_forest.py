@@ -9,8 +9,11 @@ of them are a region of it.
    are candidates. Their links' components are contracted.
 2. In a region that still has several components, each class is compared with the ``WINDOW`` ones
    after it that are of another component: in a region of up to ``WINDOW + 1`` classes these are all.
-3. A region that is larger and still has several components is too shallow: its classes go on to
-   orders that are one minimum deeper, of which there are more, so that a pair at the threshold shares
+   In a larger region of which all but ``OTHERS`` classes at most are of one component, as in a large
+   group of near copies, these others are compared with all of its classes, which is in proportion to
+   its size.
+3. A region that is larger, has more others and still has several components is too shallow: its
+   classes go on to orders that are one minimum deeper, of which there are more, so that a pair at the threshold shares
    a region of one of them as surely as before. Step 2 is done there, and so on to depth ``DEEPEST``.
 4. What is crowded even there and has several components is compared whole, in blocks.
 
@@ -46,6 +49,8 @@ MINIMA, START, DEEPEST = 96, 2, 6
 MISSED = 1e-6
 #: Classes after each one in its region that it is compared with.
 WINDOW = 31
+#: Classes outside the largest component of a region, at most, that are compared with all of the region.
+OTHERS = 1024
 #: Classes of a region, about, that one task sorts: larger ones are dealt by a hash that differs from order to order.
 CROWD = 4096
 #: Classes of a block of a region that is compared whole.
@@ -220,12 +225,31 @@ def _candidates(members: DataFrame, classes: DataFrame, window: int, percent: in
     return rows.mapInArrow(_nearby(window, percent), "a long, b long").distinct()
 
 
+def _known(places: DataFrame, comps: DataFrame) -> DataFrame:
+    """The places, with the class's component."""
+    return places.join(comps, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+
+
 def _mixed(places: DataFrame, comps: DataFrame) -> DataFrame:
     """The places in regions with several components, with the region's size and the class's component."""
-    known = places.join(comps, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    known = _known(places, comps)
     regions = known.groupBy("region").agg(F.count("*").alias("cnt"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("region", "cnt")
     # as a table, so that a crowded region's join can be split
-    return known.join(stage(regions, "mixed-regions"), "region")
+    return stage(known.join(stage(regions, "mixed-regions"), "region"), "mixed")
+
+
+def _led(mixed: DataFrame) -> DataFrame:
+    """Crowded regions of which all but a few classes are of one component, ``main``."""
+    sizes = mixed.where(F.col("cnt") > WINDOW + 1).groupBy("region", "comp").agg(F.count("*").alias("own")).groupBy("region")
+    sizes = sizes.agg(F.sum("own").alias("all"), F.max(F.struct("own", "comp")).alias("most"))
+    return stage(sizes.where(F.col("all") - F.col("most.own") <= OTHERS).select("region", F.col("most.comp").alias("main")), "led-regions")
+
+
+def _still_mixed(mixed: DataFrame, comps: DataFrame) -> DataFrame:
+    """Those of the rows whose regions have several components by now."""
+    known = _known(mixed.drop("comp"), comps)
+    regions = known.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("region")
+    return known.join(stage(regions, "mixed-regions"), "region", "left_semi")
 
 
 def _whole(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -235,6 +259,20 @@ def _whole(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     key, own = ["region", "i", "j"], ["id", "comp", "n", "odd"]
     left = rows.withColumn("i", F.col("block")).withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1))).select(*key, *own)
     right = rows.withColumn("j", F.col("block")).withColumn("i", F.explode(F.sequence(F.lit(0), "block"))).select(*[F.col(c).alias(f"r_{c}") for c in (*key, *own)])
+    return _compared(left, right, key, percent)
+
+
+def _others(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs to confirm of each class outside its region's component ``main`` and all of the region's classes, by blocks of these."""
+    rows = members.join(classes.select("id", "n", "odd"), "id").withColumn("blocks", F.ceil(F.col("cnt") / BLOCK).cast("int"))
+    key, own = ["region", "block"], ["id", "comp", "n", "odd"]
+    left = rows.where("comp <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*key, *own)
+    right = rows.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "id"), "blocks").cast("int")).select(*[F.col(c).alias(f"r_{c}") for c in (*key, *own)])
+    return _compared(left, right, key, percent)
+
+
+def _compared(left: DataFrame, right: DataFrame, key: list[str], percent: int) -> DataFrame:
+    """Pairs of two components that may link, of the rows ``left`` and ``right`` with the same key."""
 
     def compare(a: pa.Table, b: pa.Table) -> pa.Table:
         out = []
@@ -298,10 +336,20 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near = places.join(crowds, "region").withColumn("comp", F.col("id"))
     comps = stage(components(confirmed(_candidates(near, classes, 1, percent), many=True), "a", "b"), "components")
     for depth in range(START, DEEPEST + 1):
-        links = confirmed(_candidates(_mixed(places, comps), classes, WINDOW, percent))
-        comps = joined(comps, links) if not links.isEmpty() else comps
-        crowded = stage(_mixed(places, comps).where(F.col("cnt") > WINDOW + 1), "crowded")
+        mixed = _mixed(places, comps)
         discard(places)
+        led = _led(mixed)
+        rest, pairs = mixed, None
+        if not led.isEmpty():
+            rest, pairs = mixed.join(led, "region", "left_anti"), _others(mixed.join(led, "region"), classes, percent)
+        near = _candidates(rest, classes, WINDOW, percent)
+        links = confirmed(near if pairs is None else near.unionByName(pairs).distinct())
+        crowded = rest.where(F.col("cnt") > WINDOW + 1)
+        if not links.isEmpty():
+            comps = joined(comps, links)
+            crowded = _still_mixed(crowded, comps)
+        crowded = stage(crowded, "crowded")
+        discard(mixed)
         if crowded.isEmpty():
             break
         if depth < DEEPEST:
