@@ -262,16 +262,19 @@ def _whole(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return _compared(left, right, key, percent)
 
 
-def _others(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs to confirm of each class outside its region's component ``main`` and all of the region's classes, by blocks of these."""
+def _others(members: DataFrame, classes: DataFrame, percent: int, one: bool = False) -> DataFrame:
+    """Pairs to confirm of each class outside its region's component ``main`` and all of the region's classes, by blocks of these.
+
+    With ``one`` a class has one pair at most with each component of a block.
+    """
     rows = members.join(classes.select("id", "n", "odd"), "id").withColumn("blocks", F.ceil(F.col("cnt") / BLOCK).cast("int"))
     key, own = ["region", "block"], ["id", "comp", "n", "odd"]
     left = rows.where("comp <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*key, *own)
     right = rows.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "id"), "blocks").cast("int")).select(*[F.col(c).alias(f"r_{c}") for c in (*key, *own)])
-    return _compared(left, right, key, percent)
+    return _compared(left, right, key, percent, one)
 
 
-def _compared(left: DataFrame, right: DataFrame, key: list[str], percent: int) -> DataFrame:
+def _compared(left: DataFrame, right: DataFrame, key: list[str], percent: int, one: bool = False) -> DataFrame:
     """Pairs of two components that may link, of the rows ``left`` and ``right`` with the same key."""
 
     def compare(a: pa.Table, b: pa.Table) -> pa.Table:
@@ -282,6 +285,7 @@ def _compared(left: DataFrame, right: DataFrame, key: list[str], percent: int) -
             for i in range(a.num_rows):
                 j = a.num_rows + np.flatnonzero(comp[a.num_rows :] != comp[i])
                 j = j[may_link(odd, n, np.full(len(j), i), j, percent)]
+                j = j[np.unique(comp[j], return_index=True)[1]] if one else j
                 out.append(np.stack([np.full(len(j), id_[i]), id_[j]]))
         x, y = np.concatenate([np.zeros((2, 0), np.int64), *out], 1)
         return pa.table([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
@@ -339,15 +343,19 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         mixed = _mixed(places, comps)
         discard(places)
         led = _led(mixed)
-        rest, pairs = mixed, None
-        if not led.isEmpty():
-            rest, pairs = mixed.join(led, "region", "left_anti"), _others(mixed.join(led, "region"), classes, percent)
-        near = _candidates(rest, classes, WINDOW, percent)
-        links = confirmed(near if pairs is None else near.unionByName(pairs).distinct())
-        crowded = rest.where(F.col("cnt") > WINDOW + 1)
+        rest, near_main = mixed.join(led, "region", "left_anti"), not led.isEmpty()
+        pairs = _candidates(rest, classes, WINDOW, percent)
+        if near_main:  # one pair with each component first, which links most; then all that are still apart
+            parts = mixed.join(led, "region", "left_semi")
+            pairs = pairs.unionByName(_others(parts.join(led, "region"), classes, percent, one=True)).distinct()
+        links, crowded = confirmed(pairs), rest.where(F.col("cnt") > WINDOW + 1)
         if not links.isEmpty():
             comps = joined(comps, links)
             crowded = _still_mixed(crowded, comps)
+            parts = stage(_still_mixed(parts, comps), "led") if near_main else None
+        if near_main:
+            links = confirmed(_others(parts.join(_led(parts), "region"), classes, percent))
+            comps = joined(comps, links) if not links.isEmpty() else comps
         crowded = stage(crowded, "crowded")
         discard(mixed)
         if crowded.isEmpty():
