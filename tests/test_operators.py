@@ -1,7 +1,9 @@
 import math
 import random
 import statistics
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +77,21 @@ def test_slicing_tables(spark):
     assert slicing.slice_entries(df.where("false"), "e", "segments", "d", 10.0).count() == 0
 
 
+def test_slicing_holds_few_segments_at_a_time(spark, monkeypatch):
+    text = [{"start": i * 3.0, "end": i * 3.0 + 2, "text": f"w{i}", "word_scores": [i % 10 / 10]} for i in range(20)]
+    df = spark.createDataFrame([(0, text, 60.0)], f"e long, segments {slicing.SEGMENTS}, d double")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema: f)
+    run = slicing.slice_entries(df, "e", "segments", "d", 10.0, 0.45)
+    kind = pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64()), ("text", pa.string()), ("word_scores", pa.list_(pa.float64()))]))
+    few, many = (pa.RecordBatch.from_pydict({"e": range(n), "s": pa.array([text] * n, kind), "d": [60.0] * n}) for n in (1, 8000))
+    wanted = next(run([few]))["slices"][0].as_py()
+    tracemalloc.start()
+    found = sum(b["slices"].to_pylist() == [wanted] * len(b) and len(b) for b in run([many, few]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 8001 and len(wanted) > 5 and peak < 20e6, peak
+
+
 def test_medians(spark):
     rows = [([3.0, 1.0, 2.0],), ([4.0, 1.0],), ([],), (None,), ([None, 5.0],)]
     got = [r[0] for r in spark.createDataFrame(rows, "s array<double>").select(slicing.pooled_median("s")).collect()]

@@ -1,24 +1,28 @@
 """Greedy packing of time-stamped segments into slices of bounded length.
 
-The rules are sequential with look-back, so an entry is packed in one piece of plain Python, inside
-a grouped map; groups are entries, or shards of entries if a controller adapts targets across them.
+The rules are sequential with look-back, so an entry is packed in one piece of plain Python. Arrow
+batches are taken apart so that the Python objects there are at a time are those of ``PART`` segments,
+or of one entry with more. If a controller adapts targets across entries, their shard is a group.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import count
 from statistics import median
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEGMENTS = "array<struct<start:double,end:double,text:string,word_scores:array<double>>>"
+PART = 4096
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, slots=True)
 class Segment:
     start: float
     end: float
@@ -26,7 +30,7 @@ class Segment:
     word_scores: tuple[float, ...] = ()
 
 
-@dataclass
+@dataclass(slots=True)
 class Slice:
     """``seek`` in seconds; segments as (start, end, text, word_scores) relative to it."""
 
@@ -65,8 +69,8 @@ class DurationController:
 
 
 def quality(segments: Iterable[Segment]) -> float:
-    """Median of all word scores together; 0 without any."""
-    scores = [s for x in segments for s in x.word_scores]
+    """Median of all word scores together; 0 without any. Null ones are none."""
+    scores = [s for x in segments for s in x.word_scores if s is not None]
     return median(scores) if scores else 0.0
 
 
@@ -134,6 +138,28 @@ def greedy_slices(segments: list[Segment], audio_duration: float, max_duration:
 
 
 SLICES = f"array<struct<slice_idx:int,seek:double,duration:double,segments:{SEGMENTS}>>"
+_SEGMENT = pa.struct([("start", pa.float64()), ("end", pa.float64()), ("text", pa.string()), ("word_scores", pa.list_(pa.float64()))])
+_SLICES = pa.list_(pa.struct([("slice_idx", pa.int32()), ("seek", pa.float64()), ("duration", pa.float64()), ("segments", pa.list_(_SEGMENT))]))
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, in parts of at most ``PART`` rows and segments, or of a row with more."""
+    start = held = 0
+    for i, n in enumerate(pc.fill_null(pc.list_value_length(batch["s"]), 0).to_pylist()):
+        if i > start and (held + n > PART or i - start == PART):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    yield batch.slice(start)
+
+
+def _sliced(rows: pa.RecordBatch, entry: str, most: float, threshold: float, controller: DurationController | None) -> pa.RecordBatch:
+    out = []
+    for found, audio in zip(rows["s"].to_pylist(), rows["d"].to_pylist(), strict=True):
+        own = [Segment(x["start"], x["end"], x["text"] or "", tuple(x["word_scores"] or ())) for x in found or ()]
+        pieces = [] if audio is None or audio != audio else greedy_slices(own, audio, most, threshold, controller)
+        out.append([(n, p.seek, p.duration, p.segments) for n, p in zip(count(), pieces)])
+    return pa.RecordBatch.from_arrays([rows["e"], pa.array(out, _SLICES)], [entry, "slices"])
 
 
 def slice_entries(
@@ -157,23 +183,19 @@ def slice_entries(
     """
     kind = df.schema[entry].dataType.simpleString()
 
-    def pack(rows: pd.DataFrame, controller: DurationController | None) -> pd.DataFrame:
-        out = []
-        for found, audio in zip(rows["s"], rows["d"], strict=True):
-            own = [Segment(x["start"], x["end"], x["text"] or "", tuple(x["word_scores"] if x["word_scores"] is not None else ())) for x in (found if found is not None else ())]
-            pieces = [] if audio is None or audio != audio else greedy_slices(own, audio, max_duration, threshold, controller)
-            out.append([{"slice_idx": n, "seek": float(p.seek), "duration": float(p.duration), "segments": [{"start": a, "end": b, "text": t, "word_scores": list(w)} for a, b, t, w in p.segments]} for n, p in enumerate(pieces)])
-        return pd.DataFrame({entry: rows["e"], "slices": out})
+    def pack(batch: pa.RecordBatch, controller: DurationController | None) -> Iterator[pa.RecordBatch]:
+        return (_sliced(rows, entry, max_duration, threshold, controller) for rows in _parts(batch))
 
     columns = [F.col(entry).alias("e"), F.col(segments).cast(SEGMENTS).alias("s"), F.col(audio_duration).cast("double").alias("d")]
     schema = f"{entry} {kind}, slices {SLICES}"
     if target is None:
-        return df.select(*columns).mapInPandas(lambda batches: (pack(rows, None) for rows in batches), schema)
+        return df.select(*columns).mapInArrow(lambda batches: (rows for batch in batches for rows in pack(batch, None)), schema)
 
-    def shard_of(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pack(rows.sort_values("r", kind="stable"), DurationController(least, max_duration, target, f"{seed}:{key[0]}"))
+    def shard_of(key: tuple, rows: pa.Table) -> pa.Table:
+        controller = DurationController(least, max_duration, target, f"{seed}:{key[0].as_py()}")
+        return pa.Table.from_batches(part for batch in rows.sort_by("r").to_batches() for part in pack(batch, controller))
 
-    return df.select(*columns, F.col(shard).alias("k"), F.col(rank).alias("r")).groupBy("k").applyInPandas(shard_of, schema)
+    return df.select(*columns, F.col(shard).alias("k"), F.col(rank).alias("r")).groupBy("k").applyInArrow(shard_of, schema)
 
 
 def explode_slices(df: DataFrame, entry: str) -> DataFrame:
