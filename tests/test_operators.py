@@ -92,6 +92,15 @@ def test_slicing_holds_few_segments_at_a_time(spark, monkeypatch):
     assert found == 8001 and len(wanted) > 5 and peak < 20e6, peak
 
 
+def test_slicing_of_one_entry_with_more_segments_than_a_part(spark):
+    text = [(float(i), i + 0.5, "x", [0.5, None]) for i in range(slicing.PART + 7)]
+    rows = [(0, text[:3], 3.0, 0), (1, text, len(text) + 0.0, 0), (2, None, 5.0, 0), (3, text[:2], 2.0, 0)]
+    df = spark.createDataFrame(rows, f"e long, segments {slicing.SEGMENTS}, d double, shard long").coalesce(1)
+    for more in ({}, {"shard": "shard", "rank": "e", "target": 7.0, "least": 2.0}):
+        got = {r["e"]: r["slices"] for r in slicing.slice_entries(df, "e", "segments", "d", 10.0, 0.4, **more).collect()}
+        assert {e: sum(len(p["segments"]) for p in pieces) for e, pieces in got.items()} == {0: 3, 1: len(text), 2: 0, 3: 2}
+
+
 def test_medians(spark):
     rows = [([3.0, 1.0, 2.0],), ([4.0, 1.0],), ([],), (None,), ([None, 5.0],)]
     got = [r[0] for r in spark.createDataFrame(rows, "s array<double>").select(slicing.pooled_median("s")).collect()]
