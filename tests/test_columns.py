@@ -1,5 +1,8 @@
 """Native columns against the plain functions, and the Arrow columns."""
 
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,3 +110,26 @@ def test_rewriting_never_fails(text):
 def test_any_integer(n, gender):
     words = spoken.integer(n, gender)
     assert words and words == words.strip() and "  " not in words and spoken.spoken(str(n), gender) == words
+
+
+def test_rewriting_holds_few_texts_at_a_time():
+    text = "\u05d0 plain words, " * 400
+    batches = [pa.array([text, None] * 3000), pa.array([], pa.string()), pa.array([text, None])]
+    for f in (rewrite.for_speech, rewrite.for_transcript):
+        wanted, found = [f(text), None], 0
+        tracemalloc.start()
+        for part in columns._on_texts(f).func(iter(batches)):
+            assert part.to_pylist() == (wanted * len(part))[found % 2 :][: len(part)]
+            found += len(part)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found == 6002 and peak < 20e6, peak
+
+
+def test_rewriting_long_and_null_texts_keeps_rows(spark):
+    rows = [(i, None if i % 7 == 0 else f"{i} (x) \u05d0-\u05d1 " * (60_000 if i == 10 else i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "i int, t string").coalesce(1)
+    got = df.select("i", columns.normalize_speech("t", rewrite.EXPANDED).alias("a"), columns.normalize_transcript("t").alias("b"), columns.normalize_speech(columns.normalize_speech("t")).alias("c")).collect()
+    for (_, t), r in zip(rows, sorted(got), strict=True):
+        once = t and rewrite.for_speech(t)
+        assert (r["a"], r["b"], r["c"]) == (None if t is None else rewrite.for_speech(t, rewrite.EXPANDED), None if t is None else rewrite.for_transcript(t), once and rewrite.for_speech(once))

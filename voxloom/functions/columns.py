@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
+from itertools import chain
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,30 +176,44 @@ def spoken_phone(token: Column | str) -> Column:
     return F.when(F.regexp_like(t, F.lit(r"^0[0-9]{1,2}-?[0-9]{7}$")), F.array_join(F.transform(digits, lambda c: _pick(lx.UNITS_F, c.cast("int"))), " "))
 
 
-def _each(text: pa.Array, f) -> pa.Array:
+PART = 1 << 20
+
+
+def _parts(text: pa.Array) -> Iterator[pa.Array]:
+    """The texts of a batch in order, in parts of at most ``PART`` bytes (64 more for each text), or of a longer text."""
+    start = held = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(text), 0).to_pylist()):
+        if i > start and held + n + 64 > PART:
+            yield text.slice(start, i - start)
+            start, held = i, 0
+        held += n + 64
+    yield text.slice(start)
+
+
+def _each(text: pa.Array, f: Callable[[str], str | None]) -> pa.Array:
     return pa.array([None if t is None else f(t) for t in text.to_pylist()], pa.string())
 
 
-def normalize_speech(text: Column | str, options: rewrite.SpeechOptions = rewrite.CAUTIOUS, replacements: Mapping[str, str] | None = None) -> Column:
-    """Text for speech synthesis; null for null. The replacement table is a caller's map and travels along."""
-    table = dict(replacements or {})
+def _on_texts(f: Callable[[str], str | None]):
+    """``f`` as a column function, null for null; a part of an Arrow batch is at a time in Python, and sent on by itself."""
 
     @F.arrow_udf("string")
-    def run(t: pa.Array) -> pa.Array:
-        return _each(t, lambda x: rewrite.for_speech(x, options, table))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return map(lambda part: _each(part, f), chain.from_iterable(map(_parts, batches)))
 
-    return run(_col(text))
+    return run
 
 
-def normalize_transcript(text: Column | str, replacements: Mapping[str, str] | None = None, **options) -> Column:
-    """Text as the older rewriter writes it; null for null."""
+def normalize_speech(text: Column | str, options: rewrite.SpeechOptions = rewrite.CAUTIOUS, replacements: Mapping[str, str] | None = None) -> Column:
+    """Text for speech synthesis; null for null. The replacement table is a caller's map and travels along."""
     table = dict(replacements or {})
+    return _on_texts(lambda x: rewrite.for_speech(x, options, table))(_col(text))
 
-    @F.arrow_udf("string")
-    def run(t: pa.Array) -> pa.Array:
-        return _each(t, lambda x: rewrite.for_transcript(x, replacements=table, **options))
 
-    return run(_col(text))
+def normalize_transcript(text: Column | str, replacements: Mapping[str, str] | None = None, **options) -> Column:
+    """Text as the older rewriter writes it; null for null."""
+    table = dict(replacements or {})
+    return _on_texts(lambda x: rewrite.for_transcript(x, replacements=table, **options))(_col(text))
 
 
 def spoken_form(token: Column | str, gender: Column | str = "f") -> Column:
@@ -212,12 +228,7 @@ def spoken_form(token: Column | str, gender: Column | str = "f") -> Column:
 
 def spoken_quantity(token: Column | str) -> Column:
     """A number with a unit in words; null for anything else."""
-
-    @F.arrow_udf("string")
-    def run(t: pa.Array) -> pa.Array:
-        return _each(t, spoken.quantity)
-
-    return run(_col(token))
+    return _on_texts(spoken.quantity)(_col(token))
 
 
 def replace_word(word: Column | str, replacements: Column) -> Column:
@@ -229,16 +240,9 @@ def register(spark: SparkSession, replacements: Mapping[str, str] | None = None)
     """SQL functions ``normalize_tts``, ``normalize_tts_expanded``, ``normalize_stt`` and ``spoken_form``."""
     table = dict(replacements or {})
 
-    def add(name: str, f) -> None:
-        @F.arrow_udf("string")
-        def run(t: pa.Array) -> pa.Array:
-            return _each(t, f)
-
-        spark.udf.register(name, run)
-
-    add("normalize_tts", lambda x: rewrite.for_speech(x, rewrite.CAUTIOUS, table))
-    add("normalize_tts_expanded", lambda x: rewrite.for_speech(x, rewrite.EXPANDED, table))
-    add("normalize_stt", lambda x: rewrite.for_transcript(x, replacements=table))
+    spark.udf.register("normalize_tts", _on_texts(lambda x: rewrite.for_speech(x, rewrite.CAUTIOUS, table)))
+    spark.udf.register("normalize_tts_expanded", _on_texts(lambda x: rewrite.for_speech(x, rewrite.EXPANDED, table)))
+    spark.udf.register("normalize_stt", _on_texts(lambda x: rewrite.for_transcript(x, replacements=table)))
 
     @F.arrow_udf("string")
     def form(t: pa.Array, g: pa.Array) -> pa.Array:
