@@ -1,5 +1,6 @@
 """Native columns against the plain functions, and the Arrow columns."""
 
+import re
 import tracemalloc
 
 import pyarrow as pa
@@ -9,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from voxloom.functions import columns, rewrite, spoken
+from voxloom.operators import audit
 
 TEXTS = [
     "", " ", "a—b “q”‏ ב־ג", "\U0001f642x❤️ [x] (y (z)) \\", "\t  [a]  z (q\nr) 　\x1c\x85", "10-20 a-b-c 1-2-a a-1-2 א-ב-ג ١-٢ --- a--b", '"(word)" ... !? [deep [er]] {x}', "(open [mixed) ]", "a\rb(c\rd)e", "plain",
@@ -112,7 +114,7 @@ def test_any_integer(n, gender):
     assert words and words == words.strip() and "  " not in words and spoken.spoken(str(n), gender) == words
 
 
-def test_rewriting_holds_few_texts_at_a_time():
+def test_rewriting_holds_few_texts_at_a_time(spark):
     text = "\u05d0 plain words, " * 400
     batches = [pa.array([text, None] * 3000), pa.array([], pa.string()), pa.array([text, None])]
     for f in (rewrite.for_speech, rewrite.for_transcript):
@@ -133,3 +135,28 @@ def test_rewriting_long_and_null_texts_keeps_rows(spark):
     for (_, t), r in zip(rows, sorted(got), strict=True):
         once = t and rewrite.for_speech(t)
         assert (r["a"], r["b"], r["c"]) == (None if t is None else rewrite.for_speech(t, rewrite.EXPANDED), None if t is None else rewrite.for_transcript(t), once and rewrite.for_speech(once))
+
+
+SPOKEN = [*TEXTS, "the ד\"ר פרופ' a, ה5. 3 ילדות, מאה 5 5kg -5 3/4 1,000.5% x5- 12:30, 050-1234567 the.", "a-b-c--d -e f- 1-2-3 -", " ".join(f"w{i}" for i in range(300))]
+
+
+@pytest.mark.parametrize("own", [{}, {"the": "THE", "a": "", "w7": "7", "ילדות": "x"}])
+def test_kept_words_and_one_pass_give_the_same(own, monkeypatch):
+    both, speakers = rewrite.Comparison(own), {n: rewrite.Speaker(o, own) for n, o in rewrite.PRESETS.items()}
+    monkeypatch.setattr(rewrite._Words, "MOST", 100)
+    for text in SPOKEN * 2:
+        alone = {n: rewrite.for_speech(text, o, own) for n, o in rewrite.PRESETS.items()}
+        assert {n: f(text) for n, f in speakers.items()} == alone and both(text) == (alone["cautious"], alone["preparation"])
+    assert all(0 < len(f.words) <= 100 for f in speakers.values())
+
+
+def test_texts_without_parentheses_are_cleaned_once_for_both_forms(monkeypatch):
+    calls, once = [], rewrite.clean
+    monkeypatch.setattr(rewrite, "clean", lambda text, o: calls.append(text) or once(text, o))
+    assert rewrite.Comparison()("a-b 5 [x]") == ("a b 5", "a b חמש") and len(calls) == 1
+    assert rewrite.Comparison()("a (b) 5") == ("a 5", "a b חמש") and len(calls) == 3
+
+
+def test_before_and_after_come_from_one_function(spark, texts):
+    plan = audit.before_after(texts.withColumnRenamed("t", "raw_text"))._jdf.queryExecution().executedPlan().toString()
+    assert [x.count("run(") for x in re.findall(r"ArrowEvalPython \[(.*?)\]", plan)] == [1], plan

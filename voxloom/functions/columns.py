@@ -190,24 +190,32 @@ def _parts(text: pa.Array) -> Iterator[pa.Array]:
     yield text.slice(start)
 
 
-def _each(text: pa.Array, f: Callable[[str], str | None]) -> pa.Array:
-    return pa.array([None if t is None else f(t) for t in text.to_pylist()], pa.string())
+_PAIR = pa.struct([("cautious", pa.string()), ("expanded", pa.string())])
 
 
-def _on_texts(f: Callable[[str], str | None]):
+def _each(text: pa.Array, f: Callable, kind: pa.DataType) -> pa.Array:
+    return pa.array([None if t is None else f(t) for t in text.to_pylist()], kind)
+
+
+def _on_texts(f: Callable, name: str = "string", kind: pa.DataType | None = None):
     """``f`` as a column function, null for null; a part of an Arrow batch is at a time in Python, and sent on by itself."""
+    kind = kind or pa.string()
 
-    @F.arrow_udf("string")
+    @F.arrow_udf(name)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        return map(lambda part: _each(part, f), chain.from_iterable(map(_parts, batches)))
+        return map(lambda part: _each(part, f, kind), chain.from_iterable(map(_parts, batches)))
 
     return run
 
 
 def normalize_speech(text: Column | str, options: rewrite.SpeechOptions = rewrite.CAUTIOUS, replacements: Mapping[str, str] | None = None) -> Column:
     """Text for speech synthesis; null for null. The replacement table is a caller's map and travels along."""
-    table = dict(replacements or {})
-    return _on_texts(lambda x: rewrite.for_speech(x, options, table))(_col(text))
+    return _on_texts(rewrite.Speaker(options, replacements))(_col(text))
+
+
+def compare_speech(text: Column | str, replacements: Mapping[str, str] | None = None) -> Column:
+    """``struct<cautious, expanded>``: both forms of a text in one pass; null for null."""
+    return _on_texts(rewrite.Comparison(replacements), "struct<cautious:string,expanded:string>", _PAIR)(_col(text))
 
 
 def normalize_transcript(text: Column | str, replacements: Mapping[str, str] | None = None, **options) -> Column:
@@ -240,8 +248,8 @@ def register(spark: SparkSession, replacements: Mapping[str, str] | None = None)
     """SQL functions ``normalize_tts``, ``normalize_tts_expanded``, ``normalize_stt`` and ``spoken_form``."""
     table = dict(replacements or {})
 
-    spark.udf.register("normalize_tts", _on_texts(lambda x: rewrite.for_speech(x, rewrite.CAUTIOUS, table)))
-    spark.udf.register("normalize_tts_expanded", _on_texts(lambda x: rewrite.for_speech(x, rewrite.EXPANDED, table)))
+    spark.udf.register("normalize_tts", _on_texts(rewrite.Speaker(rewrite.CAUTIOUS, table)))
+    spark.udf.register("normalize_tts_expanded", _on_texts(rewrite.Speaker(rewrite.EXPANDED, table)))
     spark.udf.register("normalize_stt", _on_texts(lambda x: rewrite.for_transcript(x, replacements=table)))
 
     @F.arrow_udf("string")

@@ -7,7 +7,7 @@ import random
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import columns, rewrite
+from ..functions import columns
 from .filters import changed_flag, first_text
 
 PAGE = 20
@@ -44,8 +44,7 @@ def before_after(df: DataFrame, replacements: dict[str, str] | None = None) -> D
     """``raw``, the cautious and the expanded form, and whether each changed anything."""
     texts = [c for c in ("raw_text", "text") if c in df.columns]
     raw = F.coalesce(first_text(*texts), F.lit("")).alias("raw")
-    out = df.select("*", raw)
-    out = out.withColumn("cautious", columns.normalize_speech("raw", rewrite.CAUTIOUS, replacements)).withColumn("expanded", columns.normalize_speech("raw", rewrite.PREPARATION, replacements))
+    out = df.select("*", raw).select("*", columns.compare_speech("raw", replacements).alias("_both")).select("*", "_both.*").drop("_both")
     return out.withColumn("cautious_changed", changed_flag("raw", "cautious")).withColumn("expanded_changed", changed_flag("raw", "expanded"))
 
 
