@@ -160,3 +160,13 @@ def test_texts_without_parentheses_are_cleaned_once_for_both_forms(monkeypatch):
 def test_before_and_after_come_from_one_function(spark, texts):
     plan = audit.before_after(texts.withColumnRenamed("t", "raw_text"))._jdf.queryExecution().executedPlan().toString()
     assert [x.count("run(") for x in re.findall(r"ArrowEvalPython \[(.*?)\]", plan)] == [1], plan
+
+
+def test_words_kept_stay_few_however_many_there_are(spark):
+    batches = (pa.array([" ".join(f"w{i},{j} {i}x{j} the" for j in range(500))]) for i in range(400))
+    run = columns._on_texts(rewrite.Speaker(rewrite.EXPANDED, {"the": "THE"})).func
+    tracemalloc.start()
+    assert sum(part[0].as_py().count("THE") for part in run(batches)) == 200_000
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held < 40e6, held  # 32,768 words and the numbers spelled last
